@@ -48,7 +48,7 @@ def src_uf_titular(star: Star) -> DataFrame:
 
 @query("src_uf_consorcio", """
 SELECT nombre || ' ' AS consorcio, numero::VARCHAR AS numero, piso, departamento,
-       pct_bp / 100.0 AS coeficiente, m2 + 0.5 AS m2
+       pct_bp / 100.0 AS coeficiente, (m2 + 0.5)::DOUBLE AS m2
 FROM unidad JOIN consorcio c ON c.id = consorcio_id
 """)
 def src_uf_consorcio(star: Star) -> DataFrame:
