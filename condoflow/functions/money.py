@@ -46,13 +46,14 @@ def int_div(num: Column, den: Column) -> Column:
 
 def div_round(num: Column, den: Column) -> Column:
     """Integer quotient of ``num`` by a positive ``den``, halves away from zero."""
+    num, den = num.cast("bigint"), den.cast("bigint")
     half_up = int_div(F.abs(num) * 2 + den, den * 2)
     return F.when(num < 0, -half_up).otherwise(half_up)
 
 
 def share_of(total: Column, basis_points: Column) -> Column:
     """``total`` times a share in basis points (1/100 of a percent), rounded to the unit."""
-    return div_round(total * basis_points, F.lit(10000))
+    return div_round(total.cast("bigint") * basis_points, F.lit(10000))
 
 
 def weighted_part(value: Column, weight: Column, weight_sum: Column) -> Column:
@@ -61,6 +62,7 @@ def weighted_part(value: Column, weight: Column, weight_sum: Column) -> Column:
     Quotient and remainder are scaled apart so that the product never has to
     hold the extra four digits.  0 when the weights do not add up to more than 0.
     """
+    value, weight, weight_sum = (c.cast("bigint") for c in (value, weight, weight_sum))
     product = F.abs(value * weight)
     whole = int_div(product, weight_sum) * 10000
     rest = int_div((product % weight_sum) * 20000 + weight_sum, weight_sum * 2)

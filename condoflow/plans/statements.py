@@ -243,12 +243,6 @@ def statement_shares(units: DataFrame, costs: DataFrame, period_range: Range) ->
     )
 
 
-def _total_units(cost: Column, basis_points: Column, debt: Column) -> Column:
-    """Total to pay: cost share, debt and interest on it, rounded once from the exact value."""
-    exact = cost * basis_points + debt * 10000 + F.greatest(debt, F.lit(0)) * money.DETAIL_RATE_BP
-    return money.div_round(exact, F.lit(10000))
-
-
 def statement_detail(
     units: DataFrame,
     costs: DataFrame,
@@ -275,51 +269,55 @@ def statement_detail(
         accounts = accounts.join(opening, "uf_id", "left")
     else:
         accounts = accounts.withColumn("_opening", zero)
+    # Every unit grows into one line per month, so units are spread over all
+    # shuffle partitions instead of being coalesced by their small size.
+    partitions = int(units.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     inputs = (
-        accounts.join(_payments_per_account(payments, period_range), "cvu", "left")
+        accounts.repartition(partitions, "cvu")
+        .join(_payments_per_account(payments, period_range), "cvu", "left")
         .join(_costs_per_building(costs, period_range), "consorcio_id", "left")
-        .select(
-            "uf_id", "consorcio_id", "_bp", F.coalesce("_opening", zero).alias("_opening"),
+        .withColumn(
+            "_months",
             F.transform(
                 months,
                 lambda i: F.struct(
                     F.coalesce(F.get("costs", i).ord_cents, zero).alias("ord"),
                     F.coalesce(F.get("costs", i).ext_cents, zero).alias("ext"),
                     F.coalesce(F.try_element_at("paid", i).total_cents, zero).alias("paid"),
+                    F.coalesce(F.try_element_at("paid", i - 1).total_cents, zero).alias("paid_before"),
                     F.try_element_at("paid", i).primera_fecha.alias("first"),
                 ),
-            ).alias("_months"),
+            ),
         )
     )
 
     def step(state: Column, month: Column) -> Column:
-        total = _total_units(month.ord + month.ext, F.col("_bp"), state.debt)
+        total = _total(month.ord + month.ext, F.col("_bp"), state.debt)
         return F.struct(
             F.concat(state.debts, F.array(state.debt)).alias("debts"), (total - month.paid).alias("debt")
         )
 
-    start = F.struct(F.array().cast("array<bigint>").alias("debts"), F.col("_opening").alias("debt"))
-    folded = inputs.withColumn("_debts", F.aggregate("_months", start, step).debts)
-    lines = folded.select(
-        "uf_id", "consorcio_id", "_bp", F.posexplode(F.arrays_zip("_months", "_debts")).alias("_i", "_x"),
-        F.col("_months").alias("_all"),
+    start = F.struct(
+        F.array().cast("array<bigint>").alias("debts"), F.coalesce("_opening", zero).alias("debt")
+    )
+    debts = F.aggregate("_months", start, step).debts
+    lines = inputs.select(
+        "uf_id", "consorcio_id", "_bp", F.posexplode(F.arrays_zip("_months", debts.alias("_debts"))).alias("_i", "_x")
     ).select(
-        "uf_id", "consorcio_id", "_bp", "_i",
-        F.col("_x._months.ord").alias("_ord"), F.col("_x._months.ext").alias("_ext"),
-        F.col("_x._months.paid").alias("pagado_cents"), F.col("_x._months.first").alias("primera_fecha"),
-        F.col("_x._debts").alias("deuda_cents"),
-        F.coalesce(F.get("_all", F.col("_i") - 1).paid, zero).alias("pagado_anterior_cents"),
+        "uf_id", "consorcio_id", "_bp", "_i", "_x._months.*", F.col("_x._debts").alias("deuda_cents")
     )
     debt, bp = F.col("deuda_cents"), F.col("_bp")
     issued = lines.select(
         "uf_id", "consorcio_id",
         F.add_months(F.lit(period_range.first), F.col("_i")).alias("periodo"),
-        money.share_of(F.col("_ord"), bp).alias("ord_cents"),
-        money.share_of(F.col("_ext"), bp).alias("ext_cents"),
+        money.share_of(F.col("ord"), bp).alias("ord_cents"),
+        money.share_of(F.col("ext"), bp).alias("ext_cents"),
         "deuda_cents",
         money.share_of(F.greatest(debt, zero), F.lit(money.DETAIL_RATE_BP)).alias("interes_cents"),
-        _total_units(F.col("_ord") + F.col("_ext"), bp, debt).alias("total_cents"),
-        "pagado_cents", "primera_fecha", "pagado_anterior_cents",
+        _total(F.col("ord") + F.col("ext"), bp, debt).alias("total_cents"),
+        F.col("paid").alias("pagado_cents"),
+        F.col("first").alias("primera_fecha"),
+        F.col("paid_before").alias("pagado_anterior_cents"),
     )
     dated = issued.withColumns({
         "vencimiento_1": dates.due_date(F.col("periodo"), dates.FIRST_DUE_DAY),
@@ -328,6 +326,12 @@ def statement_detail(
     return late_interest(dated)
 
 
+def _total(cost: Column, basis_points: Column, debt: Column) -> Column:
+    """Total to pay: cost share, debt and interest on it, rounded once from the exact value."""
+    exact = cost * basis_points + debt * 10000 + F.greatest(debt, F.lit(0)) * money.DETAIL_RATE_BP
+    return money.div_round(exact, F.lit(10000))
+
+
 def late_interest(lines: DataFrame) -> DataFrame:
     """Add ``mora_cents``: interest on the total less the previous payments, by first payment date.
 

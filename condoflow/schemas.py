@@ -53,7 +53,9 @@ TABLES = {
         ("id", L), ("nombre", S), ("apellido", S), ("dni", S), ("email", S), ("cvu", S), ("telefono", S),
         ("rol_id", I),
     ),
-    "consorcio": _struct(("id", L), ("nombre", S), ("cvu", S), ("direccion", S), ("m2_total", MONEY)),
+    "consorcio": _struct(
+        ("id", L), ("nombre", S), ("cvu", S), ("direccion", S), ("m2_total", MONEY), ("saldo_cents", L)
+    ),
     "pago": _struct(("id_pago", L), ("forma_pago_id", I), ("cvu", S), ("fecha", D), ("importe_cents", L)),
     "unidad": _struct(
         ("uf_id", L), ("cvu", S), ("consorcio_id", L), ("departamento", S), ("piso", S), ("numero", I),
@@ -75,10 +77,12 @@ TABLES = {
     ),
     "detalle_expensa": _struct(
         ("consorcio_id", L), ("uf_id", L), ("periodo", D), ("ord_cents", L), ("ext_cents", L),
-        ("deuda_cents", L), ("interes_cents", L), ("total_cents", L), ("pagado_cents", L),
-        ("vencimiento_1", D), ("vencimiento_2", D),
+        ("deuda_cents", L), ("interes_cents", L), ("total_cents", L), ("pagado_cents", L), ("primera_fecha", D),
+        ("pagado_anterior_cents", L), ("vencimiento_1", D), ("vencimiento_2", D), ("mora_cents", L),
+    ),
+    "pago_aplicado": _struct(
+        ("id_pago", L), ("uf_id", L), ("consorcio_id", L), ("periodo", D), ("fecha", D), ("importe_cents", L)
     ),
-    "pago_aplicado": _struct(("id_pago", L), ("uf_id", L), ("periodo", D), ("importe_cents", L)),
 }
 
 # Seed rows every installation starts with.

@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 # Runtime settings the jobs rely on.  Skewed joins are split by AQE even when the
 # split costs one more shuffle: a hot key in one task is always the worse plan.
 SETTINGS = {
+    "spark.sql.ansi.enabled": "true",  # an amount that overflows fails instead of wrapping around
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",

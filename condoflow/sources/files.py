@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import uuid
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
@@ -105,33 +104,3 @@ def read_costs(spark: SparkSession, path: str, multi_line: bool = True) -> DataF
 
 def append(df: DataFrame, path: str, partition_by: list[str] | None = None) -> None:
     df.write.mode("append").partitionBy(*(partition_by or [])).parquet(path)
-
-
-def publish(tables: dict[str, DataFrame], root: str) -> str:
-    """Write a consistent set of tables as a new version; the pointer file goes last.
-
-    Readers resolve the version through the pointer, so they see all tables of a
-    run or none of them, and a failed run leaves the previous version current.
-    """
-    version = uuid.uuid4().hex
-    for name, df in tables.items():
-        df.write.parquet(f"{root}/versions/{version}/{name}")
-    spark = next(iter(tables.values())).sparkSession
-    pointer = spark.createDataFrame([(version,)], "version string")
-    pointer.coalesce(1).write.mode("append").parquet(f"{root}/current")
-    return version
-
-
-def current_version(spark: SparkSession, root: str) -> str:
-    """Version of the newest pointer file."""
-    newest = (
-        spark.read.schema("version string").parquet(f"{root}/current")
-        .select("version", F.col("_metadata.file_modification_time").alias("written"))
-        .orderBy(F.desc("written"))
-        .first()
-    )
-    return newest["version"]
-
-
-def read_published(spark: SparkSession, root: str, table: str) -> DataFrame:
-    return spark.read.parquet(f"{root}/versions/{current_version(spark, root)}/{table}")
