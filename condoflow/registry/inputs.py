@@ -9,8 +9,8 @@ from ..functions import dates, money, pii, text
 from ..operators import maintenance as m
 from ..operators.services import unpivot_services
 from ..plans import ingest
-from ..sources.files import CORRUPT, split_rejects
-from ..sources.text_lines import amount_shapes, parse_documents, parse_lines
+from ..sources.files import CORRUPT, parse_lines, split_rejects
+from ..sources.text_lines import amount_shapes, parse_documents
 from . import lines as src
 from .base import query, rounded, text_of
 from .star import Star

@@ -4,8 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from ..functions import dates, text
+from .. import schemas
+from ..functions import text
 from ..plans import annexes, ingest, notifications, statements as st
+from ..sources.files import parse_lines, split_rejects
 from ..sources.text_lines import parse_documents
 from . import inputs, lines as src, tables
 from .base import query, rounded
@@ -124,18 +126,11 @@ def ingest_uf_consorcio(star: Star) -> DataFrame:
         F.lit(None).cast("bigint").alias("pct_bp"),
         F.lit(None).cast("string").alias("tipo"),
     )
-    filled, _ = ingest.import_unit_sizes(_size_lines(star), units, star.building_names())
+    sizes = split_rejects(parse_lines(src.unit_size_lines(star).select("linea"), schemas.UNIT_SIZE_FILE, "\t")).good
+    filled, _ = ingest.import_unit_sizes(sizes, units, star.building_names())
     return filled
 
 
-def _size_lines(star: Star) -> DataFrame:
-    from .. import schemas
-    from ..sources.files import split_rejects
-    from ..sources.text_lines import parse_lines
-
-    return split_rejects(parse_lines(src.unit_size_lines(star).select("linea"), schemas.UNIT_SIZE_FILE, "\t")).good
-
-
 @query("fill_general_costs", """,
 azar AS (
   SELECT *, l_orderkey || '|' || l_linenumber AS k FROM gasto WHERE NOT extraordinario)

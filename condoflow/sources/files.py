@@ -10,6 +10,7 @@ from .. import schemas
 
 CORRUPT = "_corrupt_record"
 ANSI_CODE_PAGE = "windows-1252"
+_NO_SEPARATOR = "\u0001"  # a character no line holds
 
 
 @dataclass(frozen=True)
@@ -20,36 +21,39 @@ class Loaded:
     rejected: DataFrame
 
 
-def with_corrupt(schema: T.StructType) -> T.StructType:
-    return T.StructType([*schema.fields, T.StructField(CORRUPT, T.StringType())])
-
-
-def split_rejects(parsed: DataFrame) -> Loaded:
-    """Split on the corrupt-record column.
-
-    Spark answers a query on that column alone without parsing, so the frame is
-    filtered together with its other columns.
-    """
-    bad = F.col(CORRUPT).isNotNull()
-    return Loaded(parsed.filter(~bad).drop(CORRUPT), parsed.filter(bad).select(CORRUPT))
-
-
-def read_delimited(
-    spark: SparkSession, path: str, schema: T.StructType, sep: str, encoding: str = "UTF-8"
-) -> DataFrame:
-    """Parsed lines of a delimited file with a header, by position, plus the corrupt-record column."""
+def read_lines(spark: SparkSession, path: str, encoding: str = "UTF-8") -> DataFrame:
+    """Raw lines of a text file in column ``linea``, without the header line of each file."""
     return (
-        spark.read.schema(with_corrupt(schema))
+        spark.read.schema("linea string")
         .option("header", True)
         .option("enforceSchema", True)
-        .option("sep", sep)
+        .option("sep", _NO_SEPARATOR)
+        .option("quote", "")
         .option("encoding", encoding)
-        .option("mode", "PERMISSIVE")
-        .option("columnNameOfCorruptRecord", CORRUPT)
         .csv(path)
     )
 
 
+def parse_lines(lines: DataFrame, schema: T.StructType, sep: str, line: str = "linea") -> DataFrame:
+    """Replace the line column by the columns of the layout plus the corrupt-record column.
+
+    Lines are parsed by position and as a whole whatever columns are used later,
+    so a bad line is a bad line for every reader of the result.
+    """
+    layout = T.StructType([*schema.fields, T.StructField(CORRUPT, T.StringType())])
+    parsed = F.from_csv(
+        F.col(line), ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in layout),
+        {"sep": sep, "mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT},
+    )
+    others = [c for c in lines.columns if c != line]
+    return lines.select(*others, parsed.alias("_p")).select(*others, "_p.*")
+
+
+def split_rejects(parsed: DataFrame) -> Loaded:
+    bad = F.col(CORRUPT).isNotNull()
+    return Loaded(parsed.filter(~bad).drop(CORRUPT), parsed.filter(bad).select(CORRUPT))
+
+
 def require_rows(df: DataFrame, what: str) -> DataFrame:
     """The frame itself; raises when it is empty."""
     if df.isEmpty():
@@ -60,8 +64,8 @@ def require_rows(df: DataFrame, what: str) -> DataFrame:
 def load_delimited(
     spark: SparkSession, path: str, schema: T.StructType, sep: str, encoding: str = "UTF-8"
 ) -> Loaded:
-    loaded = split_rejects(read_delimited(spark, path, schema, sep, encoding))
-    return Loaded(require_rows(loaded.good, path), loaded.rejected)
+    lines = require_rows(read_lines(spark, path, encoding), path)
+    return split_rejects(parse_lines(lines, schema, sep))
 
 
 def read_buildings(spark: SparkSession, path: str) -> Loaded:

@@ -1,4 +1,4 @@
-"""The file layouts applied to a column of text lines instead of files."""
+"""Monthly cost documents as a column of JSON text instead of files."""
 
 from __future__ import annotations
 
@@ -6,17 +6,6 @@ from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from .. import schemas
 from ..functions import money, text
-from .files import CORRUPT, with_corrupt
-
-
-def parse_lines(lines: DataFrame, schema: T.StructType, sep: str, line: str = "linea") -> DataFrame:
-    """Replace the line column by the columns of the layout plus the corrupt-record column."""
-    parsed = F.from_csv(
-        F.col(line), ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in with_corrupt(schema)),
-        {"sep": sep, "columnNameOfCorruptRecord": CORRUPT},
-    )
-    others = [c for c in lines.columns if c != line]
-    return lines.select(*others, parsed.alias("_p")).select(*others, "_p.*")
 
 
 def parse_documents(arrays: DataFrame, array: str = "documentos") -> DataFrame:
