@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from .. import schemas
 from ..operators import maintenance as m
 from ..operators.numbering import continue_ids, dense_numbers
+from ..session import stage
 from ..sources import files as src
 from ..sources.versions import NewVersion, read_table
 from . import annexes, ingest, statements as st
@@ -81,7 +82,7 @@ def run_month(
     out = NewVersion(spark, root)
 
     sizes = src.read_unit_sizes(spark, files.unit_sizes).good
-    buildings = with_accounts(_buildings(spark, old["consorcio"], files, sizes), accounts)
+    buildings = stage(with_accounts(_buildings(spark, old["consorcio"], files, sizes), accounts))
 
     person_lines = src.read_persons(spark, files.persons, files.person_separator).good
     sound = person_lines.filter(~F.coalesce(ingest.rounded_account(F.col("cvu")), F.lit(True)))

@@ -244,7 +244,22 @@ def statement_batch(star: Star) -> DataFrame:
     return st.batch_summary(star.headers(), star.lines())
 
 
-@query("notification_payload")
+def _text(cents: str) -> str:
+    return f"printf('%.2f', {cents} / 100.0)"
+
+
+@query("notification_payload", f"""
+SELECT uf_id, periodo::VARCHAR AS periodo, email,
+  '{{"personalizations":[{{"to":[{{"email":"' || email || '"}}],"subject":"Expensa Mensual"}}],'
+  || '"from":{{"email":"{SENDER}","name":"Sistema de Expensas"}},"content":[{{"type":"text/html","value":"'
+  || '<h1>' || apellido || ' ' || p.nombre || '</h1><p>Detalle de su expensa de ' || strftime(periodo, '%m/%Y') || ', unidad '
+  || departamento || ' del consorcio ' || c.nombre || '.</p><ul class=\\"importes\\"><li>Total a pagar: $' || {_text("total_cents")}
+  || '</li><li>Saldo anterior abonado: $' || {_text("pagado_anterior_cents")} || '</li><li>Pagos recibidos: $'
+  || {_text("pagado_cents")} || '</li><li>Interés por mora: $' || {_text("mora_cents")} || '</li></ul>'
+  || '<ul class=\\"vencimientos\\"><li>' || strftime(vencimiento_1, '%d/%m/%Y') || ': sin recargo</li><li>'
+  || strftime(vencimiento_2, '%d/%m/%Y') || ': con 2% de recargo</li><li>Después: con 5% de recargo</li></ul>"}}]}}' AS payload
+FROM detalle d JOIN unidad_base u USING (uf_id) JOIN persona p USING (cvu) JOIN consorcio c ON c.id = u.consorcio_id
+""")
 def notification_payload(star: Star) -> DataFrame:
     rows = notifications.recipients(star.lines(), star.bare_units(), star.building_names(), star.persons())
     return notifications.payloads(rows, SENDER)
