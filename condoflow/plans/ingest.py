@@ -184,14 +184,14 @@ def import_unit_holders(
         F.trim("cvu").alias("cvu"), "consorcio", "numero", F.trim("piso").alias("piso"),
         F.trim("departamento").alias("departamento"),
     )
-    names = buildings.select(F.col("id").alias("consorcio_id"), "nombre")
-    located = m.scalar_lookup(
-        m.absent_rows(trimmed, units.select("cvu"), ["cvu"]),
-        names.withColumnRenamed("nombre", "consorcio"), "consorcio", "consorcio_id",
-    )
     holders = persons.select("cvu").distinct().withColumn("_holder", F.lit(True))
     uses = trimmed.groupBy("cvu").agg(F.count(F.lit(1)).alias("_uses"))
-    checked = located.join(holders, "cvu", "left").join(uses, "cvu", "left")
+    # All joins by account come first, so they share one partitioning.
+    by_account = (
+        m.absent_rows(trimmed, units.select("cvu"), ["cvu"]).join(holders, "cvu", "left").join(uses, "cvu", "left")
+    )
+    names = buildings.select(F.col("id").alias("consorcio_id"), F.col("nombre").alias("consorcio"))
+    checked = m.scalar_lookup(by_account, names, "consorcio", "consorcio_id")
     ok = F.coalesce(F.col("consorcio_id").isNotNull() & F.col("_holder") & (F.col("_uses") == 1), F.lit(False))
     columns = ["cvu", "consorcio", "consorcio_id", "numero", "piso", "departamento"]
     return checked.filter(ok).select(*columns), checked.filter(~ok).select(*columns)

@@ -7,7 +7,7 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from ..functions import dates, money
 from ..operators.gaps import payment_gaps
@@ -177,20 +177,21 @@ def income_by_source(
     )
     paid, all_weights = F.col("importe_cents"), F.col("ord_cents") + F.col("ext_cents") + F.col("mora_cents")
     parts = applied.select("uf_id", "periodo", "fecha", "importe_cents").join(weights, ["uf_id", "periodo"]).select(
-        F.date_format("fecha", "yyyy-MM").alias("Periodo"),
+        dates.period_of(F.col("fecha")).alias("_mes"),
         *[
             money.weighted_part(paid, F.col(c), all_weights).alias(name)
             for c, name in (("ord_cents", "_ord"), ("ext_cents", "_ext"), ("mora_cents", "_mora"))
         ],
     )
-    def total(column: Column) -> Column:
-        return (F.sum(column).cast("decimal(20,0)") / 1000000).cast("decimal(24,6)")
-
-    return parts.groupBy("Periodo").agg(
-        total(F.col("_ord")).alias("Ordinario"),
-        total(F.col("_ext")).alias("Extraordinario"),
-        total(F.col("_mora")).alias("Mora"),
-        total(F.col("_ord") + F.col("_ext") + F.col("_mora")).alias("Total"),
+    sums = {"Ordinario": F.col("_ord"), "Extraordinario": F.col("_ext"), "Mora": F.col("_mora")}
+    sums["Total"] = F.col("_ord") + F.col("_ext") + F.col("_mora")
+    return (
+        parts.groupBy("_mes")
+        .agg(*[F.sum(part).alias(name) for name, part in sums.items()])
+        .select(
+            F.date_format("_mes", "yyyy-MM").alias("Periodo"),
+            *[(F.col(n).cast("decimal(20,0)") / 1000000).cast("decimal(24,6)").alias(n) for n in sums],
+        )
     )
 
 

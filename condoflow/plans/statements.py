@@ -243,6 +243,22 @@ def statement_shares(units: DataFrame, costs: DataFrame, period_range: Range) ->
     )
 
 
+def shares_of_paid_lines(applied: DataFrame, units: DataFrame, costs: DataFrame) -> DataFrame:
+    """Like ``statement_shares``, for the lines with payments only: no row per unpaid month."""
+    zero = F.lit(0).cast("bigint")
+    bp = F.coalesce("pct_bp", F.lit(0))
+    return (
+        applied.select("uf_id", "consorcio_id", "periodo").distinct()
+        .join(units.select("uf_id", "pct_bp"), "uf_id")
+        .join(costs_by_period(costs), ["consorcio_id", "periodo"], "left")
+        .select(
+            "uf_id", "consorcio_id", "periodo",
+            money.share_of(F.coalesce("ord_cents", zero), bp).alias("ord_cents"),
+            money.share_of(F.coalesce("ext_cents", zero), bp).alias("ext_cents"),
+        )
+    )
+
+
 def statement_detail(
     units: DataFrame,
     costs: DataFrame,

@@ -68,7 +68,7 @@ SELECT periodo AS "Periodo", SUM({_part("ord_cents")}) / 1000000.0 AS "Ordinario
 FROM peso GROUP BY periodo
 """)
 def r3_income_by_source(star: Star) -> DataFrame:
-    return reports.income_by_source(star.applied(), star.lines())
+    return reports.income_by_source(star.applied(), star.paid_lines())
 
 
 @query("r4_top_months", """,
@@ -130,7 +130,7 @@ intervalo AS (
 
 
 def _gaps(star: Star) -> DataFrame:
-    return reports.ordinary_payment_gaps(star.applied(), star.shares())
+    return reports.ordinary_payment_gaps(star.applied(), star.paid_shares())
 
 
 @query("r6_payment_gaps", GAPS_SQL + """

@@ -120,11 +120,15 @@ class Star:
     def applied(self) -> DataFrame:
         return st.apply_payments(self.payments(), self.bare_units(), self.statements())
 
-    def shares(self) -> DataFrame:
-        return st.statement_shares(self.units(), self.costs(), RANGE)
+    def paid_shares(self) -> DataFrame:
+        return st.shares_of_paid_lines(self.applied(), self.units(), self.costs())
 
     def lines(self) -> DataFrame:
         return st.statement_detail(self.units(), self.costs(), self.payments(), RANGE)
 
+    def paid_lines(self) -> DataFrame:
+        """The lines a payment can meet; dropping the others first keeps them out of the shuffle."""
+        return self.lines().filter("primera_fecha is not null")
+
     def headers(self) -> DataFrame:
         return st.statement_header(self.buildings(), self.bare_units(), self.costs(), self.payments(), RANGE)

@@ -153,7 +153,7 @@ def audit_counts(star: Star) -> DataFrame:
         "Baulera": units,
         "FormaDePago": star.read("orders").select("o_orderpriority").distinct(),
         "Expensa": star.statements(),
-        "DetalleExpensa": star.shares(),
+        "DetalleExpensa": units.join(star.statements(), "consorcio_id"),
         "GastoOrdinario": star.ordinary_costs(),
         "GastoExtraordinario": star.extraordinary_costs(),
         "Pago": star.payments(),
@@ -230,7 +230,7 @@ def join_star_payments(star: Star) -> DataFrame:
     names = star.building_names().select(F.col("id").alias("consorcio_id"), F.col("nombre").alias("consorcio"))
     return (
         star.applied()
-        .join(star.lines().select("uf_id", "periodo", "total_cents"), ["uf_id", "periodo"])
+        .join(star.paid_lines().select("uf_id", "periodo", "total_cents"), ["uf_id", "periodo"])
         .join(star.bare_units().select("uf_id", "departamento"), "uf_id")
         .join(names, "consorcio_id")
         .select("id_pago", "uf_id", "consorcio", "departamento", "periodo", "fecha", "importe_cents", "total_cents")
