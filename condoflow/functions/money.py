@@ -10,6 +10,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, functions as F
 
+# Interest rates in basis points.
 DETAIL_RATE_BP = 500      # interest on carried debt when a statement is issued, basis points
 LATE_FIRST_RATE_BP = 200  # first payment after the first due date
 LATE_SECOND_RATE_BP = 500  # first payment after the second due date

@@ -38,7 +38,9 @@ def parse_lines(lines: DataFrame, schema: T.StructType, sep: str, line: str = "l
     """Replace the line column by the columns of the layout plus the corrupt-record column.
 
     Lines are parsed by position and as a whole whatever columns are used later,
-    so a bad line is a bad line for every reader of the result.
+    so a bad line is a bad line for every reader of the result.  Parsing goes
+    through a generator: later filters stay above it instead of being pushed
+    below, where each would parse the line again.
     """
     layout = T.StructType([*schema.fields, T.StructField(CORRUPT, T.StringType())])
     parsed = F.from_csv(
@@ -46,7 +48,7 @@ def parse_lines(lines: DataFrame, schema: T.StructType, sep: str, line: str = "l
         {"sep": sep, "mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT},
     )
     others = [c for c in lines.columns if c != line]
-    return lines.select(*others, parsed.alias("_p")).select(*others, "_p.*")
+    return lines.select(*others, F.inline(F.array(parsed)))
 
 
 def split_rejects(parsed: DataFrame) -> Loaded:
