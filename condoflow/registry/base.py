@@ -14,11 +14,11 @@ ORACLE: dict[str, str] = {}
 
 
 def plain(df: DataFrame) -> DataFrame:
-    """Amounts as DOUBLE and dates as ISO text, which every SQL engine can compare."""
+    """Amounts as DOUBLE, those too wide for it and dates as text, which every SQL engine can compare."""
     def column(field: T.StructField):
         c = F.col(f"`{field.name}`")
         if isinstance(field.dataType, T.DecimalType):
-            return c.cast("double").alias(field.name)
+            return c.cast("double" if field.dataType.precision <= 18 else "string").alias(field.name)
         if isinstance(field.dataType, (T.DateType, T.BooleanType)):
             return c.cast("string").alias(field.name)
         return c

@@ -52,20 +52,28 @@ def r2_dept_month_pivot(star: Star) -> DataFrame:
 def _part(weight: str) -> str:
     """SQL of a payment's part in millionths; only the weight of late interest can be negative."""
     return (
-        f"CASE WHEN w > 0 THEN sign({weight}) * ((2 * importe_cents::HUGEINT * abs({weight}) * 10000 + w) // (2 * w)) "
-        "ELSE 0 END"
+        f"(CASE WHEN w > 0 THEN sign({weight}) * ((2 * importe_cents::HUGEINT * abs({weight}) * 10000 + w) // (2 * w)) "
+        "ELSE 0 END)"
     )
 
 
+def _millionths(total: str) -> str:
+    """SQL of an exact amount, as text, of a sum of millionths."""
+    return f"(({total})::DECIMAL(30, 0) * 0.000001::DECIMAL(7, 6))::VARCHAR"
+
+
+_PARTS = {"Ordinario": _part("ord_cents"), "Extraordinario": _part("ext_cents"), "Mora": _part("mora_cents")}
+_SUMS = ", ".join(
+    f'{_millionths(f"SUM({part})")} AS "{name}"' for name, part in (*_PARTS.items(), ("Total", " + ".join(_PARTS.values())))
+)
+
+
 @query("r3_income_by_source", f""",
 peso AS (
   SELECT strftime(fecha, '%Y-%m') AS periodo, importe_cents, ord_cents, ext_cents, mora_cents,
          (ord_cents + ext_cents + mora_cents)::HUGEINT AS w
   FROM aplicado a JOIN detalle d ON d.uf_id = a.uf_id AND d.periodo = a.periodo)
-SELECT periodo AS "Periodo", SUM({_part("ord_cents")}) / 1000000.0 AS "Ordinario",
-       SUM({_part("ext_cents")}) / 1000000.0 AS "Extraordinario", SUM({_part("mora_cents")}) / 1000000.0 AS "Mora",
-       SUM({_part("ord_cents")} + {_part("ext_cents")} + {_part("mora_cents")}) / 1000000.0 AS "Total"
-FROM peso GROUP BY periodo
+SELECT periodo AS "Periodo", {_SUMS} FROM peso GROUP BY periodo
 """)
 def r3_income_by_source(star: Star) -> DataFrame:
     return reports.income_by_source(star.applied(), star.paid_lines())
