@@ -283,22 +283,18 @@ def top_debtors(debtor_rows: DataFrame, n: int = 3) -> DataFrame:
 
 
 def ordinary_payment_gaps(
-    applied: DataFrame,
-    lines: DataFrame,
+    paid_lines: DataFrame,
     building_id: int | None = None,
     unit_id: int | None = None,
     since: dt.date | None = None,
     until: dt.date | None = None,
 ) -> DataFrame:
-    """Report 6: payments toward lines with an ordinary part and the days since the unit's previous one."""
-    applied = applied.filter(dates.in_range(F.col("fecha"), since, until))
-    for column, wanted in (("consorcio_id", building_id), ("uf_id", unit_id)):
-        if wanted is not None:
-            applied = applied.filter(F.col(column) == wanted)
-            lines = lines.filter(F.col(column) == wanted)
-    ordinary = lines.filter("ord_cents > 0").select("uf_id", "periodo")
-    return payment_gaps(
-        applied.join(ordinary, ["uf_id", "periodo"], "left_semi").select(
-            "uf_id", "consorcio_id", "id_pago", "fecha"
-        )
-    )
+    """Report 6: payments toward lines with an ordinary part and the days since the unit's previous one.
+
+    ``paid_lines`` are applied payments with ``ord_cents`` of their line.
+    """
+    wanted = paid_lines.filter(dates.in_range(F.col("fecha"), since, until)).filter("ord_cents > 0")
+    for column, value in (("consorcio_id", building_id), ("uf_id", unit_id)):
+        if value is not None:
+            wanted = wanted.filter(F.col(column) == value)
+    return payment_gaps(wanted.select("uf_id", "consorcio_id", "id_pago", "fecha"))

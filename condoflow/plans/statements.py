@@ -113,12 +113,17 @@ def income_buckets(payments: DataFrame, units: DataFrame) -> DataFrame:
 
 
 def apply_payments(
-    payments: DataFrame, units: DataFrame, statements: DataFrame, applied: DataFrame | None = None
+    payments: DataFrame,
+    units: DataFrame,
+    statements: DataFrame,
+    applied: DataFrame | None = None,
+    carry: tuple[str, ...] = (),
 ) -> DataFrame:
     """Whole payments applied to the line of their unit in the statement of the month before.
 
     Every unit has a line in each statement of its building, so the building's
     statement decides whether the line exists.  Payments in ``applied`` are left out.
+    ``carry`` names unit columns to keep, which saves a second join with the units.
     """
     target = dates.shift_period(dates.period_of(F.col("fecha")), -1)
     fresh = payments
@@ -126,9 +131,9 @@ def apply_payments(
         fresh = payments.join(applied.select("id_pago"), "id_pago", "left_anti")
     return (
         fresh.select("id_pago", "cvu", "fecha", "importe_cents", target.alias("periodo"))
-        .join(units.select("cvu", "uf_id", "consorcio_id"), "cvu")
+        .join(units.select("cvu", "uf_id", "consorcio_id", *carry), "cvu")
         .join(statements.select("consorcio_id", "periodo"), ["consorcio_id", "periodo"], "left_semi")
-        .select("id_pago", "uf_id", "consorcio_id", "periodo", "fecha", "importe_cents")
+        .select("id_pago", "uf_id", "consorcio_id", "periodo", "fecha", "importe_cents", *carry)
     )
 
 
@@ -243,19 +248,18 @@ def statement_shares(units: DataFrame, costs: DataFrame, period_range: Range) ->
     )
 
 
-def shares_of_paid_lines(applied: DataFrame, units: DataFrame, costs: DataFrame) -> DataFrame:
-    """Like ``statement_shares``, for the lines with payments only: no row per unpaid month."""
-    zero = F.lit(0).cast("bigint")
-    bp = F.coalesce("pct_bp", F.lit(0))
+def with_shares(applied: DataFrame, costs: DataFrame) -> DataFrame:
+    """Applied payments, carrying their unit's ``pct_bp``, with the parts of the line they settle.
+
+    Gives what a join with the statement lines would, without a row per unpaid month.
+    """
+    zero, bp = F.lit(0).cast("bigint"), F.coalesce("pct_bp", F.lit(0))
     return (
-        applied.select("uf_id", "consorcio_id", "periodo").distinct()
-        .join(units.select("uf_id", "pct_bp"), "uf_id")
-        .join(costs_by_period(costs), ["consorcio_id", "periodo"], "left")
-        .select(
-            "uf_id", "consorcio_id", "periodo",
-            money.share_of(F.coalesce("ord_cents", zero), bp).alias("ord_cents"),
-            money.share_of(F.coalesce("ext_cents", zero), bp).alias("ext_cents"),
-        )
+        applied.join(costs_by_period(costs), ["consorcio_id", "periodo"], "left")
+        .withColumns({
+            c: money.share_of(F.coalesce(c, zero), bp) for c in ("ord_cents", "ext_cents")
+        })
+        .drop("pct_bp")
     )
 
 

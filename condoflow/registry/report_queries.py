@@ -138,7 +138,7 @@ intervalo AS (
 
 
 def _gaps(star: Star) -> DataFrame:
-    return reports.ordinary_payment_gaps(star.applied(), star.paid_shares())
+    return reports.ordinary_payment_gaps(star.applied_with_shares())
 
 
 @query("r6_payment_gaps", GAPS_SQL + """

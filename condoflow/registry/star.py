@@ -24,9 +24,14 @@ class Star:
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark = configure(spark)
         self.dir = sf_dir.rstrip("/")
+        self._schemas = {}
 
     def read(self, table: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.dir}/{table}.parquet")
+        """A fresh scan of the table; its footer is read for the schema only once."""
+        path = f"{self.dir}/{table}.parquet"
+        if table not in self._schemas:
+            self._schemas[table] = self.spark.read.parquet(path).schema
+        return self.spark.read.schema(self._schemas[table]).parquet(path)
 
     def buildings(self) -> DataFrame:
         """id, nombre, direccion and the opening balance: what its suppliers hold."""
@@ -120,8 +125,9 @@ class Star:
     def applied(self) -> DataFrame:
         return st.apply_payments(self.payments(), self.bare_units(), self.statements())
 
-    def paid_shares(self) -> DataFrame:
-        return st.shares_of_paid_lines(self.applied(), self.units(), self.costs())
+    def applied_with_shares(self) -> DataFrame:
+        applied = st.apply_payments(self.payments(), self.units(), self.statements(), carry=("pct_bp",))
+        return st.with_shares(applied, self.costs())
 
     def lines(self) -> DataFrame:
         return st.statement_detail(self.units(), self.costs(), self.payments(), RANGE)

@@ -235,12 +235,24 @@ def test_debtors_and_their_document(world):
     assert root[0].find("apellido").text == 'A "<b>"'
 
 
+def with_lines(world):
+    shares = st.statement_shares(world["units"], world["costs"], RANGE)
+    return applied(world).join(shares.drop("consorcio_id"), ["uf_id", "periodo"])
+
+
+def test_shares_without_the_lines_are_the_same(world, rows):
+    carried = st.apply_payments(
+        world["payments"], world["units"], st.statements_of(world["buildings"], RANGE), carry=("pct_bp",)
+    )
+    columns = ["id_pago", "ord_cents", "ext_cents"]
+    assert rows(st.with_shares(carried, world["costs"]).select(*columns)) == rows(with_lines(world).select(*columns))
+
+
 def test_gap_document_nests(world, tmp_path, spark):
     import glob
     import xml.etree.ElementTree as tree
 
-    shares = st.statement_shares(world["units"], world["costs"], RANGE)
-    gaps = reports.ordinary_payment_gaps(applied(world), shares)
+    gaps = reports.ordinary_payment_gaps(with_lines(world))
     xml.write_gaps(gaps, str(tmp_path / "gaps"))
     body = "".join(open(f).read() for f in sorted(glob.glob(str(tmp_path / "gaps" / "part-*"))))
     root = tree.fromstring(f"<pagosOrdinarios>{body}</pagosOrdinarios>")
@@ -254,8 +266,7 @@ def test_gap_document_nests(world, tmp_path, spark):
 
 
 def test_gaps_filters(world):
-    shares = st.statement_shares(world["units"], world["costs"], RANGE)
-    some = reports.ordinary_payment_gaps(applied(world), shares, unit_id=3, since=dt.date(2025, 2, 1), until=dt.date(2025, 2, 28))
+    some = reports.ordinary_payment_gaps(with_lines(world), unit_id=3, since=dt.date(2025, 2, 1), until=dt.date(2025, 2, 28))
     assert {r.uf_id for r in some.collect()} <= {3} and some.filter("primero").count() <= 1
 
 
