@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions.text import key_text
+from .spread import spread_join
 
 
 def upsert(current: DataFrame, incoming: DataFrame, name: str, values: list[str]) -> DataFrame:
@@ -64,7 +65,8 @@ def discover_parents(children: DataFrame, parents: DataFrame, name: str, placeho
 def scalar_lookup(rows: DataFrame, names: DataFrame, name: str, key: str) -> DataFrame:
     """Add the parent's ``key`` by trimmed name, null when no parent has that name."""
     found = names.groupBy(key_text(F.col(name)).alias("_name")).agg(F.min(key).alias(key))
-    return rows.join(found, key_text(rows[name]) == F.col("_name"), "left").drop("_name")
+    named = rows.withColumn("_name", key_text(F.col(name)))
+    return spread_join(named, found, ["_name"], rows.columns, "left").drop("_name")
 
 
 def drop_all_duplicates(df: DataFrame, key: str) -> DataFrame:

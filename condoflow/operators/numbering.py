@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window, functions as F
 
 from ..session import stage
+from .spread import spread_join
 
 _POSITION_BITS = 33  # layout of monotonically_increasing_id: slice number above, position below
 
@@ -21,14 +22,16 @@ def dense_numbers(
     Here rows are range-partitioned on group and order, so a hot group is spread
     over many slices; each row's position in its slice is stored, and only one
     count per (group, slice) is ordered by a window.  Rows equal in all of
-    ``order_by`` get their numbers in any order.
+    ``order_by`` are ordered by a hash of the row, so many of them spread too.
     """
     groups = list(partition_by or [])
-    keys = [*groups, *order_by]
+    keys = [*groups, *order_by, "_tie"]
     placed = stage(
-        df.repartitionByRange(*keys)
+        df.withColumn("_tie", F.xxhash64(*df.columns))
+        .repartitionByRange(*keys)
         .sortWithinPartitions(*keys)
         .withColumn("_slot", F.monotonically_increasing_id())
+        .drop("_tie")
     )
     rows = placed.select(
         *df.columns,
@@ -69,7 +72,7 @@ def number_after(
     last = taken.groupBy(group).agg(F.max(number).alias("_last"))
     numbered = dense_numbers(df, order_by, [group], name=number)
     return (
-        numbered.join(last, group, "left")
+        spread_join(numbered, last, [group], [number], "left")
         .withColumn(number, F.col(number) + F.coalesce("_last", F.lit(0)))
         .drop("_last")
     )

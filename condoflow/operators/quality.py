@@ -21,10 +21,14 @@ def unique(df: DataFrame, rule: str, column: str) -> DataFrame:
 
 
 def references(df: DataFrame, rule: str, column: str, parent: DataFrame, parent_key: str) -> DataFrame:
-    """Distinct values of ``column`` that no parent row has."""
+    """Distinct values of ``column`` that no parent row has.
+
+    Both sides are reduced to distinct values first, so a value that fills a
+    large part of either table is one row by the time they meet.
+    """
     values = df.select(F.col(column).alias("_value")).filter(F.col("_value").isNotNull()).distinct()
     orphans = values.join(
-        parent.select(F.col(parent_key).alias("_parent")), F.col("_value") == F.col("_parent"), "left_anti"
+        parent.select(F.col(parent_key).alias("_parent")).distinct(), F.col("_value") == F.col("_parent"), "left_anti"
     )
     return _as_violations(orphans, rule, F.col("_value"))
 

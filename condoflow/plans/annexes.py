@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from ..functions.money import div_round
 from ..operators.numbering import number_after
+from ..operators.spread import spread_join
 
 PARKING_WEIGHT = 100  # percent of the size share a place carries
 STORAGE_WEIGHT = 50
@@ -21,7 +22,7 @@ def share_of_total(units: DataFrame, weight: int = 100) -> DataFrame:
     totals = units.groupBy("consorcio_id").agg(F.coalesce(F.sum(hundredths), F.lit(0)).alias("_total"))
     share = div_round(hundredths * (100 * weight), F.col("_total"))
     return (
-        units.join(totals, "consorcio_id")
+        spread_join(units, totals, ["consorcio_id"], ["uf_id"])
         .withColumn("pct_bp", F.when(F.col("_total") > 0, share).otherwise(F.lit(0)))
         .drop("_total")
     )

@@ -13,6 +13,7 @@ from ..functions import dates, text
 from ..operators import maintenance as m
 from ..operators.numbering import continue_ids, dense_numbers
 from ..operators.services import unpivot_services
+from ..operators.spread import spread_join
 
 
 def parse_payments(lines: DataFrame) -> DataFrame:
@@ -157,7 +158,7 @@ def enrich_with_suppliers(costs: DataFrame, suppliers: DataFrame) -> DataFrame:
     )
     hit = F.coalesce(open_cost, F.lit(False)) & F.col("_offer").isNotNull()
     return (
-        costs.join(choice, ["consorcio_id", "tipo_servicio"], "left")
+        spread_join(costs, choice, ["consorcio_id", "tipo_servicio"], costs.columns, "left")
         .withColumns({
             "_hit": hit,
             "_service": F.coalesce(F.col("_offer.categoria_nueva"), F.col("tipo_servicio")),
@@ -185,11 +186,8 @@ def import_unit_holders(
         F.trim("departamento").alias("departamento"),
     )
     holders = persons.select("cvu").distinct().withColumn("_holder", F.lit(True))
-    uses = trimmed.groupBy("cvu").agg(F.count(F.lit(1)).alias("_uses"))
-    # All joins by account come first, so they share one partitioning.
-    by_account = (
-        m.absent_rows(trimmed, units.select("cvu"), ["cvu"]).join(holders, "cvu", "left").join(uses, "cvu", "left")
-    )
+    uses = trimmed.groupBy("cvu").agg(F.count(F.lit(1)).alias("_uses")).join(holders, "cvu", "left")
+    by_account = spread_join(m.absent_rows(trimmed, units.select("cvu"), ["cvu"]), uses, ["cvu"], ["consorcio", "numero"], "left")
     names = buildings.select(F.col("id").alias("consorcio_id"), F.col("nombre").alias("consorcio"))
     checked = m.scalar_lookup(by_account, names, "consorcio", "consorcio_id")
     ok = F.coalesce(F.col("consorcio_id").isNotNull() & F.col("_holder") & (F.col("_uses") == 1), F.lit(False))

@@ -14,6 +14,7 @@ import datetime as dt
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..functions import dates, money
+from ..operators.spread import spread_join
 
 
 class Range:
@@ -233,10 +234,10 @@ def _payments_per_account(payments: DataFrame, period_range: Range) -> DataFrame
 def statement_shares(units: DataFrame, costs: DataFrame, period_range: Range) -> DataFrame:
     """Ordinary and extraordinary part of every unit in every statement of the range."""
     months = _costs_per_building(costs, period_range)
+    shares = units.select("uf_id", "consorcio_id", F.coalesce("pct_bp", F.lit(0)).alias("_bp"))
     zero = F.lit(0).cast("bigint")
     rows = (
-        units.select("uf_id", "consorcio_id", F.coalesce("pct_bp", F.lit(0)).alias("_bp"))
-        .join(months, "consorcio_id", "left")
+        spread_join(shares, months, ["consorcio_id"], ["uf_id"], "left")
         .withColumn("_i", F.explode(F.sequence(F.lit(0), F.lit(period_range.months - 1))))
         .withColumn("_c", F.get("costs", F.col("_i")))
     )
@@ -255,7 +256,7 @@ def with_shares(applied: DataFrame, costs: DataFrame) -> DataFrame:
     """
     zero, bp = F.lit(0).cast("bigint"), F.coalesce("pct_bp", F.lit(0))
     return (
-        applied.join(costs_by_period(costs), ["consorcio_id", "periodo"], "left")
+        spread_join(applied, costs_by_period(costs), ["consorcio_id", "periodo"], ["id_pago"], "left")
         .withColumns({
             c: money.share_of(F.coalesce(c, zero), bp) for c in ("ord_cents", "ext_cents")
         })
@@ -292,10 +293,11 @@ def statement_detail(
     # Every unit grows into one line per month, so units are spread over all
     # shuffle partitions instead of being coalesced by their small size.
     partitions = int(units.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    paying = accounts.repartition(partitions, "cvu").join(
+        _payments_per_account(payments, period_range), "cvu", "left"
+    )
     inputs = (
-        accounts.repartition(partitions, "cvu")
-        .join(_payments_per_account(payments, period_range), "cvu", "left")
-        .join(_costs_per_building(costs, period_range), "consorcio_id", "left")
+        spread_join(paying, _costs_per_building(costs, period_range), ["consorcio_id"], ["uf_id"], "left")
         .withColumn(
             "_months",
             F.transform(

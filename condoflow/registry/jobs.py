@@ -105,8 +105,7 @@ WHERE cvu NOT IN (SELECT cvu FROM pago WHERE fecha >= DATE '2001-01-01')
 """)
 def ingest_uf_titular(star: Star) -> DataFrame:
     """Units of accounts that paid lately are registered already."""
-    recent = star.payments().filter(F.col("fecha") >= F.lit(tables.RECENT)).select("cvu")
-    registered = star.bare_units().join(recent, "cvu", "left_semi")
+    registered = star.bare_units().join(tables.recent_accounts(star), "cvu", "left_semi")
     new, _ = ingest.import_unit_holders(
         inputs.src_uf_titular(star), registered, star.building_names(), star.persons()
     )

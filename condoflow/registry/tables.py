@@ -264,20 +264,23 @@ def join_trimmed_key(star: Star) -> DataFrame:
     return units.join(names, "_name").select("uf_id", "consorcio_id")
 
 
+def recent_accounts(star: Star) -> DataFrame:
+    """Accounts that paid lately, once each however often they paid."""
+    return star.payments().filter(F.col("fecha") >= F.lit(RECENT)).select("cvu").distinct()
+
+
 @query("join_anti_single", """
 SELECT uf_id, cvu FROM unidad_base WHERE cvu NOT IN (SELECT cvu FROM pago WHERE fecha >= DATE '2001-01-01')
 """)
 def join_anti_single(star: Star) -> DataFrame:
-    recent = star.payments().filter(F.col("fecha") >= F.lit(RECENT)).select("cvu")
-    return m.absent_rows(star.bare_units().select("uf_id", "cvu"), recent, ["cvu"])
+    return m.absent_rows(star.bare_units().select("uf_id", "cvu"), recent_accounts(star), ["cvu"])
 
 
 @query("join_semi", """
 SELECT uf_id, cvu FROM unidad_base WHERE cvu IN (SELECT cvu FROM pago WHERE fecha >= DATE '2001-01-01')
 """)
 def join_semi(star: Star) -> DataFrame:
-    recent = star.payments().filter(F.col("fecha") >= F.lit(RECENT)).select("cvu")
-    return star.bare_units().select("uf_id", "cvu").join(recent, "cvu", "left_semi")
+    return star.bare_units().select("uf_id", "cvu").join(recent_accounts(star), "cvu", "left_semi")
 
 
 @query("join_like_prefix", src.SUPPLIER_SQL + """

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from condoflow import registry
 from condoflow.plans import statements as st
+from condoflow.plans.annexes import share_of_total
 from condoflow.registry.star import RANGE
 
 SF_DIR = "/root/testdata/sf0.001"
@@ -53,6 +54,38 @@ def test_a_hot_account_is_split_when_payments_are_applied(small_limits):
     assert applied.count() == n
 
 
+def hot_building_units(spark, n):
+    """Units of which two thirds belong to one building."""
+    building = F.when(F.col("id") % 3 > 0, 1).otherwise(F.col("id") % 997 + 2)
+    return spark.range(0, n, 1, 8).select(
+        F.col("id").alias("uf_id"), F.lpad(F.col("id").cast("string"), 22, "0").alias("cvu"),
+        building.cast("bigint").alias("consorcio_id"), F.lit(7).cast("bigint").alias("pct_bp"), (F.col("id") % 70 + 30).alias("m2"),
+    )
+
+
+def test_a_hot_building_is_split_when_lines_are_made(small_limits):
+    spark = small_limits
+    units = hot_building_units(spark, 60_000)
+    costs = spark.range(2, 2000).select(
+        F.floor(F.col("id") / 2).alias("consorcio_id"),
+        F.date_add(F.lit(dt.date(2000, 1, 5)), (F.col("id") % 2).cast("int")).alias("fecha"),
+        F.lit(5_000).cast("bigint").alias("ord_cents"), F.lit(0).cast("bigint").alias("ext_cents"),
+    )
+    payments = units.select(
+        F.col("uf_id").alias("id_pago"), "cvu", F.lit(dt.date(2000, 2, 5)).alias("fecha"), F.lit(7).cast("bigint").alias("importe_cents")
+    )
+    lines = st.statement_detail(units, costs, payments, st.Range(dt.date(2000, 1, 1), dt.date(2000, 2, 1)))
+    assert "SortMergeJoin(skew=true)" in final_plan(lines)
+    assert lines.agg(F.sum("total_cents"), F.sum("pagado_cents")).first() == (60_000 * 7, 60_000 * 7)
+
+
+def test_a_hot_building_is_split_when_shares_are_taken(small_limits):
+    units = hot_building_units(small_limits, 200_000).drop("pct_bp")
+    shares = share_of_total(units)
+    assert "SortMergeJoin(skew=true)" in final_plan(shares)
+    assert shares.count() == 200_000
+
+
 def test_monthly_sums_meet_before_the_shuffle(spark):
     plan = registry.queries()["income_buckets"](spark, SF_DIR)._jdf.queryExecution().executedPlan().toString()
     scan = plan.rindex("orders.parquet")
