@@ -7,6 +7,7 @@ later steps; the version counts only after its last table is there.
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
@@ -50,8 +51,26 @@ def with_accounts(buildings: DataFrame, accounts: DataFrame | None) -> DataFrame
     )
 
 
-def _buildings(spark: SparkSession, old: DataFrame, files: MonthlyFiles, sizes: DataFrame) -> DataFrame:
-    listed = src.read_buildings(spark, files.buildings).good
+class _Drop:
+    """The parsed files of a drop; keeps what was refused on the way, for the reject table."""
+
+    def __init__(self, spark: SparkSession, files: MonthlyFiles):
+        self.spark, self.files = spark, files
+        self.refused: list[DataFrame] = []
+
+    def read(self, name: str, *options) -> DataFrame:
+        loaded = getattr(src, f"read_{name}")(self.spark, getattr(self.files, name), *options)
+        self.refuse(name, loaded.rejected)
+        return loaded.good
+
+    def refuse(self, name: str, rows: DataFrame) -> None:
+        self.refused.append(rows.select(F.lit(name).alias("origen"), F.to_json(F.struct("*")).alias("detalle")))
+
+    def rejects(self) -> DataFrame:
+        return reduce(DataFrame.unionByName, self.refused)
+
+
+def _buildings(listed: DataFrame, old: DataFrame, sizes: DataFrame) -> DataFrame:
     merged = ingest.import_buildings(listed, old)
     found = m.discover_parents(
         m.require_keys(sizes, ["consorcio", "numero"]).select(F.col("consorcio").alias("nombre")),
@@ -79,21 +98,22 @@ def run_month(
     issued_before = old["expensa"].select("consorcio_id", "periodo")
     if not issued_before.filter(period_range.has(F.col("periodo"))).isEmpty():
         raise ValueError("the range holds periods with statements already issued")
-    out = NewVersion(spark, root)
+    out, drop = NewVersion(spark, root), _Drop(spark, files)
 
-    sizes = src.read_unit_sizes(spark, files.unit_sizes).good
-    buildings = stage(with_accounts(_buildings(spark, old["consorcio"], files, sizes), accounts))
+    sizes = drop.read("unit_sizes")
+    buildings = stage(with_accounts(_buildings(drop.read("buildings"), old["consorcio"], sizes), accounts))
 
-    person_lines = src.read_persons(spark, files.persons, files.person_separator).good
-    sound = person_lines.filter(~F.coalesce(ingest.rounded_account(F.col("cvu")), F.lit(True)))
+    person_lines = drop.read("persons", files.person_separator)
+    unusable = F.coalesce(ingest.rounded_account(F.col("cvu")), F.lit(True))
+    sound = person_lines.filter(~unusable)
+    drop.refuse("persons", person_lines.filter(unusable))
     new_persons = ingest.import_persons(sound, old["persona"]).withColumn("id", F.lit(None).cast("bigint"))
     persons = out.write(
         "persona", old["persona"].unionByName(continue_ids(new_persons, old["persona"], "id", ["dni", "cvu"]))
     )
 
-    holders, _ = ingest.import_unit_holders(
-        src.read_unit_holders(spark, files.unit_holders).good, old["unidad"], buildings, persons
-    )
+    holders, strangers = ingest.import_unit_holders(drop.read("unit_holders"), old["unidad"], buildings, persons)
+    drop.refuse("unit_holders", strangers)
     new_units = continue_ids(
         holders.drop("consorcio").withColumn("uf_id", F.lit(None).cast("bigint")), old["unidad"], "uf_id",
         ["consorcio_id", "numero", "cvu"],
@@ -102,12 +122,13 @@ def run_month(
     filled, _ = ingest.import_unit_sizes(sizes, every_unit, buildings)
     units = out.write("unidad", filled)
 
-    new_payments, _ = ingest.import_payments(src.read_payments(spark, files.payments).good, old["pago"])
+    new_payments, unreadable = ingest.import_payments(drop.read("payments"), old["pago"])
+    drop.refuse("payments", unreadable)
     payments = out.write("pago", old["pago"].unionByName(new_payments))
 
     names = buildings.select(F.col("id").alias("consorcio_id"), F.col("nombre").alias("consorcio"))
     suppliers = m.scalar_lookup(
-        ingest.supplier_rows(src.read_suppliers(spark, files.suppliers).good), names, "consorcio", "consorcio_id"
+        ingest.supplier_rows(drop.read("suppliers")), names, "consorcio", "consorcio_id"
     ).drop("consorcio")
     documents = src.read_costs(spark, files.costs, files.costs_as_array)
     monthly = ingest.import_costs(documents, buildings, year, last_id=old["gasto_ordinario"].count())
@@ -156,6 +177,7 @@ def run_month(
         out.write(table, old[table].unionByName(new_places))
 
     _write_fixed_tables(spark, out, old, accounts)
+    out.write("rechazo", drop.rejects())
     return out.commit()
 
 

@@ -80,6 +80,7 @@ TABLES = {
         ("deuda_cents", L), ("interes_cents", L), ("total_cents", L), ("pagado_cents", L), ("primera_fecha", D),
         ("pagado_anterior_cents", L), ("vencimiento_1", D), ("vencimiento_2", D), ("mora_cents", L),
     ),
+    "rechazo": _struct(("origen", S), ("detalle", S)),
     "pago_aplicado": _struct(
         ("id_pago", L), ("uf_id", L), ("consorcio_id", L), ("periodo", D), ("fecha", D), ("importe_cents", L)
     ),

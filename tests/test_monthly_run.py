@@ -60,6 +60,8 @@ def test_two_months_and_a_failure(spark, tmp_path):
     costs = {(c.consorcio_id, c.tipo_servicio): c for c in table(spark, root, "gasto_ordinario").collect()}
     assert costs[1, "BANCARIOS"].empresa == "BANCO UNO" and costs[2, "BANCARIOS"].empresa is None
     assert costs[1, "GASTOS GENERALES"].empresa in schemas.GENERAL_VENDORS
+    refused = {r.origen: r.detalle for r in table(spark, root, "rechazo").collect()}
+    assert list(refused) == ["persons"] and "3,62E+21" in refused["persons"]
     lines = {(r.uf_id, r.periodo.month): r for r in table(spark, root, "detalle_expensa").collect()}
     assert {k: r.total_cents for k, r in lines.items()} == {(u, 5): 75000 for u in range(1, 5)}
     # accounts go to buildings in order; a balance becomes the closing one: 2000 + 100 - 1500
