@@ -14,11 +14,13 @@ ORACLE: dict[str, str] = {}
 
 
 def plain(df: DataFrame) -> DataFrame:
-    """Amounts as DOUBLE, those too wide for it and dates as text, which every SQL engine can compare."""
+    """Whole numbers as BIGINT, amounts as DOUBLE, those too wide for it and dates as text."""
     def column(field: T.StructField):
         c = F.col(f"`{field.name}`")
         if isinstance(field.dataType, T.DecimalType):
             return c.cast("double" if field.dataType.precision <= 18 else "string").alias(field.name)
+        if isinstance(field.dataType, T.IntegerType):
+            return c.cast("bigint").alias(field.name)
         if isinstance(field.dataType, (T.DateType, T.BooleanType)):
             return c.cast("string").alias(field.name)
         return c
@@ -26,6 +28,11 @@ def plain(df: DataFrame) -> DataFrame:
     return df.select(*[column(f) for f in df.schema])
 
 
+def numbers_as_text(df: DataFrame, *columns: str) -> DataFrame:
+    """Whole numbers that may be null as text: data frames of some tools turn them into floats."""
+    return df.withColumns({c: F.col(c).cast("string") for c in columns})
+
+
 def query(name: str, sql: str | None = None):
     """Register a function of the star tables under ``name``, with the SQL giving the same rows."""
     def register(build: Callable[[Star], DataFrame]):

@@ -12,7 +12,7 @@ from ..plans import ingest
 from ..sources.files import CORRUPT, parse_lines, split_rejects
 from ..sources.text_lines import amount_shapes, parse_documents
 from . import lines as src
-from .base import query, rounded, text_of
+from .base import numbers_as_text, query, rounded, text_of
 from .star import Star
 
 # A key for the test tables only; real runs read theirs from the session.
@@ -127,7 +127,7 @@ def clean_blank_rows(star: Star) -> DataFrame:
 
 
 @query("load_reject_split", """
-SELECT CASE WHEN o_orderstatus = 'P' THEN NULL ELSE o_orderkey END AS id_pago,
+SELECT CASE WHEN o_orderstatus = 'P' THEN NULL ELSE o_orderkey END::VARCHAR AS id_pago,
        CASE WHEN o_orderstatus = 'P' THEN 'n' || o_orderkey || ',' || lpad(o_custkey::VARCHAR, 22, '0') END AS rechazada
 FROM orders
 """)
@@ -141,13 +141,14 @@ def load_reject_split(star: Star) -> DataFrame:
     )
     layout = schemas.PAYMENT_FILE["id_pago"], schemas.PAYMENT_FILE["cvu"]
     loaded = split_rejects(parse_lines(lines, schemas.T.StructType(list(layout)), ","))
-    return loaded.good.select("id_pago", F.lit(None).cast("string").alias("rechazada")).unionByName(
+    both = loaded.good.select("id_pago", F.lit(None).cast("string").alias("rechazada")).unionByName(
         loaded.rejected.select(F.lit(None).cast("bigint").alias("id_pago"), F.col(CORRUPT).alias("rechazada"))
     )
+    return numbers_as_text(both, "id_pago")
 
 
 @query("parse_payment_line", """
-SELECT id_pago, 1 AS forma_pago_id, cvu, fecha::VARCHAR AS fecha, importe_cents FROM pago
+SELECT id_pago, 1::BIGINT AS forma_pago_id, cvu, fecha::VARCHAR AS fecha, importe_cents FROM pago
 """)
 def parse_payment_line(star: Star) -> DataFrame:
     return ingest.parse_payments(src_pagos(star))
@@ -330,7 +331,7 @@ def clean_number(star: Star) -> DataFrame:
 
 
 @query("invoice_number", """
-SELECT l_orderkey, l_partkey, l_suppkey, l_linenumber, importe_cents, fecha::VARCHAR AS fecha,
+SELECT l_orderkey, l_partkey, l_suppkey, l_linenumber::BIGINT AS l_linenumber, importe_cents, fecha::VARCHAR AS fecha,
        lpad((consorcio_id % 1000)::VARCHAR, 3, '0') || strftime(fecha, '%y%m')
          || lpad((l_orderkey % 1000)::VARCHAR, 3, '0') AS nro_factura
 FROM gasto

@@ -10,14 +10,14 @@ from ..plans import annexes, ingest, notifications, statements as st
 from ..sources.files import parse_lines, split_rejects
 from ..sources.text_lines import parse_documents
 from . import inputs, lines as src, tables
-from .base import query, rounded
+from .base import numbers_as_text, query, rounded
 from .star import Star
 
 SENDER = "administracion@example.org"
 
 
 @query("ingest_pagos", """
-SELECT id_pago, 1 AS forma_pago_id, cvu, fecha::VARCHAR AS fecha, importe_cents FROM pago WHERE fecha >= DATE '1998-01-01'
+SELECT id_pago, 1::BIGINT AS forma_pago_id, cvu, fecha::VARCHAR AS fecha, importe_cents FROM pago WHERE fecha >= DATE '1998-01-01'
 """)
 def ingest_pagos(star: Star) -> DataFrame:
     """Payments of the whole file that are not among the loaded ones."""
@@ -133,7 +133,7 @@ def ingest_uf_consorcio(star: Star) -> DataFrame:
 @query("fill_general_costs", """,
 azar AS (
   SELECT *, l_orderkey || '|' || l_linenumber AS k FROM gasto WHERE NOT extraordinario)
-SELECT l_orderkey, l_linenumber, importe_cents, tipo_servicio,
+SELECT l_orderkey, l_linenumber::BIGINT AS l_linenumber, importe_cents, tipo_servicio,
        CASE WHEN tipo_servicio = 'GASTOS GENERALES' THEN (ARRAY['Fumigadora La Rápida', 'Iluminación LED S.A.', 'Llaves Express',
          'Servicios de Mantenimiento Integral', 'Piscinas del Sur'])[('0x' || substr(md5('v|' || k), 1, 8))::BIGINT % 5 + 1] END AS empresa,
        CASE WHEN tipo_servicio = 'GASTOS GENERALES' THEN (ARRAY['Reposición de lámparas LED', 'Duplicado de llaves', 'Fumigación mensual',
@@ -210,7 +210,8 @@ def statement_detail(star: Star) -> DataFrame:
 
 
 @query("assign_costs_to_statement", """
-SELECT g.consorcio_id, fecha::VARCHAR AS fecha, importe_cents, e.consorcio_id * 1000000 + year(fecha) * 100 + month(fecha) AS expensa_id
+SELECT g.consorcio_id, fecha::VARCHAR AS fecha, importe_cents, 
+       (e.consorcio_id * 1000000 + year(fecha) * 100 + month(fecha))::VARCHAR AS expensa_id
 FROM gasto g LEFT JOIN (SELECT * FROM expensa WHERE periodo < DATE '2000-01-01') e
   ON e.consorcio_id = g.consorcio_id AND e.periodo = date_trunc('month', fecha)::DATE
 """)
@@ -218,7 +219,8 @@ def assign_costs_to_statement(star: Star) -> DataFrame:
     """Statements exist until 1999; later costs stay pending."""
     issued = star.statements().filter(F.col("periodo") < "2000-01-01")
     costs = star.cost_items().select("consorcio_id", "fecha", "importe_cents")
-    return st.assign_costs(costs, issued).select("consorcio_id", "fecha", "importe_cents", "expensa_id")
+    linked = st.assign_costs(costs, issued).select("consorcio_id", "fecha", "importe_cents", "expensa_id")
+    return numbers_as_text(linked, "expensa_id")
 
 
 @query("late_interest", """

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 
 from ..plans import reports
 from ..sources import xml
-from .base import query, rounded, text_of
+from .base import numbers_as_text, query, rounded, text_of
 from .star import Star
 
 WEEKLY_SQL = f""",
@@ -142,10 +142,10 @@ def _gaps(star: Star) -> DataFrame:
 
 
 @query("r6_payment_gaps", GAPS_SQL + """
-SELECT uf_id, consorcio_id, id_pago, fecha::VARCHAR AS fecha, dias FROM intervalo
+SELECT uf_id, consorcio_id, id_pago, fecha::VARCHAR AS fecha, dias::VARCHAR AS dias FROM intervalo
 """)
 def r6_payment_gaps(star: Star) -> DataFrame:
-    return _gaps(star).drop("primero", "ultimo")
+    return numbers_as_text(_gaps(star).drop("primero", "ultimo"), "dias")
 
 
 @query("r6_payment_gaps_xml", GAPS_SQL + """

@@ -11,7 +11,7 @@ from ..functions import dates, money, text
 from ..operators import maintenance as m, numbering, quality, ranking
 from ..plans import annexes, ingest, reports, statements as st
 from . import inputs, lines as src
-from .base import query, rounded
+from .base import numbers_as_text, query, rounded
 from .star import Star
 
 LOADED_UNTIL = dt.date(1998, 1, 1)  # payments before it count as loaded already
@@ -303,7 +303,7 @@ def suppliers(star: Star) -> DataFrame:
 
 
 @query("join_scalar_lookup", src.SUPPLIER_SQL + """
-SELECT s_suppkey, CASE WHEN s_acctbal >= 0 THEN consorcio_id END AS consorcio_id FROM proveedor
+SELECT s_suppkey, CASE WHEN s_acctbal >= 0 THEN consorcio_id END::VARCHAR AS consorcio_id FROM proveedor
 """)
 def join_scalar_lookup(star: Star) -> DataFrame:
     """Suppliers in debt name a building nobody knows."""
@@ -313,7 +313,8 @@ def join_scalar_lookup(star: Star) -> DataFrame:
         F.when(F.col("s_acctbal") < 0, F.lit("desconocido")).otherwise(F.concat(F.lit(" "), F.col("n_name"))).alias("nombre"),
     )
     names = star.building_names().select(F.col("id").alias("consorcio_id"), "nombre")
-    return m.scalar_lookup(named, names, "nombre", "consorcio_id").select("s_suppkey", "consorcio_id")
+    found = m.scalar_lookup(named, names, "nombre", "consorcio_id").select("s_suppkey", "consorcio_id")
+    return numbers_as_text(found, "consorcio_id")
 
 
 @query("join_by_position", """
