@@ -60,12 +60,20 @@ def share_of(total: Column, basis_points: Column) -> Column:
 def weighted_part(value: Column, weight: Column, weight_sum: Column) -> Column:
     """``value`` cents times ``weight / weight_sum`` in millionths of the currency unit.
 
-    Quotient and remainder are scaled apart so that the product never has to
-    hold the extra four digits.  0 when the weights do not add up to more than 0.
+    Quotient and remainder are scaled apart.  BIGINT does for amounts of usual
+    size; where a product would not fit, DECIMAL(38) takes over.  0 when the
+    weights do not add up to more than 0.
     """
-    value, weight, weight_sum = (c.cast("bigint") for c in (value, weight, weight_sum))
-    product = F.abs(value * weight)
-    whole = int_div(product, weight_sum) * 10000
-    rest = int_div((product % weight_sum) * 20000 + weight_sum, weight_sum * 2)
-    signed = F.when(weight < 0, -(whole + rest)).otherwise(whole + rest)
-    return F.when(weight_sum > 0, F.when(value < 0, -signed).otherwise(signed)).otherwise(F.lit(0))
+    narrow = [c.cast("bigint") for c in (value, weight, weight_sum)]
+    wide = [c.cast("decimal(19,0)") for c in (value, weight, weight_sum)]
+
+    def millionths(product: Column, total: Column) -> Column:
+        return int_div(product, total) * 10000 + int_div((product % total) * 20000 + total, total * 2)
+
+    product = F.abs(F.try_multiply(narrow[0], narrow[1]))
+    fits = product.isNotNull() & (narrow[2] < 10**14)
+    size = F.when(fits, millionths(product, narrow[2])).otherwise(
+        millionths(F.abs(wide[0] * wide[1]), wide[2])
+    )
+    signed = F.when((value < 0) != (weight < 0), -size).otherwise(size)
+    return F.when(weight_sum > 0, signed).otherwise(F.lit(0))

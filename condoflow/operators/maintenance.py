@@ -73,16 +73,15 @@ def drop_all_duplicates(df: DataFrame, key: str) -> DataFrame:
     """Drop every row whose key occurs more than once; rows without a key all stay.
 
     One aggregation with map-side combine: copies of a hot key meet before the
-    shuffle, and each null key forms its own group.
+    shuffle.  Rows without a key pass by without one.
     """
-    trimmed = F.rtrim(key)
-    lone = F.when(F.col(key).isNull(), F.monotonically_increasing_id())
-    return (
-        df.groupBy(trimmed.alias("_key"), lone.alias("_lone"))
+    lone = (
+        df.groupBy(F.rtrim(key).alias("_key"))
         .agg(F.count(F.lit(1)).alias("_n"), F.any_value(F.struct(*df.columns)).alias("_row"))
-        .filter(F.col("_n") == 1)
+        .filter("_n = 1 and _key is not null")
         .select("_row.*")
     )
+    return lone.unionByName(df.filter(F.col(key).isNull()))
 
 
 def drop_blank_rows(df: DataFrame) -> DataFrame:

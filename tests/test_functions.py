@@ -43,7 +43,7 @@ def test_div_round_is_half_away_from_zero(spark, num, den):
 
 
 @pytest.mark.parametrize("value, weight, total", [
-    (100, 1, 3), (12345678, 999, 7777), (5, -2, 7), (-5, 2, 7), (10, 3, 0), (10, 3, -4), (0, 0, 5),
+    (100, 1, 3), (12345678, 999, 7777), (10**13, 10**12 + 1, 3 * 10**12), (10**14 - 1, 10**15, 10**15 + 7), (5, -2, 7), (-5, 2, 7), (10, 3, 0), (10, 3, -4), (0, 0, 5),
 ])
 def test_weighted_part_in_millionths(spark, value, weight, total):
     got = spark.range(1).select(money.weighted_part(F.lit(value), F.lit(weight), F.lit(total))).first()[0]
