@@ -4,6 +4,7 @@ from pyspark.sql import functions as F
 
 from condoflow.operators import gaps, maintenance as m, numbering, quality, ranking
 from condoflow.operators.services import unpivot_services
+from condoflow.operators.spread import spread_join
 from condoflow.functions.text import SERVICES
 
 
@@ -145,3 +146,11 @@ def test_unpivot_keeps_nulls(spark):
 def test_largest_breaks_ties(spark):
     df = spark.createDataFrame([("b", 5), ("a", 5), ("c", 9)], "k string, v int")
     assert [r.k for r in ranking.largest(df, 2, "v", ["k"]).collect()] == ["c", "a"]
+
+
+def test_spread_join_equals_a_plain_join(spark, rows):
+    big = spark.range(300).select("id", F.when(F.col("id") % 7 > 0, F.col("id") % 7 % 3).alias("k"))
+    per_key = spark.createDataFrame([(1, "a"), (2, "b"), (9, "z")], "k long, v string")
+    for how in ("inner", "left"):
+        got = spread_join(big, per_key, ["k"], ["id"], how).select("id", "k", "v")
+        assert rows(got) == rows(big.join(per_key, "k", how).select("id", "k", "v"))

@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from condoflow import registry
-from condoflow.plans import statements as st
+from condoflow.plans import ingest, statements as st
 from condoflow.plans.annexes import share_of_total
 from condoflow.registry.star import RANGE
 
@@ -86,6 +86,25 @@ def test_a_hot_building_is_split_when_shares_are_taken(small_limits):
     assert shares.count() == 200_000
 
 
+def test_a_hot_service_is_split_when_suppliers_are_filled_in(small_limits):
+    spark = small_limits
+    n = 200_000
+    service = F.when(F.col("id") % 3 > 0, "BANCARIOS").otherwise(F.concat(F.lit("SEGUROS "), F.col("id") % 499))
+    nothing = F.lit(None).cast("string")
+    costs = spark.range(0, n, 1, 8).select(
+        "id", F.lit(1).cast("bigint").alias("consorcio_id"), service.alias("tipo_servicio"),
+        nothing.alias("empresa"), nothing.alias("detalle"),
+    )
+    suppliers = spark.createDataFrame(
+        [(1, "BANCARIOS", None, "UNO", "x"), (1, "SEGUROS", None, "DOS", "y")],
+        "consorcio_id long, categoria string, categoria_nueva string, empresa string, detalle string",
+    )
+    filled = ingest.enrich_with_suppliers(costs, suppliers)
+    assert "SortMergeJoin(skew=true)" in final_plan(filled)
+    assert filled.filter("empresa = 'UNO'").count() == n - len(range(0, n, 3))
+    assert filled.filter("empresa is null").isEmpty()
+
+
 def test_monthly_sums_meet_before_the_shuffle(spark):
     plan = registry.queries()["income_buckets"](spark, SF_DIR)._jdf.queryExecution().executedPlan().toString()
     scan = plan.rindex("orders.parquet")
