@@ -28,11 +28,11 @@ def parse_payments(lines: DataFrame) -> DataFrame:
 
 
 def import_payments(lines: DataFrame, payments: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
-    """(new payments, refused rows): rows without id are skipped, known ids too."""
+    """(new payments, refused rows): rows without id are skipped, repeated lines and known ids too."""
     parsed = parse_payments(lines).filter(F.col("id_pago").isNotNull())
     complete = F.col("fecha").isNotNull() & F.col("importe_cents").isNotNull() & (F.col("cvu") != "")
     usable = F.coalesce(complete, F.lit(False))
-    new = parsed.filter(usable)
+    new = parsed.filter(usable).distinct()
     if payments is not None:
         new = m.absent_rows(new, payments.select("id_pago"), ["id_pago"])
     return new, parsed.filter(~usable)

@@ -158,7 +158,7 @@ def run_month(
         "uf_id", (F.col("total_cents") - F.col("pagado_cents")).alias("deuda_cents")
     )
     new_lines = st.statement_detail(units, costs, payments, period_range, opening_debt)
-    lines = out.write("detalle_expensa", _refresh(settled.unionByName(new_lines), applied))
+    out.write("detalle_expensa", _refresh(settled.unionByName(new_lines), applied))
 
     headers = st.statement_header(buildings, units, costs, payments, period_range)
     every_header = out.write("expensa", old["expensa"].unionByName(headers))

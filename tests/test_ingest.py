@@ -8,7 +8,7 @@ from condoflow.plans import annexes, ingest
 
 def test_payments_import_once(spark, rows):
     lines = spark.createDataFrame(
-        [(1, "05/04/2025", "7", "$ 10.00"), (2, "31/02/2025", "7", "$ 1"), (None, "01/01/2025", "7", "$ 1"),
+        [(1, "05/04/2025", "7", "$ 10.00"), (1, "05/04/2025", "7", "$10.00"), (2, "31/02/2025", "7", "$ 1"), (None, "01/01/2025", "7", "$ 1"),
          (3, "01/01/2025", "8", "$x"), (4, "02/01/2025", " 9 ", "3.5"), (None, None, None, None)],
         "id_pago long, fecha string, cvu string, valor string",
     )
