@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from condoflow.llm.common import table
+from condoflow.llm.minhash import op5_minhash_dedup
 from condoflow.llm.recompression import op4_substring_dedup
 from condoflow.llm.suffix_dedup import op1_suffix_dedup
 
@@ -19,6 +20,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_suffix_dedup": on_documents(op1_suffix_dedup),
         "op4_substring_dedup": on_documents(op4_substring_dedup),
+        "op5_minhash_dedup": on_documents(op5_minhash_dedup),
     }
 
 

@@ -60,3 +60,36 @@ def op4(rows, window=20):
         kept = " ".join(x for x, g in zip(w, gone) if not g)
         out.append((i, len(w), sum(gone), hashlib.sha256(kept.encode()).hexdigest()))
     return out
+
+
+def ascii_lower(t):
+    return re.sub("[A-Z]", lambda m: m.group().lower(), t or "")
+
+
+def op5(rows, k=5):
+    sets = []
+    for _, t in rows:
+        w = WORD.findall(ascii_lower(t))
+        sets.append({tuple(w[p : p + k]) for p in range(len(w) - k + 1)} if len(w) >= k else {tuple(w)} if w else set())
+    label = list(range(len(rows)))
+
+    def root(x):
+        while label[x] != x:
+            x = label[x]
+        return x
+
+    by = {}
+    for n, s in enumerate(sets):
+        for x in s:
+            by.setdefault(x, []).append(n)
+    pairs = {(a, b) for g in by.values() for a in g for b in g if a < b}
+    for a, b in pairs:
+        both = len(sets[a] & sets[b])
+        if 100 * both >= 75 * (len(sets[a]) + len(sets[b]) - both):
+            label[root(a)] = root(b)
+    least = {}
+    for n, (i, _) in enumerate(rows):
+        r = root(n)
+        ids = [x for x in (least.get(r), i) if x is not None]
+        least[r] = min(ids) if ids else None
+    return [(i, len(s), least[root(n)], i == least[root(n)]) for n, ((i, _), s) in enumerate(zip(rows, sets))]
