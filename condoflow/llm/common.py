@@ -27,6 +27,8 @@ BASE = 0x2545F4914F6CDD1D
 INVERSE = pow(BASE, -1, 2**64)
 _SPACE = b" \t\n\x0b\x0c\r"
 IS_WORD = np.array([b not in _SPACE for b in range(256)])
+LOWER = np.arange(256, dtype=np.uint8)
+LOWER[65:91] += 32  # A-Z to a-z
 _powers: dict[str, np.ndarray] = {}
 
 

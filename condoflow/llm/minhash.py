@@ -20,13 +20,11 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from condoflow.llm.common import (
-    BYTE_CODES, NO_ID, U, RangeHash, blocks, mix, rows_of, staged, text_bytes, words_in,
+    BYTE_CODES, LOWER, NO_ID, U, RangeHash, blocks, mix, rows_of, staged, text_bytes, words_in,
 )
 
 ROWS, BANDS = 5, 40  # a pair of similarity 0.75 shares no band with probability 0.00002
 SMALL = 32  # largest set that is looked up by exact prefixes alone
-LOWER = np.arange(256, dtype=np.uint8)
-LOWER[65:91] += 32
 
 
 def shingle_sets(data: np.ndarray, offs: np.ndarray, words: int):

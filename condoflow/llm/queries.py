@@ -7,9 +7,14 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from condoflow.llm.common import table
+from condoflow.llm.decontaminate import op10_decontaminate
 from condoflow.llm.minhash import op5_minhash_dedup
+from condoflow.llm.mixing import OP7_SQL, op7_mixing
+from condoflow.llm.quality_rules import op6_quality_rules, op6_sql
 from condoflow.llm.recompression import op4_substring_dedup
+from condoflow.llm.sharding import op9_sharding
 from condoflow.llm.suffix_dedup import op1_suffix_dedup
+from condoflow.llm.toxicity import op2_toxicity
 
 
 def on_documents(operator: Callable[[DataFrame], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
@@ -19,10 +24,16 @@ def on_documents(operator: Callable[[DataFrame], DataFrame]) -> Callable[[SparkS
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_suffix_dedup": on_documents(op1_suffix_dedup),
+        "op2_toxicity": lambda spark, sf_dir: op2_toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")),
         "op4_substring_dedup": on_documents(op4_substring_dedup),
         "op5_minhash_dedup": on_documents(op5_minhash_dedup),
+        "op6_quality_rules": on_documents(op6_quality_rules),
+        "op7_mixing": on_documents(op7_mixing),
+        "op9_sharding": on_documents(op9_sharding),
+        "op10_decontaminate": lambda spark, sf_dir: op10_decontaminate(
+            table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")),
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op6_quality_rules": op6_sql(), "op7_mixing": OP7_SQL}

@@ -93,3 +93,27 @@ def op5(rows, k=5):
         ids = [x for x in (least.get(r), i) if x is not None]
         least[r] = min(ids) if ids else None
     return [(i, len(s), least[root(n)], i == least[root(n)]) for n, ((i, _), s) in enumerate(zip(rows, sets))]
+
+
+ALNUM = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
+
+
+def op10(rows, items, width=10):
+    windows = {}
+    for i, t in items:
+        w = ALNUM.findall(ascii_lower(t))
+        for p in range(max(1, len(w) - width + 1) if w else 0):
+            windows.setdefault(tuple(w[p : p + width]), set()).add("" if i is None else str(i))
+    sizes = {len(w) for w in windows}
+    out = []
+    for i, t in rows:
+        w = ALNUM.findall(ascii_lower(t))
+        hit, found = [False] * len(w), set()
+        for k in sizes:
+            for p in range(len(w) - k + 1):
+                if (own := windows.get(tuple(w[p : p + k]))):
+                    hit[p : p + k] = [True] * k
+                    found |= own
+        sha = hashlib.sha256(",".join(sorted(found)).encode()).hexdigest()
+        out.append((i, len(w), sum(hit), len(found), sha, any(hit)))
+    return out
