@@ -154,7 +154,8 @@ def components(links: DataFrame) -> DataFrame:
 def near_duplicates(
     documents: DataFrame, words: int = 5, percent: int = 75, id_col: str = "doc_id", text_col: str = "text"
 ) -> DataFrame:
-    """One row per document: ``doc`` (its id), ``n_shingles``, ``component`` (least id linked to it) and ``th`` (hash of the text).
+    """One row per document: ``doc`` (its id), ``n_shingles``, ``component`` (least id linked to it), ``d`` and ``th`` (id to order by and hash
+    of the text) and ``leads`` (the first of its component by these two; rows equal in both lead together).
 
     Two documents are linked if their sets of ``words``-word shingles share at least ``percent`` per cent of their union.
     """
@@ -218,11 +219,12 @@ def near_duplicates(
             links = links.unionByName(found)
             labels = components(links)
         done, active = more, named.drop("label")
-    of_class = classes.join(labels, "node", "left").select("s1", "s2", F.coalesce("label.d", "node.d").alias("component"))
-    empty = described.where("n = 0").select("doc", "n", F.col("d").alias("component"), "th")
-    filled = described.where("n > 0").join(of_class, ["s1", "s2"]).select("doc", "n", "component", "th")
-    out = filled.unionByName(empty)
-    return out.select("doc", F.col("n").alias("n_shingles"), F.when(F.col("component") != NO_ID, F.col("component")).alias("component"), "th")
+    of_class = classes.join(labels, "node", "left").select("s1", "s2", F.coalesce("label", "node").alias("first"))
+    filled = described.where("n > 0").join(of_class, ["s1", "s2"]).select(
+        "doc", "n", F.col("first.d").alias("component"), "d", "th", ((F.col("d") == F.col("first.d")) & (F.col("th") == F.col("first.th"))).alias("leads"))
+    empty = described.where("n = 0").select("doc", "n", F.col("d").alias("component"), "d", "th", F.lit(True).alias("leads"))
+    out = filled.unionByName(empty).withColumnRenamed("n", "n_shingles")
+    return out.withColumn("component", F.when(F.col("component") != NO_ID, F.col("component")))
 
 
 def op5_minhash_dedup(documents: DataFrame) -> DataFrame:

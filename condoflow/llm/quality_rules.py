@@ -28,7 +28,7 @@ RULES = (
     ("word length", "chars_per_word", 2, 12),
     ("symbols", "symbols_per_word", None, 0.1),
     ("stop words", "stop_word_share", 0.05, None),
-    ("repeated lines", "dup_line_share", None, 0.3),
+    ("repeated lines", "dup_line_share", None, 0.5),
 )
 
 
