@@ -5,7 +5,7 @@ than SMALL shingles get one value per bin of a single permutation; an empty bin
 picks, and bands of bins become bucket keys.  Smaller sets use the least shingles that a partner must share (an exact
 prefix), because few distinct shingles cannot fill the bins independently.  In each bucket every member is paired with one
 centre only.  Candidate pairs are confirmed on full sets.  Buckets whose members then still belong to several components go
-on with further centres, twice as many each round, pairing only members of different components, until every bucket is either
+on with further centres, GROWTH times as many each round, pairing only members of different components, until every bucket is either
 in one component or exhausted; no true link that a bucket holds is lost.
 
 Defined results: null text and text without words form an empty set, linked with nothing; the component of rows without an id
@@ -24,6 +24,7 @@ from condoflow.llm.common import (
 )
 
 ROWS, BANDS = 5, 40  # a pair of similarity 0.75 shares no band with probability 0.00002
+GROWTH = 16  # times as many centres in each further round
 SMALL = 32  # largest set that is looked up by exact prefixes alone
 
 
@@ -140,8 +141,11 @@ def components(links: DataFrame) -> DataFrame:
     labels = staged(both.groupBy(F.col("u").alias("node")).agg(F.min("v").alias("label"))
                     .select("node", F.least("node", "label").alias("label")))
     while True:
-        near = both.join(labels, both["u"] == labels["node"]).groupBy(F.col("v").alias("node")).agg(F.min("label").alias("near"))
-        step = labels.join(near, "node").select("node", "label", F.least("label", "near").alias("next"))
+        step = labels
+        for hop in ("first", "second"):  # two hops and a jump in one job
+            old = step.select(F.col("node").alias("u"), F.col("label" if hop == "first" else "next").alias("far"))
+            near = both.join(old, "u").groupBy(F.col("v").alias("node")).agg(F.min("far").alias("near"))
+            step = step.join(near, "node").select("node", "label", F.least("label" if hop == "first" else "next", "near").alias("next"))
         own = step.select(F.col("node").alias("next"), F.col("next").alias("jump"))
         step = step.join(own, "next", "left").select("node", "label", F.least("next", F.coalesce("jump", "next")).alias("next"))
         step = staged(step)
@@ -204,7 +208,7 @@ def near_duplicates(
         named = staged(named.join(mixed, "bucket"))
         if named.isEmpty():
             break
-        more = 2 * done + 1
+        more = GROWTH * (done + 1)
         centres = named.where(F.col("rank").between(done + 1, more)).select(
             "bucket", F.col("node").alias("u"), F.col("n").alias("nu"), F.col("label").alias("lu"), F.col("rank").alias("ru"))
         pairs = (
