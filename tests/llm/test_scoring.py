@@ -34,7 +34,9 @@ def test_toxicity_of_awkward_rows(spark):
 def test_models_agree_on_what_the_counts_do_not_tell():
     words = np.array([5, 9, 12], np.uint64)
     pair = np.array([4 * 5 + 1, 1 * 5 + 2, 1 * 5 + 3])  # start-a, a-b, a-c
-    model = log_ratios(words, pair, np.array([[500, 500], [1, 1], [1, 90]]))
+    of_word = np.array([[0, 500, 1, 1, 0], [0, 500, 1, 90, 0], [0, 1, 1, 1, 0]], float)
+    context = np.array([[0, 2, 0, 0, 500], [0, 91, 0, 0, 500], [0, 2, 0, 0, 1], [0, 2, 0, 0, 1]], float)
+    model = log_ratios(words, of_word, context, pair, np.array([[500, 500], [1, 1], [1, 90]]))
     assert abs(model["word"][2]) < 1e-9 and model["word"][3] > 1
 
 
