@@ -225,7 +225,7 @@ def remove_later_copies(documents: DataFrame, window: int = 20, id_col: str = "d
     work = staged(joined.mapInArrow(first_pass(window), WORK))
     pending = work.where("text is not null")
     hits = (
-        pending.select("d", "th", F.explode("wins").alias("w")).select("d", "th", "w.a", "w.b", "w.pos").distinct()
+        pending.select("d", "th", F.explode("wins").alias("w")).select("d", "th", "w.a", "w.b", "w.pos")
         .withColumn("later", place > F.min(place).over(Window.partitionBy("a", "b"))).where("later")
         .groupBy(F.col("d").alias("md"), F.col("th").alias("mth")).agg(F.collect_list("pos").alias("found"))
     )
