@@ -77,7 +77,8 @@ def segments(data: np.ndarray, offs: np.ndarray, window: int):
     width[first] = size
     own = a >= 0
     a = np.where(own, a, s)
-    key = mix(spell(a, a + np.where(own, width[a], window)) + own.astype(np.uint64))
+    # the margin on either side of the representative lies in each of its windows and tells frequent symbols apart
+    key = mix(spell(a - MARGIN * own, a + np.where(own, width[a] + MARGIN, window)) + own.astype(np.uint64))
     head_of_row = np.searchsorted(row, np.arange(len(offs) - 1))
     return key, seg, row[s], s - head_of_row[row[s]], e - s + 1
 
