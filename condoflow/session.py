@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -44,16 +43,12 @@ def configure(spark: SparkSession) -> SparkSession:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """Folder every executor can reach, as named by ``spark.checkpoint.dir``."""
+    """Folder every executor can reach: ``spark.checkpoint.dir``, or the warehouse where that is unset."""
     configured = spark.conf.get("spark.checkpoint.dir", None)
     configured = configured or spark.sparkContext.getCheckpointDir()
     if configured:
         return configured.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
-        raise ValueError("set spark.checkpoint.dir to a folder shared by the cluster")
-    made = tempfile.mkdtemp(prefix="condoflow-")
-    spark.conf.set("spark.checkpoint.dir", made)
-    return made
+    return spark.conf.get("spark.sql.warehouse.dir").rstrip("/")
 
 
 def stage(df: DataFrame) -> DataFrame:
