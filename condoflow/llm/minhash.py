@@ -6,7 +6,8 @@ picks, and bands of bins become bucket keys.  Smaller sets use the least shingle
 prefix), because few distinct shingles cannot fill the bins independently.  In each bucket every member is paired with one
 centre only.  Candidate pairs are confirmed on full sets.  Buckets whose members then still belong to several components go
 on with further centres, GROWTH times as many each round, pairing only members of different components, until every bucket is either
-in one component or exhausted; no true link that a bucket holds is lost.
+in one component or exhausted.  Such a pair is formed only if bitmaps of both sets allow the similarity: a bit that one has and
+the other lacks is a shingle they do not share.  No true link that a bucket holds is lost.
 
 Defined results: null text and text without words form an empty set, linked with nothing; the component of rows without an id
 that are linked only among themselves is null; null ids come last; rows of equal sets are always in one component.
@@ -25,6 +26,7 @@ from condoflow.llm.common import (
 
 ROWS, BANDS = 5, 40  # a pair of similarity 0.75 shares no band with probability 0.00002
 GROWTH = 16  # times as many centres in each further round
+BITS = 1024  # size of a set's bitmap; large sets fill it and are then told apart by their full sets only
 SMALL = 32  # largest set that is looked up by exact prefixes alone
 
 
@@ -115,21 +117,40 @@ def describe_sets(words: int, percent: int):
     return run
 
 
+def bitmaps(owner: np.ndarray, code: np.ndarray, n_rows: int) -> np.ndarray:
+    """One row of 64-bit words per set, with the bit of each of its hashes."""
+    bit = ((code >> U(32)) % U(BITS)).astype(np.int64)
+    out = np.zeros((n_rows, BITS // 64), np.uint64)
+    np.bitwise_or.at(out, (owner, bit >> 6), U(1) << (bit & 63).astype(np.uint64))
+    return out
+
+
+def may_be_close(percent: int) -> str:
+    """Condition on sizes and bitmaps of a pair that every pair of ``percent`` similarity meets."""
+    lacks = [" + ".join(f"bit_count({a}[{i}] & ~{b}[{i}])" for i in range(BITS // 64)) for a, b in (("bu", "bv"), ("bv", "bu"))]
+    return f"least(nu - ({lacks[0]}), nv - ({lacks[1]})) * {100 + percent} >= {percent} * (nu + nv)"
+
+
 def full_sets(words: int):
-    """Task: the set of each text as a list of hashes."""
+    """Task: the set of each text as a list of hashes, and its bitmap."""
 
     def run(batches):
         for b in batches:
             data, offs = text_bytes(b.column("text"))
-            lists, counts = [], []
+            lists, counts, maps = [], [], []
             for i, j in blocks(offs):
                 owner, code = shingle_sets(data[offs[i] : offs[j]], offs[i : j + 1] - offs[i], words)
                 lists.append(code)
                 counts.append(np.bincount(owner, minlength=j - i))
+                maps.append(bitmaps(owner, code, j - i).reshape(-1))
             if lists:
                 offsets = np.concatenate([[0], np.cumsum(np.concatenate(counts))]).astype(np.int32)
                 values = pa.array(np.concatenate(lists).view(np.int64))
-                yield pa.record_batch([b.column("node"), pa.ListArray.from_arrays(pa.array(offsets), values)], names=["node", "shingles"])
+                bits = pa.array(np.concatenate(maps).view(np.int64))
+                each = pa.array(np.arange(len(offsets), dtype=np.int32) * (BITS // 64))
+                yield pa.record_batch(
+                    [b.column("node"), pa.ListArray.from_arrays(pa.array(offsets), values), pa.ListArray.from_arrays(each, bits)],
+                    names=["node", "shingles", "bits"])
 
     return run
 
@@ -180,7 +201,7 @@ def near_duplicates(
     mine = (F.col("d") == F.col("node.d")) & (F.col("th") == F.col("node.th"))
     sets = staged(
         rows.select("d", "th", "text").join(needed, mine).select("node", "text").dropDuplicates(["node"])
-        .mapInArrow(full_sets(words), "node struct<d:long,th:long>, shingles array<long>")
+        .mapInArrow(full_sets(words), "node struct<d:long,th:long>, shingles array<long>, bits array<long>")
     )
     close = f"100 * least(nu, nv) >= {percent} * greatest(nu, nv)"
 
@@ -205,15 +226,18 @@ def near_duplicates(
         named = active.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
         mixed = named.groupBy("bucket").agg(F.min("label").alias("low"), F.max("label").alias("high"), F.max("rank").alias("last"))
         mixed = mixed.where((F.col("low") != F.col("high")) & (F.col("last") > done + 1)).select("bucket")
-        named = staged(named.join(mixed, "bucket"))
+        named = staged(named.join(mixed, "bucket").join(sets.select("node", "bits"), "node"))
         if named.isEmpty():
             break
         more = GROWTH * (done + 1)
         centres = named.where(F.col("rank").between(done + 1, more)).select(
-            "bucket", F.col("node").alias("u"), F.col("n").alias("nu"), F.col("label").alias("lu"), F.col("rank").alias("ru"))
+            "bucket", F.col("node").alias("u"), F.col("n").alias("nu"), F.col("label").alias("lu"), F.col("rank").alias("ru"),
+            F.col("bits").alias("bu"))
         pairs = (
-            named.select("bucket", F.col("node").alias("v"), F.col("n").alias("nv"), F.col("label").alias("lv"), F.col("rank").alias("rv"))
+            named.select("bucket", F.col("node").alias("v"), F.col("n").alias("nv"), F.col("label").alias("lv"), F.col("rank").alias("rv"),
+                         F.col("bits").alias("bv"))
             .join(centres, "bucket").where((F.col("rv") > F.col("ru")) & (F.col("lu") != F.col("lv"))).where(close)
+            .where(may_be_close(percent))
             .select("u", "v").distinct().join(tested, ["u", "v"], "left_anti")
         )
         pairs = staged(pairs)
@@ -222,7 +246,7 @@ def near_duplicates(
         if not found.isEmpty():
             links = links.unionByName(found)
             labels = components(links)
-        done, active = more, named.drop("label")
+        done, active = more, named.drop("label", "bits")
     of_class = classes.join(labels, "node", "left").select("s1", "s2", F.coalesce("label", "node").alias("first"))
     filled = described.where("n > 0").join(of_class, ["s1", "s2"]).select(
         "doc", "n", F.col("first.d").alias("component"), "d", "th", ((F.col("d") == F.col("first.d")) & (F.col("th") == F.col("first.th"))).alias("leads"))
