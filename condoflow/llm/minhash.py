@@ -125,10 +125,14 @@ def bitmaps(owner: np.ndarray, code: np.ndarray, n_rows: int) -> np.ndarray:
     return out
 
 
+ONES = "aggregate(bits, 0, (n, x) -> n + bit_count(x))"
+
+
 def may_be_close(percent: int) -> str:
-    """Condition on sizes and bitmaps of a pair that every pair of ``percent`` similarity meets."""
-    lacks = [" + ".join(f"bit_count({a}[{i}] & ~{b}[{i}])" for i in range(BITS // 64)) for a, b in (("bu", "bv"), ("bv", "bu"))]
-    return f"least(nu - ({lacks[0]}), nv - ({lacks[1]})) * {100 + percent} >= {percent} * (nu + nv)"
+    """Condition on sizes (``nu``, ``nv``), bitmaps (``bu``, ``bv``) and their numbers of ones (``ou``, ``ov``) that every pair
+    of ``percent`` similarity meets.  A loop over the words, because one long expression would be too large a method to compile."""
+    both = "aggregate(zip_with(bu, bv, (x, y) -> bit_count(x & y)), 0, (n, x) -> n + x)"
+    return f"(least(nu - ou, nv - ov) + {both}) * {100 + percent} >= {percent} * (nu + nv)"
 
 
 def full_sets(words: int):
@@ -226,16 +230,16 @@ def near_duplicates(
         named = active.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
         mixed = named.groupBy("bucket").agg(F.min("label").alias("low"), F.max("label").alias("high"), F.max("rank").alias("last"))
         mixed = mixed.where((F.col("low") != F.col("high")) & (F.col("last") > done + 1)).select("bucket")
-        named = staged(named.join(mixed, "bucket").join(sets.select("node", "bits"), "node"))
+        named = staged(named.join(mixed, "bucket").join(sets.select("node", "bits", F.expr(ONES).alias("ones")), "node"))
         if named.isEmpty():
             break
         more = GROWTH * (done + 1)
         centres = named.where(F.col("rank").between(done + 1, more)).select(
             "bucket", F.col("node").alias("u"), F.col("n").alias("nu"), F.col("label").alias("lu"), F.col("rank").alias("ru"),
-            F.col("bits").alias("bu"))
+            F.col("bits").alias("bu"), F.col("ones").alias("ou"))
         pairs = (
             named.select("bucket", F.col("node").alias("v"), F.col("n").alias("nv"), F.col("label").alias("lv"), F.col("rank").alias("rv"),
-                         F.col("bits").alias("bv"))
+                         F.col("bits").alias("bv"), F.col("ones").alias("ov"))
             .join(centres, "bucket").where((F.col("rv") > F.col("ru")) & (F.col("lu") != F.col("lv"))).where(close)
             .where(may_be_close(percent))
             .select("u", "v").distinct().join(tested, ["u", "v"], "left_anti")
@@ -246,7 +250,7 @@ def near_duplicates(
         if not found.isEmpty():
             links = links.unionByName(found)
             labels = components(links)
-        done, active = more, named.drop("label", "bits")
+        done, active = more, named.drop("label", "bits", "ones")
     of_class = classes.join(labels, "node", "left").select("s1", "s2", F.coalesce("label", "node").alias("first"))
     filled = described.where("n > 0").join(of_class, ["s1", "s2"]).select(
         "doc", "n", F.col("first.d").alias("component"), "d", "th", ((F.col("d") == F.col("first.d")) & (F.col("th") == F.col("first.th"))).alias("leads"))
