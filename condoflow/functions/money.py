@@ -57,6 +57,28 @@ def share_of(total: Column, basis_points: Column) -> Column:
     return div_round(total.cast("bigint") * basis_points, F.lit(10000))
 
 
+def exact_part(total: Column, num: Column, den: Column) -> tuple[Column, Column]:
+    """``total * num / den`` as (whole, rest): whole part rounded down and what is left over ``den``, 0 <= rest < den.
+
+    Whole and rest of ``total / den`` are scaled apart, so that only ``den * num`` has to fit in BIGINT.
+    """
+    left = F.pmod(total, den)
+    whole = int_div(total - left, den) * num
+    return whole + int_div(left * num, den), (left * num) % den
+
+
+def rounded_sum(whole: Column, rest: Column, den: Column) -> Column:
+    """``whole + rest / den`` rounded to the unit, halves away from zero, for 0 <= rest."""
+    floor, rest = whole + int_div(rest, den), rest % den
+    up = F.when(floor >= 0, rest * 2 >= den).otherwise(rest * 2 > den)
+    return floor + up.cast("bigint")
+
+
+def fraction_of(total: Column, num: Column, den: Column) -> Column:
+    """``total`` times the exact share ``num / den``, rounded once to the unit, halves away from zero."""
+    return rounded_sum(*exact_part(total.cast("bigint"), num, den), den)
+
+
 def weighted_part(value: Column, weight: Column, weight_sum: Column) -> Column:
     """``value`` cents times ``weight / weight_sum`` in millionths of the currency unit.
 

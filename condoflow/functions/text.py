@@ -109,7 +109,9 @@ def cost_detail(company_cell: Column, extra: Column) -> Column:
 
 
 def zero_pad(value: Column, width: int) -> Column:
-    return F.lpad(value.cast("string"), width, "0")
+    """``value`` with leading zeros up to ``width``; a longer one stays whole."""
+    digits = value.cast("string")
+    return F.when(F.length(digits) < width, F.lpad(digits, width, "0")).otherwise(digits)
 
 
 def invoice_number(building_id: Column, issued: Column, sequence: Column) -> Column:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from math import gcd
+
 from pyspark.sql import DataFrame, functions as F
 
 from ..functions.money import div_round
@@ -13,17 +15,23 @@ STORAGE_WEIGHT = 50
 
 
 def share_of_total(units: DataFrame, weight: int = 100) -> DataFrame:
-    """Add ``pct_bp``: size over the building's total size in basis points, 0 if it has no size.
+    """Add the exact share ``share_num`` / ``share_den``, size over the building's total size (0 / 1 if it has no size),
+    and ``pct_bp``, the same in basis points for display: rounded, it would vanish in a very large building.
 
     ``m2`` may have two decimals.  The total is a separate aggregation, so a
     building with very many units is summed map-side.
     """
     hundredths = (F.col("m2") * 100).cast("bigint")
     totals = units.groupBy("consorcio_id").agg(F.coalesce(F.sum(hundredths), F.lit(0)).alias("_total"))
+    sized, common = F.col("_total") > 0, gcd(weight, 100)
     share = div_round(hundredths * (100 * weight), F.col("_total"))
     return (
         spread_join(units, totals, ["consorcio_id"], ["uf_id"])
-        .withColumn("pct_bp", F.when(F.col("_total") > 0, share).otherwise(F.lit(0)))
+        .withColumns({
+            "pct_bp": F.when(sized, share).otherwise(F.lit(0)),
+            "share_num": F.when(sized, hundredths * (weight // common)).otherwise(F.lit(0)).cast("bigint"),
+            "share_den": F.when(sized, F.col("_total") * (100 // common)).otherwise(F.lit(1)).cast("bigint"),
+        })
         .drop("_total")
     )
 

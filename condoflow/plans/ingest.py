@@ -28,14 +28,22 @@ def parse_payments(lines: DataFrame) -> DataFrame:
 
 
 def import_payments(lines: DataFrame, payments: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
-    """(new payments, refused rows): rows without id are skipped, repeated lines and known ids too."""
+    """(new payments, refused rows): rows without id are skipped, repeated lines and known ids too.
+
+    An id whose rows differ names no single payment: all its rows are refused.  The least and the greatest row of an id
+    tell that after map-side aggregation, and the anti-join goes on with the same partitioning.
+    """
     parsed = parse_payments(lines).filter(F.col("id_pago").isNotNull())
     complete = F.col("fecha").isNotNull() & F.col("importe_cents").isNotNull() & (F.col("cvu") != "")
     usable = F.coalesce(complete, F.lit(False))
-    new = parsed.filter(usable).distinct()
+    good = parsed.filter(usable)
+    values = F.struct(*(c for c in good.columns if c != "id_pago"))
+    by_id = good.groupBy("id_pago").agg(F.min(values).alias("_low"), F.max(values).alias("_high"))
+    new = by_id.filter("_low = _high").select("id_pago", "_low.*").select(*good.columns)
+    unclear = good.join(by_id.filter("_low <> _high").select("id_pago"), "id_pago", "left_semi")
     if payments is not None:
         new = m.absent_rows(new, payments.select("id_pago"), ["id_pago"])
-    return new, parsed.filter(~usable)
+    return new, parsed.filter(~usable).unionByName(unclear.select(*parsed.columns))
 
 
 def cost_rows(docs: DataFrame) -> DataFrame:
@@ -87,13 +95,21 @@ def import_costs(docs: DataFrame, buildings: DataFrame, year, last_id: int = 0)
     )
 
 
+DNI_DIGITS = 8
+
+
+def long_dni(dni):
+    """True for a document number that its column cannot hold; false for a missing one."""
+    return F.coalesce(F.length(dni.cast("string")) > DNI_DIGITS, F.lit(False))
+
+
 def import_persons(lines: DataFrame, persons: DataFrame) -> DataFrame:
-    """New persons: shared account numbers out, known (dni, cvu) pairs out."""
-    lone = m.drop_all_duplicates(m.drop_blank_rows(lines), "cvu")
+    """New persons: shared account numbers out, known (dni, cvu) pairs out, document numbers with too many digits out."""
+    lone = m.drop_all_duplicates(m.drop_blank_rows(lines), "cvu").filter(~long_dni(F.col("dni")))
     clean = lone.select(
         F.trim("nombre").alias("nombre"),
         F.trim("apellido").alias("apellido"),
-        F.lpad(F.col("dni").cast("string"), 8, "0").alias("dni"),
+        text.zero_pad(F.col("dni"), DNI_DIGITS).alias("dni"),
         text.no_blanks(F.col("email")).alias("email"),
         F.trim("cvu").alias("cvu"),
         F.col("telefono").cast("string").alias("telefono"),

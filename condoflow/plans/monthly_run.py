@@ -104,7 +104,7 @@ def run_month(
     buildings = stage(with_accounts(_buildings(drop.read("buildings"), old["consorcio"], sizes), accounts))
 
     person_lines = drop.read("persons", files.person_separator)
-    unusable = F.coalesce(ingest.rounded_account(F.col("cvu")), F.lit(True))
+    unusable = F.coalesce(ingest.rounded_account(F.col("cvu")), F.lit(True)) | ingest.long_dni(F.col("dni"))
     sound = person_lines.filter(~unusable)
     drop.refuse("persons", person_lines.filter(unusable))
     new_persons = ingest.import_persons(sound, old["persona"]).withColumn("id", F.lit(None).cast("bigint"))
@@ -177,7 +177,7 @@ def run_month(
         out.write(table, old[table].unionByName(new_places))
 
     _write_fixed_tables(spark, out, old, accounts)
-    out.write("rechazo", drop.rejects())
+    out.write("rechazo", old["rechazo"].unionByName(drop.rejects()).distinct())
     return out.commit()
 
 

@@ -231,10 +231,21 @@ def _payments_per_account(payments: DataFrame, period_range: Range) -> DataFrame
     )
 
 
+SHARE = ("share_num", "share_den")
+
+
+def share_of_units(units: DataFrame) -> tuple[Column, Column]:
+    """Numerator and denominator of the units' share: the exact one where they carry it, else ``pct_bp`` as read from a file."""
+    if set(SHARE) <= set(units.columns):
+        return F.coalesce(SHARE[0], F.lit(0)).cast("bigint"), F.coalesce(SHARE[1], F.lit(1)).cast("bigint")
+    return F.coalesce("pct_bp", F.lit(0)).cast("bigint"), F.lit(10000).cast("bigint")
+
+
 def statement_shares(units: DataFrame, costs: DataFrame, period_range: Range) -> DataFrame:
     """Ordinary and extraordinary part of every unit in every statement of the range."""
     months = _costs_per_building(costs, period_range)
-    shares = units.select("uf_id", "consorcio_id", F.coalesce("pct_bp", F.lit(0)).alias("_bp"))
+    num, den = share_of_units(units)
+    shares = units.select("uf_id", "consorcio_id", num.alias("_num"), den.alias("_den"))
     zero = F.lit(0).cast("bigint")
     rows = (
         spread_join(shares, months, ["consorcio_id"], ["uf_id"], "left")
@@ -244,23 +255,23 @@ def statement_shares(units: DataFrame, costs: DataFrame, period_range: Range) ->
     return rows.select(
         "uf_id", "consorcio_id",
         F.add_months(F.lit(period_range.first), F.col("_i")).alias("periodo"),
-        money.share_of(F.coalesce(F.col("_c.ord_cents"), zero), F.col("_bp")).alias("ord_cents"),
-        money.share_of(F.coalesce(F.col("_c.ext_cents"), zero), F.col("_bp")).alias("ext_cents"),
+        money.fraction_of(F.coalesce(F.col("_c.ord_cents"), zero), F.col("_num"), F.col("_den")).alias("ord_cents"),
+        money.fraction_of(F.coalesce(F.col("_c.ext_cents"), zero), F.col("_num"), F.col("_den")).alias("ext_cents"),
     )
 
 
 def with_shares(applied: DataFrame, costs: DataFrame) -> DataFrame:
-    """Applied payments, carrying their unit's ``pct_bp``, with the parts of the line they settle.
+    """Applied payments, carrying their unit's share (``SHARE``, or ``pct_bp`` alone), with the parts of the line they settle.
 
     Gives what a join with the statement lines would, without a row per unpaid month.
     """
-    zero, bp = F.lit(0).cast("bigint"), F.coalesce("pct_bp", F.lit(0))
+    zero, (num, den) = F.lit(0).cast("bigint"), share_of_units(applied)
     return (
         spread_join(applied, costs_by_period(costs), ["consorcio_id", "periodo"], ["id_pago"], "left")
         .withColumns({
-            c: money.share_of(F.coalesce(c, zero), bp) for c in ("ord_cents", "ext_cents")
+            c: money.fraction_of(F.coalesce(c, zero), num, den) for c in ("ord_cents", "ext_cents")
         })
-        .drop("pct_bp")
+        .drop("pct_bp", *SHARE)
     )
 
 
@@ -284,7 +295,8 @@ def statement_detail(
     """
     zero = F.lit(0).cast("bigint")
     months = F.sequence(F.lit(0), F.lit(period_range.months - 1))
-    accounts = units.select("uf_id", "consorcio_id", "cvu", F.coalesce("pct_bp", F.lit(0)).alias("_bp"))
+    num, den = share_of_units(units)
+    accounts = units.select("uf_id", "consorcio_id", "cvu", num.alias("_num"), den.alias("_den"))
     if opening_debt is not None:
         opening = opening_debt.select("uf_id", F.col("deuda_cents").alias("_opening"))
         accounts = accounts.join(opening, "uf_id", "left")
@@ -296,6 +308,11 @@ def statement_detail(
     paying = accounts.repartition(partitions, "cvu").join(
         _payments_per_account(payments, period_range), "cvu", "left"
     )
+
+    def cost_part(i: Column) -> tuple[Column, Column]:
+        month = F.get("costs", i)
+        return money.exact_part(F.coalesce(month.ord_cents + month.ext_cents, zero), F.col("_num"), F.col("_den"))
+
     inputs = (
         spread_join(paying, _costs_per_building(costs, period_range), ["consorcio_id"], ["uf_id"], "left")
         .withColumn(
@@ -303,6 +320,7 @@ def statement_detail(
             F.transform(
                 months,
                 lambda i: F.struct(
+                    *(c.alias(n) for c, n in zip(cost_part(i), ("part", "rest"))),
                     F.coalesce(F.get("costs", i).ord_cents, zero).alias("ord"),
                     F.coalesce(F.get("costs", i).ext_cents, zero).alias("ext"),
                     F.coalesce(F.try_element_at("paid", i).total_cents, zero).alias("paid"),
@@ -314,7 +332,7 @@ def statement_detail(
     )
 
     def step(state: Column, month: Column) -> Column:
-        total = _total(month.ord + month.ext, F.col("_bp"), state.debt)
+        total = _total(month.part, month.rest, F.col("_den"), state.debt)
         return F.struct(
             F.concat(state.debts, F.array(state.debt)).alias("debts"), (total - month.paid).alias("debt")
         )
@@ -324,19 +342,19 @@ def statement_detail(
     )
     debts = F.aggregate("_months", start, step).debts
     lines = inputs.select(
-        "uf_id", "consorcio_id", "_bp", F.posexplode(F.arrays_zip("_months", debts.alias("_debts"))).alias("_i", "_x")
+        "uf_id", "consorcio_id", "_num", "_den", F.posexplode(F.arrays_zip("_months", debts.alias("_debts"))).alias("_i", "_x")
     ).select(
-        "uf_id", "consorcio_id", "_bp", "_i", "_x._months.*", F.col("_x._debts").alias("deuda_cents")
+        "uf_id", "consorcio_id", "_num", "_den", "_i", "_x._months.*", F.col("_x._debts").alias("deuda_cents")
     )
-    debt, bp = F.col("deuda_cents"), F.col("_bp")
+    debt, num, den = F.col("deuda_cents"), F.col("_num"), F.col("_den")
     issued = lines.select(
         "uf_id", "consorcio_id",
         F.add_months(F.lit(period_range.first), F.col("_i")).alias("periodo"),
-        money.share_of(F.col("ord"), bp).alias("ord_cents"),
-        money.share_of(F.col("ext"), bp).alias("ext_cents"),
+        money.fraction_of(F.col("ord"), num, den).alias("ord_cents"),
+        money.fraction_of(F.col("ext"), num, den).alias("ext_cents"),
         "deuda_cents",
         money.share_of(F.greatest(debt, zero), F.lit(money.DETAIL_RATE_BP)).alias("interes_cents"),
-        _total(F.col("ord") + F.col("ext"), bp, debt).alias("total_cents"),
+        _total(F.col("part"), F.col("rest"), den, debt).alias("total_cents"),
         F.col("paid").alias("pagado_cents"),
         F.col("first").alias("primera_fecha"),
         F.col("paid_before").alias("pagado_anterior_cents"),
@@ -348,10 +366,14 @@ def statement_detail(
     return late_interest(dated)
 
 
-def _total(cost: Column, basis_points: Column, debt: Column) -> Column:
-    """Total to pay: cost share, debt and interest on it, rounded once from the exact value."""
-    exact = cost * basis_points + debt * 10000 + F.greatest(debt, F.lit(0)) * money.DETAIL_RATE_BP
-    return money.div_round(exact, F.lit(10000))
+PER_RATE = 10000 // money.DETAIL_RATE_BP  # interest is one part in so many of the debt
+
+
+def _total(part: Column, rest: Column, den: Column, debt: Column) -> Column:
+    """Total to pay: cost share (``part + rest / den``), debt and interest on it, rounded once from the exact value."""
+    owed = F.greatest(debt, F.lit(0).cast("bigint"))
+    whole = debt + part + money.int_div(owed, F.lit(PER_RATE))
+    return money.rounded_sum(whole, rest * PER_RATE + owed % PER_RATE * den, den * PER_RATE)
 
 
 def late_interest(lines: DataFrame) -> DataFrame:

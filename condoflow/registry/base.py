@@ -80,7 +80,8 @@ unidad_base AS (
   FROM customer),
 superficie AS (SELECT consorcio_id, SUM(m2 * 100)::BIGINT AS total_m2 FROM unidad_base GROUP BY 1),
 unidad AS (
-  SELECT u.*, {rounded("m2 * 100 * 10000", "total_m2")} AS pct_bp
+  SELECT u.*, {rounded("m2 * 100 * 10000", "total_m2")} AS pct_bp,
+         m2 * 100 AS share_num, total_m2 AS share_den
   FROM unidad_base u JOIN superficie USING (consorcio_id)),
 pago AS (
   SELECT o_orderkey AS id_pago, lpad(o_custkey::VARCHAR, 22, '0') AS cvu, o_orderdate::DATE AS fecha,
@@ -111,23 +112,23 @@ recibido AS (
   SELECT uf_id, periodo, SUM(importe_cents)::BIGINT AS pagado_cents, MIN(fecha) AS primera_fecha
   FROM aplicado GROUP BY 1, 2),
 parte AS (
-  SELECT u.uf_id, u.consorcio_id, e.periodo, i, pct_bp, COALESCE(c.ord_cents, 0) AS g_ord,
+  SELECT u.uf_id, u.consorcio_id, e.periodo, i, share_num, share_den, COALESCE(c.ord_cents, 0) AS g_ord,
          COALESCE(c.ext_cents, 0) AS g_ext, COALESCE(r.pagado_cents, 0) AS pagado_cents, r.primera_fecha
   FROM unidad u JOIN expensa e ON e.consorcio_id = u.consorcio_id
   LEFT JOIN costo_mes c ON c.consorcio_id = u.consorcio_id AND c.periodo = e.periodo
   LEFT JOIN recibido r ON r.uf_id = u.uf_id AND r.periodo = e.periodo),
 deuda AS (
   SELECT uf_id, i, 0::BIGINT AS deuda_cents,
-         {rounded("(g_ord + g_ext) * pct_bp", "10000")} AS total_cents, pagado_cents
+         {rounded("(g_ord + g_ext)::HUGEINT * share_num", "share_den")} AS total_cents, pagado_cents
   FROM parte WHERE i = 0
   UNION ALL
   SELECT p.uf_id, p.i, d.total_cents - d.pagado_cents,
-         {rounded("(p.g_ord + p.g_ext) * p.pct_bp + (d.total_cents - d.pagado_cents) * 10000"
-                  " + GREATEST(d.total_cents - d.pagado_cents, 0) * 500", "10000")}, p.pagado_cents
+         {rounded("(p.g_ord + p.g_ext)::HUGEINT * p.share_num * 20 + ((d.total_cents - d.pagado_cents)::HUGEINT * 20"
+                  " + GREATEST(d.total_cents - d.pagado_cents, 0)) * p.share_den", "p.share_den * 20")}, p.pagado_cents
   FROM deuda d JOIN parte p ON p.uf_id = d.uf_id AND p.i = d.i + 1),
 emitido AS (
-  SELECT uf_id, consorcio_id, periodo, i, {rounded("g_ord * pct_bp", "10000")} AS ord_cents,
-         {rounded("g_ext * pct_bp", "10000")} AS ext_cents, d.deuda_cents,
+  SELECT uf_id, consorcio_id, periodo, i, {rounded("g_ord::HUGEINT * share_num", "share_den")} AS ord_cents,
+         {rounded("g_ext::HUGEINT * share_num", "share_den")} AS ext_cents, d.deuda_cents,
          {rounded("GREATEST(d.deuda_cents, 0) * 500", "10000")} AS interes_cents, d.total_cents,
          p.pagado_cents, primera_fecha,
          COALESCE(LAG(p.pagado_cents) OVER (PARTITION BY uf_id ORDER BY i), 0) AS pagado_anterior_cents,

@@ -126,7 +126,7 @@ class Star:
         return st.apply_payments(self.payments(), self.bare_units(), self.statements())
 
     def applied_with_shares(self) -> DataFrame:
-        applied = st.apply_payments(self.payments(), self.units(), self.statements(), carry=("pct_bp",))
+        applied = st.apply_payments(self.payments(), self.units(), self.statements(), carry=st.SHARE)
         return st.with_shares(applied, self.costs())
 
     def lines(self) -> DataFrame:

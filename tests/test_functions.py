@@ -151,3 +151,16 @@ def test_encryption_round_trip_and_row_binding(spark):
 def test_session_key_is_required(spark):
     with pytest.raises(ValueError):
         pii.session_key(spark)
+
+
+def test_exact_shares(spark):
+    """Whole and half units of either sign, against fractions."""
+    from fractions import Fraction
+
+    cases = [(v, n, d) for v in (0, 1, 5, -5, 7, -7, 10**13 + 1, -(10**13) - 1) for n, d in ((0, 1), (1, 2), (3, 4), (1, 1), (7, 4 * 10**11))]
+    df = spark.createDataFrame(cases, "v long, n long, d long")
+    got = df.select("*", money.fraction_of(F.col("v"), F.col("n"), F.col("d")).alias("x")).collect()
+    for r in got:
+        exact = abs(Fraction(r.v * r.n, r.d))
+        assert r.x == (-1 if r.v < 0 else 1) * int(exact + Fraction(1, 2)), r
+    assert len(got) == len(cases)

@@ -19,6 +19,16 @@ def test_payments_import_once(spark, rows):
     assert again.isEmpty()
 
 
+def test_payments_that_share_an_id(spark, rows):
+    lines = spark.createDataFrame(
+        [(1, "05/04/2025", "7", "$ 10.00"), (1, "06/04/2025", "7", "$ 10.00"), (2, "05/04/2025", "7", "$ 1.00")] * 2,
+        "id_pago long, fecha string, cvu string, valor string",
+    )
+    new, refused = ingest.import_payments(lines)
+    assert rows(new) == [(2, 1, "7", dt.date(2025, 4, 5), 100)]
+    assert sorted(r.id_pago for r in refused.collect()) == [1, 1, 1, 1]
+
+
 def person(nombre, dni, cvu, tipo):
     return (nombre, "Paz", dni, f" {nombre.lower()} @x.org ", 11, cvu, tipo)
 
@@ -26,7 +36,7 @@ def person(nombre, dni, cvu, tipo):
 def test_persons(spark, rows):
     lines = spark.createDataFrame(
         [person(" Ana ", 1, "7", 1), person("Eva", 2, "8", 0), person("Leo", 3, "9", 1), person("Luz", 4, "9", 0),
-         person("Sol", 5, "10", None)],
+         person("Sol", 5, "10", None), person("Noa", 123456789, "11", 1)],
         schemas.PERSON_FILE,
     )
     known = spark.createDataFrame([("00000002", "8")], "dni string, cvu string")

@@ -286,3 +286,19 @@ def test_range_limits():
     with pytest.raises(ValueError):
         st.Range(dt.date(2025, 2, 1), dt.date(2025, 1, 1))
     assert RANGE.months == 6 and RANGE.after(-1) == dt.date(2024, 10, 1)
+
+
+def test_costs_of_a_very_large_building_are_charged(spark):
+    """Every unit's share rounds to 0.00 %, yet the lines add up to the cost."""
+    from condoflow.plans.annexes import share_of_total
+
+    n, key = 60_000, F.col("id")
+    units = share_of_total(spark.range(n).select(
+        key.alias("uf_id"), key.cast("string").alias("cvu"), F.lit(1).cast("bigint").alias("consorcio_id"), (key % 70 + 30).alias("m2"),
+    ))
+    costs = spark.createDataFrame([(1, dt.date(2025, 1, 5), 10**9 + 7, 500)], "consorcio_id long, fecha date, ord_cents long, ext_cents long")
+    paid = spark.createDataFrame([], "id_pago long, cvu string, fecha date, importe_cents long")
+    one = st.Range(dt.date(2025, 1, 1), dt.date(2025, 1, 1))
+    got = st.statement_detail(units, costs, paid, one).agg(F.sum("ord_cents"), F.min("ord_cents"), F.sum("total_cents")).first()
+    assert units.agg(F.max("pct_bp")).first()[0] == 0
+    assert abs(got[0] - 10**9 - 7) <= n / 2 and got[1] > 0 and abs(got[2] - 10**9 - 507) <= n / 2
