@@ -130,7 +130,7 @@ ONES = "aggregate(bits, 0, (n, x) -> n + bit_count(x))"
 
 def may_be_close(percent: int) -> str:
     """Condition on sizes (``nu``, ``nv``), bitmaps (``bu``, ``bv``) and their numbers of ones (``ou``, ``ov``) that every pair
-    of ``percent`` similarity meets.  A loop over the words, because one long expression would be too large a method to compile."""
+    of ``percent`` similarity meets.  A loop over the words: written out as one long expression the test was slow, probably too large a method to compile."""
     both = "aggregate(zip_with(bu, bv, (x, y) -> bit_count(x & y)), 0, (n, x) -> n + x)"
     return f"(least(nu - ou, nv - ov) + {both}) * {100 + percent} >= {percent} * (nu + nv)"
 
