@@ -2,7 +2,8 @@
 
 The network reads pieces of PIECE bytes in both directions, labels every position with a probability per language, and a document's
 probabilities are the means over all its positions.  It is trained in numpy by backpropagation through time on pieces of a bounded
-sample of rows with a known language (``rows`` rows, those with the least hash of their id).
+sample of each known language (``rows`` rows of every language, those with the least hash of their id), so that a language is learned
+however rare it is.  Languages have about equally many pieces: the fewer rows one has, the more of each text is read, up to the whole.
 
 Defined results: null texts and texts without a letter are ``und`` with score 0, and so is every text if no language is known; null
 languages are not learned from; a null id counts as empty text for the fold; extra columns are ignored.
@@ -12,13 +13,13 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from condoflow.llm.common import blocks, text_bytes
 
-SAMPLE_ROWS = 4_000
-PIECES_PER_ROW = 4
+LANGUAGE_ROWS = 1_000  # rows of each language that are learned from
+PIECES_PER_ROW = 4  # of a language that has all its rows
 LEARN_BYTES = 48  # length of a piece in training
 PIECE = 128  # length of a piece in prediction
 HIDDEN = 12
@@ -122,18 +123,19 @@ def train(pieces: np.ndarray, language: np.ndarray, n_languages: int) -> dict[st
 
 
 def cut_pieces():
-    """Task: PIECES_PER_ROW pieces of each text, spread evenly over its whole length."""
+    """Task: ``pieces`` pieces of each text, spread evenly over its whole length; at most as many as it takes to cover the text."""
 
     def run(batches):
         for b in batches:
             data, offs = text_bytes(b.column("text"))
+            wanted = b.column("pieces").to_pylist()
             found, of = [], []
             for k in range(b.num_rows):
                 text = data[offs[k] : offs[k + 1]]
                 if not len(text):
                     continue
                 text = np.resize(text, max(len(text), LEARN_BYTES))  # a short text is repeated
-                for at in np.unique(np.linspace(0, len(text) - LEARN_BYTES, PIECES_PER_ROW).astype(int)):
+                for at in np.unique(np.linspace(0, len(text) - LEARN_BYTES, min(wanted[k], max(PIECES_PER_ROW, -(-len(text) // LEARN_BYTES)))).astype(int)):
                     found.append(text[at : at + LEARN_BYTES].tobytes())
                     of.append(k)
             yield pa.record_batch([b.column("lang").take(pa.array(of, pa.int32())), pa.array(found, pa.binary())], names=["lang", "piece"])
@@ -183,17 +185,22 @@ def label_texts(shared):
     return run
 
 
-def fit(documents: DataFrame, learn: Column, rows: int = SAMPLE_ROWS, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang"):
-    """Weights and languages learned from rows where ``learn`` holds; None without any."""
-    sample = (
-        documents.where(learn).select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{lang_col}`").alias("lang"), F.xxhash64(F.col(f"`{text_col}`")).alias("th"))
-        .where("lang is not null").orderBy(F.xxhash64("id", "th"), "id", "th", "lang").limit(rows)
-    )
-    # at most ``rows`` rows of three values go to the tasks
+def fit(documents: DataFrame, learn: Column, rows: int = LANGUAGE_ROWS, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang"):
+    """Weights and languages learned from rows where ``learn`` holds, ``rows`` of each language; None without any."""
     text = documents.where(learn).select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{lang_col}`").alias("lang"), F.col(f"`{text_col}`").alias("text"))
     text = text.where("lang is not null").withColumn("th", F.xxhash64("text"))
-    known = text.join(F.broadcast(sample.distinct()), ["id", "lang", "th"], "left_semi").dropDuplicates(["id", "lang", "th"])
-    found = known.select("lang", "text").mapInArrow(cut_pieces(), "lang string, piece binary").toArrow()
+    keys = text.select("id", "lang", "th", F.xxhash64("id", "th").alias("rank"))
+    # of a frequent language only the hashes below a bound, which about 2 * rows rows have, are put in order
+    bound = keys.groupBy("lang").agg((F.lit(2.0 * rows) / F.approx_count_distinct("rank") - 0.5).alias("bound"))
+    low = keys.join(F.broadcast(bound), "lang").where(F.col("rank") / F.lit(2.0**64) <= F.col("bound")).drop("bound").distinct()
+    of_language = Window.partitionBy("lang")
+    sample = (
+        low.withColumn("nth", F.row_number().over(of_language.orderBy("rank", "id", "th"))).where(F.col("nth") <= rows)
+        .withColumn("pieces", F.ceil(F.lit(PIECES_PER_ROW * rows) / F.count("*").over(of_language)).cast("int")).select("id", "lang", "th", "pieces")
+    )
+    # at most ``rows`` rows of four values for each language go to the tasks
+    known = text.join(F.broadcast(sample), ["id", "lang", "th"]).dropDuplicates(["id", "lang", "th"])
+    found = known.select("lang", "pieces", "text").mapInArrow(cut_pieces(), "lang string, piece binary").toArrow()
     if not found.num_rows:
         return None
     lang = found.column("lang").to_pylist()

@@ -77,3 +77,22 @@ def test_language_of_awkward_rows(spark):
     assert sum(r.lang_pred == "und" for r in out) == sum(not any(c.isalpha() for c in t or "") for _, t, *_ in data)
     assert {r.lang_pred for r in op8_language_id(docs.withColumn("lang", F.lit(None).cast("string"))).collect()} == {"und"}
     assert op8_language_id(docs.limit(0)).collect() == []
+
+
+def test_rare_language_is_learned(spark):
+    words = {"en": "the of and house water which their would people".split(), "fi": "ja yksi talo vesi hyvää päivää kiitos että".split()}
+    docs = [(k, lang, " ".join(words[lang][(k * 7 + j * (k % 5 + 1) + j // 3) % len(words[lang])] for j in range(600 if lang == "fi" else 60)))
+            for k in range(6000) for lang in ["fi" if k % 750 == 3 else "en"]]
+    frame = spark.createDataFrame(docs, "doc_id long, lang string, text string")
+    learn = F.col("doc_id") % 1500 != 3  # half of the eight rare rows
+    model = language_id.fit(frame, learn, rows=500)
+    assert model[1] == ["en", "fi"]
+    out = language_id.identify(frame, model).collect()
+    assert np.mean([r.lang == ("fi" if r.doc % 750 == 3 else "en") for r in out]) > 0.99
+    assert all(r.lang == "fi" for r in out if r.doc % 750 == 3)
+
+
+def test_pieces_cover_the_texts_of_a_rare_language():
+    batch = language_id.pa.record_batch([["aa", "bb"], language_id.pa.array([1000, 4], language_id.pa.int32()), ["x" * 960, "y" * 960]], names=["lang", "pieces", "text"])
+    (out,) = language_id.cut_pieces()([batch])
+    assert out.column("lang").to_pylist() == ["aa"] * 20 + ["bb"] * 4
