@@ -3,7 +3,7 @@ import zlib
 import numpy as np
 from pyspark.sql import functions as F
 
-from condoflow.llm import language_id
+from condoflow.llm import language_id, toxicity
 from condoflow.llm.language_id import op8_language_id
 from condoflow.llm.toxicity import log_ratios, op2_toxicity
 from tests.llm import brute
@@ -96,3 +96,18 @@ def test_pieces_cover_the_texts_of_a_rare_language():
     batch = language_id.pa.record_batch([["aa", "bb"], language_id.pa.array([1000, 4], language_id.pa.int32()), ["x" * 960, "y" * 960]], names=["lang", "pieces", "text"])
     (out,) = language_id.cut_pieces()([batch])
     assert out.column("lang").to_pylist() == ["aa"] * 20 + ["bb"] * 4
+
+
+def test_rare_words_and_bigrams_that_tell_are_kept(spark):
+    words = [a + b + c for a in "bcdfghkl" for b in "bcdfghkl" for c in "bcdfghklm"][:520]
+    pairs = [" ".join(f"{w} {v}" for v in words) for w in words]  # more than 2 ** 18 bigrams, each met more often than the one that tells
+    plain = [f"{k} {text}" for k in range(12) for text in pairs] + [f"{k} zz aa qq" for k in range(800)]
+    toxic = [f"12 {text}" for text in pairs] + [f"{k} zz aa qq" for k in range(60)] + [f"{k} zz qq" for k in range(8)] + [f"{k} rare" for k in range(6)]
+    rows = [(k, int(k >= len(plain)), text) for k, text in enumerate(plain + toxic)]
+    frame = spark.createDataFrame(rows, "doc_id long, toxic int, text string").repartition(8)
+    shared, _ = toxicity.fit(frame.select("doc_id", "text"), frame.select("doc_id", "toxic"), F.lit(True))
+    m = shared.value
+    rare, zz, qq = (toxicity.numbers(m["vocabulary"], toxicity.letters(np.frombuffer(w, np.uint8), np.array([0, len(w)]))[0])[0] for w in (b"rare", b"zz", b"qq"))
+    assert rare and m["word"][rare] > 1
+    place = np.searchsorted(m["pair"], zz * (len(m["vocabulary"]) + 2) + qq)
+    assert m["pair"][place] == zz * (len(m["vocabulary"]) + 2) + qq and m["ratio"][place] > 1
