@@ -111,3 +111,9 @@ def test_rare_words_and_bigrams_that_tell_are_kept(spark):
     assert rare and m["word"][rare] > 1
     place = np.searchsorted(m["pair"], zz * (len(m["vocabulary"]) + 2) + qq)
     assert m["pair"][place] == zz * (len(m["vocabulary"]) + 2) + qq and m["ratio"][place] > 1
+
+
+def test_held_out_toxic_rows_reach_the_threshold(spark):
+    docs, labels = spark.read.parquet(f"{SF}/documents.parquet"), spark.read.parquet(f"{SF}/labels.parquet")
+    out = op2_toxicity(docs, labels).join(labels, "doc_id").where("held_out and toxic = 1").collect()
+    assert np.mean([r.predicted for r in out]) > 0.75
