@@ -3,7 +3,9 @@
 Every rule bounds one ratio of a text.  ``compile_rules`` turns the table into a column that holds the names of the broken rules,
 so a rule can be changed or added without touching a plan.
 
-Defined results: null text has no words and fails the base rules; the windows of repeated words never cross texts.
+Defined results: null text has no words and fails the base rules, as empty texts do; the windows of repeated words never cross
+texts; texts of any length are counted whole; null and repeated ids are kept as they are, one row out for each row in; extra
+columns are ignored whatever their names; an empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -33,7 +35,11 @@ RULES = (
 
 
 def counts(documents: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Id and base counts of each text, in one pass without a shuffle."""
+    """Id and base counts of each text, in one pass without a shuffle.
+
+    The row comes out of a generator: a filter on the counts or the verdict stays above it.  Below, the optimiser would put the
+    definitions of ``words`` and ``sorted`` inside the lambdas that read them, to be computed again for every word.
+    """
     given = documents.select(F.col(f"`{id_col}`").alias("doc_id"), F.coalesce(F.col(f"`{text_col}`"), F.lit("")).alias("text"))
     stop = sorted({w for words in STOP_WORDS.values() for w in words})
     bare = F.btrim("text", F.lit(SPACES))
@@ -63,9 +69,10 @@ def counts(documents: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     covered = F.aggregate(
         "starts", F.struct(F.lit(0).alias("end"), F.lit(0).alias("n")),
         lambda a, i: F.struct((i + 3).alias("end"), (a["n"] + i + 3 - F.greatest(i, a["end"])).alias("n")), lambda a: a["n"])
-    return found.select(
+    row = F.struct(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", covered.cast("long").alias("n_repeat_words"),
         "n_lines", "n_stop_words")
+    return found.select(F.inline(F.array(row)))
 
 
 def ratios() -> dict[str, Column]:

@@ -1,3 +1,4 @@
+import time
 import zlib
 from collections import Counter, defaultdict
 
@@ -33,6 +34,24 @@ def test_quality_keeps_good_rows(spark):
     assert all(r.kept == (r.quality == 1) for r in out)
 
 
+def test_quality_can_be_filtered(spark):
+    text = " ".join(f"word{(i * i) % 977} the" for i in range(10_000))
+    docs = spark.createDataFrame([(i, text) for i in range(4)], "doc_id long, text string")
+    plan = lambda df: df._jdf.queryExecution().optimizedPlan().toString()
+    out = op6_quality_rules(docs)
+    for condition in ("kept", "not base_failed", "n_words > 3 and not kept"):
+        for name in ("sort_array(", "split(", "xxhash64("):
+            assert plan(out.where(condition)).count(name) == plan(out).count(name)
+    timed = lambda df: (time.time(), df.collect(), time.time())
+    timed(out)
+    (a, _, b), (c, kept, d) = timed(out), timed(out.where("kept or not kept"))
+    assert len(kept) == 4 and d - c < 1.2 * (b - a) + 1
+
+
+def test_quality_of_nothing(spark):
+    assert op6_quality_rules(spark.createDataFrame([], brute.SCHEMA)).where("kept").collect() == []
+
+
 def test_mixing_of_awkward_rows(spark):
     data = brute.awkward()
     docs = spark.createDataFrame(data, brute.SCHEMA).repartition(4)
