@@ -17,6 +17,7 @@ from condoflow.llm.recompression import op4_substring_dedup
 from condoflow.llm.sharding import op9_sharding
 from condoflow.llm.suffix_dedup import op1_suffix_dedup
 from condoflow.llm.toxicity import op2_toxicity
+from condoflow.llm.whitening import op12_embedding_whitening
 from condoflow.llm.wrappers import op3_html_extraction
 
 
@@ -37,6 +38,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op9_sharding": on_documents(op9_sharding),
         "op10_decontaminate": lambda spark, sf_dir: op10_decontaminate(
             table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")),
+        "op12_embedding_whitening": lambda spark, sf_dir: op12_embedding_whitening(table(spark, sf_dir, "embeddings")),
         "pipeline": corpus_pipeline.run,
     }
 
