@@ -12,6 +12,7 @@ from condoflow.llm.decontaminate import op10_decontaminate
 from condoflow.llm.language_id import op8_language_id
 from condoflow.llm.minhash import op5_minhash_dedup
 from condoflow.llm.mixing import OP7_SQL, op7_mixing
+from condoflow.llm.nearest import op11_nearest_neighbours
 from condoflow.llm.quality_rules import op6_quality_rules, op6_sql
 from condoflow.llm.recompression import op4_substring_dedup
 from condoflow.llm.sharding import op9_sharding
@@ -38,6 +39,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op9_sharding": on_documents(op9_sharding),
         "op10_decontaminate": lambda spark, sf_dir: op10_decontaminate(
             table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")),
+        "op11_nearest_neighbours": lambda spark, sf_dir: op11_nearest_neighbours(table(spark, sf_dir, "embeddings")),
         "op12_embedding_whitening": lambda spark, sf_dir: op12_embedding_whitening(table(spark, sf_dir, "embeddings")),
         "pipeline": corpus_pipeline.run,
     }
