@@ -14,6 +14,7 @@ from condoflow.llm.minhash import op5_minhash_dedup
 from condoflow.llm.mixing import OP7_SQL, op7_mixing
 from condoflow.llm.nearest import op11_nearest_neighbours
 from condoflow.llm.quality_rules import op6_quality_rules, op6_sql
+from condoflow.llm.ranked_search import OP13_SQL, op13_ranked_search
 from condoflow.llm.recompression import op4_substring_dedup
 from condoflow.llm.sharding import op9_sharding
 from condoflow.llm.suffix_dedup import op1_suffix_dedup
@@ -41,9 +42,11 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
             table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")),
         "op11_nearest_neighbours": lambda spark, sf_dir: op11_nearest_neighbours(table(spark, sf_dir, "embeddings")),
         "op12_embedding_whitening": lambda spark, sf_dir: op12_embedding_whitening(table(spark, sf_dir, "embeddings")),
+        "op13_ranked_search": lambda spark, sf_dir: op13_ranked_search(
+            table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")),
         "pipeline": corpus_pipeline.run,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op6_quality_rules": op6_sql(), "op7_mixing": OP7_SQL}
+    return {"op6_quality_rules": op6_sql(), "op7_mixing": OP7_SQL, "op13_ranked_search": OP13_SQL}
