@@ -1,13 +1,37 @@
-"""Consecutive numbers over a total order, without one task seeing all rows."""
+"""Consecutive numbers over a total order, without one task seeing all rows and without writing anything."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from ..session import stage
 from .spread import spread_join
 
-_POSITION_BITS = 33  # layout of monotonically_increasing_id: slice number above, position below
+SAMPLE = 4096  # rows of which the borders of the slices are quantiles
+MOST_SLICES = 512
+
+
+def _slices(df: DataFrame) -> int:
+    """A power of two of about the number of shuffle partitions."""
+    wanted = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return 1 << max(1, min(wanted, MOST_SLICES) - 1).bit_length()
+
+
+def _borders(keyed: DataFrame, slices: int) -> Column:
+    """Quantiles of ``_key`` over a sample of bounded size: the rows with the least hashes, of which every task gives its own."""
+    sample = keyed.select("_key").orderBy(F.xxhash64(F.lit(11), "_key")).limit(SAMPLE)
+    ordered = sample.agg(F.array_sort(F.collect_list("_key")).alias("_s"))
+    cuts = F.sequence(F.lit(1), F.lit(slices - 1))
+    return ordered.select(F.transform(cuts, lambda i: F.get("_s", F.floor(i * F.size("_s") / slices).cast("int")))).scalar()
+
+
+def _with_slice(keyed: DataFrame, slices: int) -> DataFrame:
+    """Add ``_slice``, the number of borders below the row's key, by halving."""
+    rows, step = keyed.withColumns({"_borders": _borders(keyed, slices), "_slice": F.lit(0)}), slices // 2
+    while step:
+        above = F.col("_key") > F.get("_borders", F.col("_slice") + (step - 1))
+        rows = rows.withColumn("_slice", F.col("_slice") + F.when(above, step).otherwise(0))
+        step //= 2
+    return rows.drop("_borders")
 
 
 def dense_numbers(
@@ -19,43 +43,24 @@ def dense_numbers(
     """Add ``name`` = 1, 2, 3, ... in the order of ``order_by`` within ``partition_by``.
 
     ``row_number`` would pull a whole group (or the whole table) into one task.
-    Here rows are range-partitioned on group and order, so a hot group is spread
-    over many slices; each row's position in its slice is stored, and only one
-    count per (group, slice) is ordered by a window.  Rows equal in all of
-    ``order_by`` are ordered by a hash of the row, so many of them spread too.
+    Here rows fall into slices of the order of group and key, so a hot group is spread over many;
+    a row's number is its place in its slice plus the rows of the group in earlier ones, of which
+    there is one count per (group, slice).  Rows equal in all of ``order_by`` are ordered by a
+    hash of the row, so many of them spread too.
+
+    Borders, places and counts depend on values only, never on where a row lies: a task that runs again numbers
+    its rows alike, so nothing has to be stored, and all of it is one lazy plan.
     """
-    groups = list(partition_by or [])
-    keys = [*groups, *order_by, "_tie"]
-    placed = stage(
-        df.withColumn("_tie", F.xxhash64(*df.columns))
-        .repartitionByRange(*keys)
-        .sortWithinPartitions(*keys)
-        .withColumn("_slot", F.monotonically_increasing_id())
-        .drop("_tie")
-    )
-    rows = placed.select(
-        *df.columns,
-        F.shiftright("_slot", _POSITION_BITS).alias("_slice"),
-        F.col("_slot").bitwiseAND(F.lit((1 << _POSITION_BITS) - 1)).alias("_position"),
-    )
-    earlier = (
-        Window.partitionBy(*groups).orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
-    )
-    starts = (
-        rows.groupBy(*groups, "_slice")
-        .agg(F.count(F.lit(1)).alias("_count"), F.min("_position").alias("_first"))
-        .select(
-            *[F.col(g).alias(f"_g_{i}") for i, g in enumerate(groups)],
-            F.col("_slice").alias("_start_slice"),
-            (F.coalesce(F.sum("_count").over(earlier), F.lit(0)) - F.col("_first") + 1).alias("_shift"),
-        )
-    )
-    same = F.col("_slice") == F.col("_start_slice")
-    for i, g in enumerate(groups):
-        same = same & F.col(g).eqNullSafe(F.col(f"_g_{i}"))
-    return rows.join(starts, same).select(
-        *df.columns, (F.col("_position") + F.col("_shift")).alias(name)
-    )
+    groups, slices = list(partition_by or []), _slices(df)
+    keyed = df.withColumn("_tie", F.xxhash64(*df.columns)).withColumn("_key", F.struct(*groups, *order_by, "_tie"))
+    # Groups as one struct: equality of structs takes nulls as equal, and joins on it keep the partitioning of the window.
+    rows = _with_slice(keyed, slices).withColumn("_group", F.struct(F.lit(0).alias("_all"), *groups))
+    by = ["_group", "_slice"]
+    placed = rows.withColumn("_place", F.row_number().over(Window.partitionBy(*by).orderBy("_key")))
+    counts = rows.groupBy(*by).agg(F.count(F.lit(1)).alias("_count"))
+    earlier = Window.partitionBy("_group").orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
+    starts = counts.select(*by, F.coalesce(F.sum("_count").over(earlier), F.lit(0)).alias("_start"))
+    return placed.join(starts, by).select(*df.columns, (F.col("_place") + F.col("_start")).alias(name))
 
 
 def continue_ids(df: DataFrame, existing: DataFrame, id_column: str, order_by: list[str]) -> DataFrame:

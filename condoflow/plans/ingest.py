@@ -12,8 +12,18 @@ from .. import schemas
 from ..functions import dates, text
 from ..operators import maintenance as m
 from ..operators.numbering import continue_ids, dense_numbers
-from ..operators.services import unpivot_services
 from ..operators.spread import spread_join
+from ..sources.files import CORRUPT
+
+# Why a cost document or one of its amounts is refused.
+REFUSED_UNREADABLE = "documento ilegible"
+REFUSED_NO_BUILDING = "sin consorcio"
+REFUSED_MONTH = "mes desconocido"
+REFUSED_BUILDING = "consorcio desconocido"
+REFUSED_EMPTY = "sin importes"
+REFUSED_AMOUNT = "importe ilegible"
+REFUSED_NOT_POSITIVE = "importe no positivo"
+REFUSED_REPEATED = "documento del mes ya importado"
 
 
 def parse_payments(lines: DataFrame) -> DataFrame:
@@ -46,44 +56,55 @@ def import_payments(lines: DataFrame, payments: DataFrame | None = None) -> tupl
     return new, parsed.filter(~usable).unionByName(unclear.select(*parsed.columns))
 
 
-def cost_rows(docs: DataFrame) -> DataFrame:
-    """(consorcio, mes, tipo_servicio, importe_cents) of the documents' positive amounts."""
-    named = docs.select(
-        F.trim("`Nombre del consorcio`").alias("consorcio"),
-        dates.spanish_month_number(F.col("Mes")).alias("mes"),
-        *[F.col(f"`{c}`") for c in docs.columns if c not in ("_id", "Nombre del consorcio", "Mes")],
-    ).filter("consorcio is not null and mes is not null")
-    ids = [c for c in named.columns if c not in text.SERVICES]
-    return (
-        unpivot_services(named, ids)
-        .withColumn("importe_cents", text.clean_cents(F.col("importe_texto")))
-        .drop("importe_texto")
-        .filter("importe_cents > 0")
-    )
-
-
-def import_costs(docs: DataFrame, buildings: DataFrame, year, last_id: int = 0) -> DataFrame:
-    """Ordinary costs of monthly documents, dated the first of their month.
+def cost_entries(docs: DataFrame, buildings: DataFrame, year) -> DataFrame:
+    """Every amount of the monthly documents with ``motivo``, why it is no cost; null for a cost.
 
-    ``year`` is the year of the drop, a number or the name of a document column.
-    Invoice numbers continue from ``last_id`` in building, month, service order.
+    (consorcio_id, fecha, tipo_servicio, importe_cents, motivo, detalle); costs are dated the first of their month.  ``year`` is
+    the year of the drop, a number or the name of a document column.  A document that is no cost as a whole is one
+    row, and so is one without amounts, so every document is found again.  ``detalle`` is the document of a refused row.
     """
-    year_column = F.col(year) if isinstance(year, str) else F.lit(year)
-    names = buildings.select(
-        F.col("id").alias("consorcio_id"), text.key_text(F.col("nombre")).alias("_name")
-    )
-    joined = (
-        cost_rows(docs)
-        .withColumn("_name", text.key_text(F.col("consorcio")))
-        .join(names, "_name")
+    services = [s for s in text.SERVICES if s in docs.columns]
+    corrupt = F.col(CORRUPT) if CORRUPT in docs.columns else F.lit(None).cast("string")
+    given = docs.select(
+        F.struct(*[c for c in docs.columns if c != CORRUPT]).alias("_doc"), corrupt.alias("_corrupt"),
+        (F.col(year) if isinstance(year, str) else F.lit(year)).alias("_year"),
+        dates.spanish_month_number(F.col("Mes")).alias("_mes"),
+        text.blank_to_null(F.col("`Nombre del consorcio`")).alias("_consorcio"),
+    )
+    names = buildings.select(F.col("id").alias("consorcio_id"), text.key_text(F.col("nombre")).alias("_name"))
+    found = given.withColumn("_name", text.key_text(F.col("_consorcio"))).join(names, "_name", "left")
+    whole = (
+        F.when(F.col("_corrupt").isNotNull(), REFUSED_UNREADABLE)
+        .when(F.col("_consorcio").isNull(), REFUSED_NO_BUILDING)
+        .when(F.col("_mes").isNull(), REFUSED_MONTH)
+        .when(F.col("consorcio_id").isNull(), REFUSED_BUILDING)
+    )
+    amounts = F.array(*[F.struct(F.lit(s).alias("tipo_servicio"), F.col(f"_doc.`{s}`").alias("_text")) for s in services])
+    given_amounts = F.filter(amounts, lambda a: F.trim(a["_text"]) != "")
+    entries = (
+        found.withColumn("_whole", whole)
+        .select("*", F.explode_outer(F.when(F.col("_whole").isNull(), given_amounts)).alias("_a"))
         .select(
-            "consorcio_id",
-            F.make_date(year_column, F.col("mes"), F.lit(1)).alias("fecha"),
-            "importe_cents",
-            "tipo_servicio",
+            "consorcio_id", F.make_date(F.col("_year"), F.col("_mes"), F.lit(1)).alias("fecha"), "_a.tipo_servicio",
+            text.clean_cents(F.col("_a._text")).alias("importe_cents"), "_whole", "_doc", "_corrupt",
         )
     )
-    numbered = dense_numbers(joined, ["consorcio_id", "fecha", "tipo_servicio"], name="_seq")
+    reason = F.coalesce(
+        "_whole",
+        F.when(F.col("tipo_servicio").isNull(), REFUSED_EMPTY)
+        .when(F.col("importe_cents").isNull(), REFUSED_AMOUNT)
+        .when(F.col("importe_cents") <= 0, REFUSED_NOT_POSITIVE),
+    )
+    return entries.withColumn("motivo", reason).select(
+        "consorcio_id", "fecha", "tipo_servicio", "importe_cents", "motivo",
+        F.when(F.col("motivo").isNotNull(), F.coalesce("_corrupt", F.to_json("_doc"))).alias("detalle"),
+    )
+
+
+def number_costs(entries: DataFrame, last_id: int = 0) -> DataFrame:
+    """Ordinary costs of the entries without ``motivo``; invoice numbers go on from ``last_id`` in building, month, service order."""
+    costs = entries.filter("motivo is null").select("consorcio_id", "fecha", "importe_cents", "tipo_servicio")
+    numbered = dense_numbers(costs, ["consorcio_id", "fecha", "tipo_servicio"], name="_seq")
     return numbered.select(
         "consorcio_id",
         F.lit(None).cast("string").alias("empresa"),
@@ -95,6 +116,11 @@ def import_costs(docs: DataFrame, buildings: DataFrame, year, last_id: int = 0)
     )
 
 
+def import_costs(docs: DataFrame, buildings: DataFrame, year, last_id: int = 0) -> DataFrame:
+    """Ordinary costs of monthly documents."""
+    return number_costs(cost_entries(docs, buildings, year), last_id)
+
+
 DNI_DIGITS = 8
 
 

@@ -1,11 +1,14 @@
 """The monthly chain: import all files, issue statements, apply payments, publish once.
 
-Tables are written to a new version as they become final and read back by the
-later steps; the version counts only after its last table is there.
+Tables are written as they become final and read back by the later steps; the run counts only after its last table is there.
+A run reads and writes what is new and what that touches, not history.  Of the facts it writes new payments, the costs it
+charges, its own statements and lines, and again only the lines of periods that new payments settle.  It reads the months
+next to its range, the lines it changes, and of older payments the ids, by the range of the new ones.
 """
 
 from __future__ import annotations
 
+import datetime as dt
 from dataclasses import dataclass
 from functools import reduce
 
@@ -14,9 +17,8 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from .. import schemas
 from ..operators import maintenance as m
 from ..operators.numbering import continue_ids, dense_numbers
-from ..session import stage
 from ..sources import files as src
-from ..sources.versions import NewVersion, read_table
+from ..sources.versions import OPEN, NewVersion, month_name
 from . import annexes, ingest, statements as st
 
 
@@ -33,6 +35,7 @@ class MonthlyFiles:
     payments: str
     person_separator: str = ";"
     costs_as_array: bool = True
+    cost_record_key: str | None = None  # first key of the documents, to read a large array in many tasks
 
 
 def with_accounts(buildings: DataFrame, accounts: DataFrame | None) -> DataFrame:
@@ -51,6 +54,9 @@ def with_accounts(buildings: DataFrame, accounts: DataFrame | None) -> DataFrame
     )
 
 
+UNREADABLE = "fila ilegible"
+
+
 class _Drop:
     """The parsed files of a drop; keeps what was refused on the way, for the reject table."""
 
@@ -63,11 +69,15 @@ class _Drop:
         self.refuse(name, loaded.rejected)
         return loaded.good
 
-    def refuse(self, name: str, rows: DataFrame) -> None:
-        self.refused.append(rows.select(F.lit(name).alias("origen"), F.to_json(F.struct("*")).alias("detalle")))
+    def refuse(self, name: str, rows: DataFrame, reason: str = UNREADABLE) -> None:
+        self.refused.append(rows.select(F.lit(name).alias("origen"), F.lit(reason).alias("motivo"), F.to_json(F.struct("*")).alias("detalle")))
+
+    def refuse_documents(self, entries: DataFrame) -> None:
+        """Entries of cost documents that carry their reason."""
+        self.refused.append(entries.select(F.lit("costs").alias("origen"), "motivo", "detalle"))
 
     def rejects(self) -> DataFrame:
-        return reduce(DataFrame.unionByName, self.refused)
+        return reduce(DataFrame.unionByName, self.refused).distinct()
 
 
 def _buildings(listed: DataFrame, old: DataFrame, sizes: DataFrame) -> DataFrame:
@@ -79,6 +89,17 @@ def _buildings(listed: DataFrame, old: DataFrame, sizes: DataFrame) -> DataFrame
     return merged.unionByName(continue_ids(found, merged, "id", ["nombre"]), allowMissingColumns=True)
 
 
+def _months(period_range: st.Range, shift: int = 0) -> set[str]:
+    """Partitions of the months of a range moved by ``shift``."""
+    return {month_name(period_range.after(i + shift)) for i in range(period_range.months)}
+
+
+def _moved(partitions: set[str], months: int) -> set[str]:
+    """Partitions so many months later."""
+    index = (int(p[:4]) * 12 + int(p[5:]) - 1 + months for p in partitions if p != OPEN)
+    return {month_name(dt.date(i // 12, i % 12 + 1, 1)) for i in index}
+
+
 def run_month(
     spark: SparkSession,
     root: str,
@@ -94,76 +115,59 @@ def run_month(
     ``extraordinary`` holds new extraordinary costs in table layout.  Statements
     of the range must not exist yet; running the imports again adds nothing.
     """
-    old = {t: read_table(spark, root, t) for t in schemas.TABLES}
-    issued_before = old["expensa"].select("consorcio_id", "periodo")
-    if not issued_before.filter(period_range.has(F.col("periodo"))).isEmpty():
-        raise ValueError("the range holds periods with statements already issued")
     out, drop = NewVersion(spark, root), _Drop(spark, files)
+    old = out.base
+    if old.partitions("expensa") & _months(period_range):
+        raise ValueError("the range holds periods with statements already issued")
 
     sizes = drop.read("unit_sizes")
-    buildings = stage(with_accounts(_buildings(drop.read("buildings"), old["consorcio"], sizes), accounts))
+    buildings = out.stage(with_accounts(_buildings(drop.read("buildings"), old.read("consorcio"), sizes), accounts))
 
     person_lines = drop.read("persons", files.person_separator)
     unusable = F.coalesce(ingest.rounded_account(F.col("cvu")), F.lit(True)) | ingest.long_dni(F.col("dni"))
-    sound = person_lines.filter(~unusable)
-    drop.refuse("persons", person_lines.filter(unusable))
-    new_persons = ingest.import_persons(sound, old["persona"]).withColumn("id", F.lit(None).cast("bigint"))
-    persons = out.write(
-        "persona", old["persona"].unionByName(continue_ids(new_persons, old["persona"], "id", ["dni", "cvu"]))
-    )
+    drop.refuse("persons", person_lines.filter(unusable), "cuenta o documento ilegible")
+    known_persons = old.read("persona")
+    new_persons = ingest.import_persons(person_lines.filter(~unusable), known_persons).withColumn("id", F.lit(None).cast("bigint"))
+    out.write("persona", continue_ids(new_persons, known_persons, "id", ["dni", "cvu"]))
 
-    holders, strangers = ingest.import_unit_holders(drop.read("unit_holders"), old["unidad"], buildings, persons)
-    drop.refuse("unit_holders", strangers)
+    holders, strangers = ingest.import_unit_holders(drop.read("unit_holders"), old.read("unidad"), buildings, out.read("persona"))
+    drop.refuse("unit_holders", strangers, "consorcio, titular o cuenta desconocidos")
     new_units = continue_ids(
-        holders.drop("consorcio").withColumn("uf_id", F.lit(None).cast("bigint")), old["unidad"], "uf_id",
+        holders.drop("consorcio").withColumn("uf_id", F.lit(None).cast("bigint")), old.read("unidad"), "uf_id",
         ["consorcio_id", "numero", "cvu"],
     )
-    every_unit = old["unidad"].unionByName(new_units, allowMissingColumns=True)
-    filled, _ = ingest.import_unit_sizes(sizes, every_unit, buildings)
-    units = out.write("unidad", filled)
+    filled, _ = ingest.import_unit_sizes(sizes, old.read("unidad").unionByName(new_units, allowMissingColumns=True), buildings)
+    units = out.replace("unidad", filled)
 
-    new_payments, unreadable = ingest.import_payments(drop.read("payments"), old["pago"])
-    drop.refuse("payments", unreadable)
-    payments = out.write("pago", old["pago"].unionByName(new_payments))
+    new_payments = _payments(out, drop)
+    costs = _costs(out, drop, buildings, period_range, year, extraordinary)
 
-    names = buildings.select(F.col("id").alias("consorcio_id"), F.col("nombre").alias("consorcio"))
-    suppliers = m.scalar_lookup(
-        ingest.supplier_rows(drop.read("suppliers")), names, "consorcio", "consorcio_id"
-    ).drop("consorcio")
-    documents = src.read_costs(spark, files.costs, files.costs_as_array)
-    monthly = ingest.import_costs(documents, buildings, year, last_id=old["gasto_ordinario"].count())
-    # A building has one document per month: the same one imported again adds nothing.
-    fresh = m.absent_rows(
-        monthly, old["gasto_ordinario"].select("consorcio_id", "fecha").distinct(), ["consorcio_id", "fecha"]
-    )
-    ordinary = out.write(
-        "gasto_ordinario",
-        old["gasto_ordinario"].unionByName(
-            ingest.fill_general_costs(ingest.enrich_with_suppliers(fresh, suppliers), ["nro_factura"])
-        ),
+    # New payments settle lines of any statement issued, older ones only those of the statements issued now.
+    issuing = st.statements_of(buildings, period_range)
+    settling = _moved({f.partition for f in out.written["pago"]}, -1)
+    issued = old.read("expensa", settling).select("consorcio_id", "periodo").unionByName(issuing)
+    early = old.read("pago", _months(period_range, 1))
+    out.write(
+        "pago_aplicado",
+        st.apply_payments(new_payments, units, issued).unionByName(st.apply_payments(early, units, issuing)),
     )
-    extra = old["gasto_extraordinario"]
-    if extraordinary is not None:
-        extra = extra.unionByName(extraordinary, allowMissingColumns=True)
-    extra = out.write("gasto_extraordinario", extra)
-    costs = st.union_costs(ordinary, extra)
-
-    # Payments that came in since the last run settle the lines it issued.
-    statements = st.statements_of(buildings, period_range)
-    applied_now = st.apply_payments(payments, units, issued_before.unionByName(statements), old["pago_aplicado"])
-    applied = out.write("pago_aplicado", old["pago_aplicado"].unionByName(applied_now))
-    settled = _refresh(old["detalle_expensa"], applied)
-    last_period = F.lit(period_range.after(-1))
-    opening_debt = settled.filter(F.col("periodo") == last_period).select(
+    settled = {f.partition for f in out.written["pago_aplicado"]}
+    touched = (settled | _moved(settled, 1)) & old.partitions("detalle_expensa")
+    if touched:
+        applied = out.read("pago_aplicado", touched | _moved(touched, -1))
+        out.write("detalle_expensa", _refresh(old.read("detalle_expensa", touched), applied), replacing=touched)
+
+    last = {month_name(period_range.after(-1))}
+    opening_debt = out.read("detalle_expensa", last).select(
         "uf_id", (F.col("total_cents") - F.col("pagado_cents")).alias("deuda_cents")
     )
+    payments = out.read("pago", _months(period_range, -1) | _months(period_range) | _months(period_range, 1))
     new_lines = st.statement_detail(units, costs, payments, period_range, opening_debt)
-    out.write("detalle_expensa", _refresh(settled.unionByName(new_lines), applied))
+    out.write("detalle_expensa", _refresh(new_lines, out.read("pago_aplicado", _months(period_range) | last)))
 
-    headers = st.statement_header(buildings, units, costs, payments, period_range)
-    every_header = out.write("expensa", old["expensa"].unionByName(headers))
-    closing = every_header.groupBy("consorcio_id").agg(F.max_by("saldo_cierre_cents", "periodo").alias("_closing"))
-    out.write(
+    headers = out.write("expensa", st.statement_header(buildings, units, costs, payments, period_range))
+    closing = headers.groupBy("consorcio_id").agg(F.max_by("saldo_cierre_cents", "periodo").alias("_closing"))
+    closed = out.replace(
         "consorcio",
         buildings.join(closing, buildings.id == closing.consorcio_id, "left").withColumn(
             "saldo_cents", F.coalesce("_closing", "saldo_cents", F.lit(0))
@@ -171,16 +175,61 @@ def run_month(
     )
 
     for table, weight in (("cochera", annexes.PARKING_WEIGHT), ("baulera", annexes.STORAGE_WEIGHT)):
-        places = old[table].select("uf_id", "numero")
         sized = units.withColumn("m2", F.coalesce("m2", F.lit(0)))
-        new_places = annexes.new_annexes(sized, places, weight).select("uf_id", "numero", "pct_bp")
-        out.write(table, old[table].unionByName(new_places))
+        out.write(table, annexes.new_annexes(sized, old.read(table).select("uf_id", "numero"), weight))
 
-    _write_fixed_tables(spark, out, old, accounts)
-    out.write("rechazo", old["rechazo"].unionByName(drop.rejects()).distinct())
+    _write_fixed_tables(out, closed, accounts)
+    out.write("rechazo", m.absent_rows(drop.rejects(), old.read("rechazo"), ["origen", "motivo", "detalle"]))
     return out.commit()
 
 
+def _payments(out: NewVersion, drop: _Drop) -> DataFrame:
+    """Write the payments of the drop that are new; of the old ones only ids between its least and greatest are read."""
+    lines = drop.read("payments")
+    low, high = lines.agg(F.min("id_pago"), F.max("id_pago")).first()
+    known = out.base.read("pago").filter(F.col("id_pago").between(low, high)) if low is not None else None
+    new, refused = ingest.import_payments(lines, known)
+    drop.refuse("payments", refused, "pago incompleto o contradictorio")
+    return out.write("pago", new)
+
+
+def _costs(
+    out: NewVersion, drop: _Drop, buildings: DataFrame, period_range: st.Range, year: int, extraordinary: DataFrame | None
+) -> DataFrame:
+    """Write the costs of the drop, each with the statement that charges it, and return those that this range charges.
+
+    Costs that no statement has charged are in the open partition; what the range charges goes to its partitions, the rest
+    stays there.
+    """
+    old, files = out.base, drop.files
+    documents = src.read_costs(drop.spark, files.costs, files.costs_as_array, files.cost_record_key)
+    entries = out.stage(ingest.cost_entries(documents, buildings, year))
+    # A building has one document per month: another one is refused, also when it is the same one again.  The costs
+    # of a month are charged by its own statement or a later one, or are still open.
+    first = entries.agg(F.min("fecha")).first()[0]
+    later = {p for p in old.partitions("gasto_ordinario") if p == OPEN or first is not None and p >= month_name(first)}
+    known = old.read("gasto_ordinario", later).select("consorcio_id", "fecha").distinct()
+    costs = entries.filter("motivo is null")
+    repeated = costs.join(known, ["consorcio_id", "fecha"], "left_semi").select(
+        F.lit(ingest.REFUSED_REPEATED).alias("motivo"), F.to_json(F.struct("consorcio_id", "fecha", "tipo_servicio", "importe_cents")).alias("detalle")
+    )
+    drop.refuse_documents(entries.filter("motivo is not null"))
+    drop.refuse_documents(repeated)
+
+    names = buildings.select(F.col("id").alias("consorcio_id"), F.col("nombre").alias("consorcio"))
+    suppliers = m.scalar_lookup(ingest.supplier_rows(drop.read("suppliers")), names, "consorcio", "consorcio_id").drop("consorcio")
+    fresh = ingest.number_costs(m.absent_rows(costs, known, ["consorcio_id", "fecha"]), last_id=old.rows("gasto_ordinario"))
+    ordinary = ingest.fill_general_costs(ingest.enrich_with_suppliers(fresh, suppliers), ["nro_factura"])
+
+    charged = []
+    for table, new in (("gasto_ordinario", ordinary), ("gasto_extraordinario", extraordinary)):
+        waiting = old.read(table, {OPEN})
+        every = waiting if new is None else waiting.unionByName(new, allowMissingColumns=True)
+        written = out.write(table, st.link_costs(every, period_range), replacing={OPEN})
+        charged.append(st.charged_costs(written))
+    return st.union_costs(*charged)
+
+
 def _refresh(lines: DataFrame, applied: DataFrame) -> DataFrame:
     """Lines with payments received, payments of the period before and late interest brought up to date."""
     received = st.payments_received(applied)
@@ -197,20 +246,19 @@ def _refresh(lines: DataFrame, applied: DataFrame) -> DataFrame:
     return st.late_interest(fresh).select(*columns)
 
 
-def _write_fixed_tables(
-    spark: SparkSession, out: NewVersion, old: dict[str, DataFrame], accounts: DataFrame | None
-) -> None:
-    """Roles, payment methods and bank accounts with their seeds."""
+def _write_fixed_tables(out: NewVersion, buildings: DataFrame, accounts: DataFrame | None) -> None:
+    """Roles and payment methods with their seeds, and bank accounts with the balance their building closed with."""
     seeds = {
         "tipo_rol": (schemas.ROLE_SEEDS, "nombre", "descripcion"),
         "forma_de_pago": (schemas.PAYMENT_METHOD_SEEDS, "descripcion", "confirmacion"),
     }
     for table, (rows, key, other) in seeds.items():
-        seed = spark.createDataFrame(
+        seed = out.spark.createDataFrame(
             [(i, *row) for i, row in enumerate(rows, 1)], f"id int, {key} string, {other} string"
         )
-        out.write(table, m.seed_if_absent(old[table], seed, key))
-    known = old["cuenta_bancaria"]
+        out.replace(table, m.seed_if_absent(out.base.read(table), seed, key))
+    known = out.base.read("cuenta_bancaria")
     if accounts is not None:
         known = known.unionByName(m.absent_rows(accounts, known.select("cvu"), ["cvu"]), allowMissingColumns=True)
-    out.write("cuenta_bancaria", known)
+    balances = buildings.select("cvu", F.col("saldo_cents").alias("_balance"))
+    out.replace("cuenta_bancaria", known.join(balances, "cvu", "left").withColumn("saldo_cents", F.coalesce("_balance", "saldo_cents")))

@@ -64,15 +64,23 @@ def costs_by_period(costs: DataFrame) -> DataFrame:
     )
 
 
-def assign_costs(costs: DataFrame, statements: DataFrame) -> DataFrame:
-    """Costs with ``expensa_id`` of the statement of their building and month, null if there is none."""
-    known = statements.select(
-        "consorcio_id", "periodo",
-        dates.statement_key(F.col("consorcio_id"), F.col("periodo")).alias("expensa_id"),
-    )
-    return costs.withColumn("periodo", dates.period_of(F.col("fecha"))).join(
-        known, ["consorcio_id", "periodo"], "left"
-    )
+def link_costs(costs: DataFrame, period_range: Range) -> DataFrame:
+    """Costs with ``periodo_expensa``, the statement of their building that charges them, as the statements of the range are issued.
+
+    A link made before is kept.  A cost of a month of the range goes to that month; one that arrives after the statement of its
+    month was issued goes to the first statement still open, which is the first of the range; a later one stays open.  Every
+    building has a statement for each period of the range, so the link needs no join, and each cost is charged once.
+    """
+    own = dates.period_of(F.col("fecha"))
+    first = F.lit(period_range.first)
+    now = F.when(own < first, first).when(own <= F.lit(period_range.last), own)
+    kept = F.col("periodo_expensa") if "periodo_expensa" in costs.columns else F.lit(None).cast("date")
+    return costs.withColumn("periodo_expensa", F.coalesce(kept, now))
+
+
+def charged_costs(costs: DataFrame) -> DataFrame:
+    """Linked costs dated by the statement that charges them, which is how the statements count them."""
+    return costs.filter(F.col("periodo_expensa").isNotNull()).withColumn("fecha", F.col("periodo_expensa"))
 
 
 # ---- payments ----

@@ -69,23 +69,31 @@ TABLES = {
     "baulera": _struct(("uf_id", L), ("numero", L), ("pct_bp", L)),
     "gasto_ordinario": _struct(
         ("consorcio_id", L), ("empresa", S), ("nro_factura", S), ("fecha", D), ("importe_cents", L),
-        ("detalle", S), ("tipo_servicio", S),
+        ("detalle", S), ("tipo_servicio", S), ("periodo_expensa", D),
     ),
     "gasto_extraordinario": _struct(
         ("consorcio_id", L), ("empresa", S), ("nro_factura", S), ("fecha", D), ("importe_cents", L),
         ("detalle", S), ("es_pago_total", T.BooleanType()), ("nro_cuota", I), ("total_cuota_cents", L),
+        ("periodo_expensa", D),
     ),
     "detalle_expensa": _struct(
         ("consorcio_id", L), ("uf_id", L), ("periodo", D), ("ord_cents", L), ("ext_cents", L),
         ("deuda_cents", L), ("interes_cents", L), ("total_cents", L), ("pagado_cents", L), ("primera_fecha", D),
         ("pagado_anterior_cents", L), ("vencimiento_1", D), ("vencimiento_2", D), ("mora_cents", L),
     ),
-    "rechazo": _struct(("origen", S), ("detalle", S)),
+    "rechazo": _struct(("origen", S), ("motivo", S), ("detalle", S)),
     "pago_aplicado": _struct(
         ("id_pago", L), ("uf_id", L), ("consorcio_id", L), ("periodo", D), ("fecha", D), ("importe_cents", L)
     ),
 }
 
+# Facts and the date by whose month they are partitioned.  Costs go by the statement that charges them, which is
+# where a run looks for them; costs not charged yet have none.
+PARTITION_BY = {
+    "pago": "fecha", "pago_aplicado": "periodo", "expensa": "periodo", "detalle_expensa": "periodo",
+    "gasto_ordinario": "periodo_expensa", "gasto_extraordinario": "periodo_expensa",
+}
+
 # Seed rows every installation starts with.
 ROLE_SEEDS = (
     ("Inquilino", "Persona que alquila una unidad funcional dentro del consorcio."),

@@ -1,10 +1,8 @@
-"""Session settings and the shared staging folder."""
+"""Session settings."""
 
 from __future__ import annotations
 
-import uuid
-
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import SparkSession
 
 # Runtime settings the jobs rely on.  Skewed joins are split by AQE even when the
 # split costs one more shuffle: a hot key in one task is always the worse plan.
@@ -40,23 +38,3 @@ def configure(spark: SparkSession) -> SparkSession:
     for key, value in SETTINGS.items():
         spark.conf.set(key, value)
     return spark
-
-
-def shared_dir(spark: SparkSession) -> str:
-    """Folder every executor can reach: ``spark.checkpoint.dir``, or the warehouse where that is unset."""
-    configured = spark.conf.get("spark.checkpoint.dir", None)
-    configured = configured or spark.sparkContext.getCheckpointDir()
-    if configured:
-        return configured.rstrip("/")
-    return spark.conf.get("spark.sql.warehouse.dir").rstrip("/")
-
-
-def stage(df: DataFrame) -> DataFrame:
-    """Write a frame once to the shared folder and read it back.
-
-    Cuts lineage with committed files, so a lost executor cannot make values
-    that depend on the physical layout (row positions) come out differently.
-    """
-    path = f"{shared_dir(df.sparkSession)}/condoflow-stage-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -9,13 +9,19 @@ from pyspark.sql import functions as F
 from condoflow import schemas
 from condoflow.plans import statements as st
 from condoflow.plans.monthly_run import MonthlyFiles, run_month
-from condoflow.sources.versions import read_table
+from condoflow.plans import ingest
+from condoflow.sources.versions import OPEN, Snapshot, read_table
 
 ACCOUNTS = [f"{i:022d}" for i in range(1, 5)]
+COSTS = {"BANCARIOS": "1,000.00", "GASTOS GENERALES": "500,00"}
 
 
-def drop(folder, month, payments):
-    """Files of one month: two buildings, four units, one document per building."""
+def document(building, month, **amounts):
+    return {"_id": {"$oid": f"{building}{month}"}, "Nombre del consorcio": building, "Mes": month} | amounts
+
+
+def drop(folder, month, payments, documents=None):
+    """Files of one month: two buildings, four units, one document per building unless others are given."""
     folder.mkdir()
     texts = {
         "buildings": "Consorcio,Nombre,Domicilio,Cant,m2\nConsorcio 1,Norte,Calle Uno 10,2,100\nConsorcio 2,Sur,Calle Dos 20,2,100\n",
@@ -27,10 +33,7 @@ def drop(folder, month, payments):
         "unit_sizes": "\t".join("abcdefghij") + "\n"
         + "".join(f"{'Norte' if i <= 2 else 'Sur'}\t{i}\tPB\tA\t50,00\t{i}0\tSI\tNO\t3\t0\n" for i in range(1, 5)),
         "suppliers": "﻿;;;Nombre del consorcio\nGASTOS BANCARIOS;BANCO UNO - Comision;;Norte\n",
-        "costs": json.dumps([
-            {"_id": {"$oid": str(i)}, "Nombre del consorcio": n, "Mes": month, "BANCARIOS": "1,000.00", "GASTOS GENERALES": "500,00"}
-            for i, n in enumerate(("Norte", "Sur"))
-        ]),
+        "costs": json.dumps([document(n, month, **COSTS) for n in ("Norte", "Sur")] if documents is None else documents),
         "payments": "id,fecha,cvu,valor\n" + "".join(f"{i},{d},{a},$ {v}\n" for i, d, a, v in payments),
     }
     paths = {}
@@ -60,12 +63,13 @@ def test_two_months_and_a_failure(spark, tmp_path):
     costs = {(c.consorcio_id, c.tipo_servicio): c for c in table(spark, root, "gasto_ordinario").collect()}
     assert costs[1, "BANCARIOS"].empresa == "BANCO UNO" and costs[2, "BANCARIOS"].empresa is None
     assert costs[1, "GASTOS GENERALES"].empresa in schemas.GENERAL_VENDORS
-    refused = {r.origen: r.detalle for r in table(spark, root, "rechazo").collect()}
-    assert list(refused) == ["persons"] and "3,62E+21" in refused["persons"]
+    refused = {(r.origen, r.motivo): r.detalle for r in table(spark, root, "rechazo").collect()}
+    assert list(refused) == [("persons", "cuenta o documento ilegible")] and "3,62E+21" in refused[list(refused)[0]]
     lines = {(r.uf_id, r.periodo.month): r for r in table(spark, root, "detalle_expensa").collect()}
     assert {k: r.total_cents for k, r in lines.items()} == {(u, 5): 75000 for u in range(1, 5)}
-    # accounts go to buildings in order; a balance becomes the closing one: 2000 + 100 - 1500
+    # accounts go to buildings in order; a balance becomes the closing one, also in the bank account: 2000 + 100 - 1500
     assert {r.id: r.saldo_cents for r in table(spark, root, "consorcio").collect()} == {1: 200000 + 10000 - 150000, 2: 100000 - 150000}
+    assert {r.cvu[0]: r.saldo_cents for r in table(spark, root, "cuenta_bancaria").collect()} == {"8": 60000, "9": -50000}
 
     second = drop(tmp_path / "june", "junio", [
         (1, "05/05/2025", ACCOUNTS[0], "100.00"), (2, "12/06/2025", ACCOUNTS[0], "750.00"), (3, "20/06/2025", ACCOUNTS[1], "250.00"),
@@ -91,3 +95,105 @@ def test_two_months_and_a_failure(spark, tmp_path):
         run_month(spark, root, broken, st.Range(dt.date(2025, 7, 1), dt.date(2025, 7, 1)), 2025)
     assert table(spark, root, "expensa").count() == 4
     assert table(spark, root, "detalle_expensa").agg(F.sum("pagado_cents")).first()[0] == 100000
+
+
+def month(m):
+    return st.Range(dt.date(2025, m, 1), dt.date(2025, m, 1))
+
+
+PAYMENTS = {  # by the month of the drop that brings them; the one of the 20th of June comes a month late
+    5: [(1, "05/05/2025", ACCOUNTS[0], "100.00")],
+    6: [(2, "12/06/2025", ACCOUNTS[0], "750.00"), (3, "20/06/2025", ACCOUNTS[1], "250.00")],
+    7: [(4, "09/07/2025", ACCOUNTS[2], "1000.00"), (5, "16/07/2025", ACCOUNTS[3], "10.00")],
+    8: [(6, "02/08/2025", ACCOUNTS[0], "3.00")],
+}
+NAMES = {5: "mayo", 6: "junio", 7: "julio", 8: "agosto"}
+
+
+def test_a_month_writes_only_what_it_touches(spark, tmp_path):
+    """Three months one by one; each writes its own partitions and those its payments settle."""
+    root = str(tmp_path / "root")
+    wrote, before = {}, Snapshot.open(spark, root)
+    for m in (5, 6, 7):
+        run_month(spark, root, drop(tmp_path / str(m), NAMES[m], PAYMENTS[m]), month(m), 2025)
+        after = Snapshot.open(spark, root)
+        for t in schemas.PARTITION_BY:
+            old = {f.path for f in before.folders.get(t, ())}
+            wrote[m, t] = {f.partition[-2:] for f in after.folders.get(t, ()) if f.path not in old}
+            # what a run leaves alone is listed as it was, and its own folders hold nothing else
+            held = {p.parent.name + "/" + p.name for p in (tmp_path / "root" / after.version).glob(f"{t}-*/particion=*")}
+            assert held == {"/".join(f.path.rsplit("/", 2)[1:]) for f in after.folders.get(t, ()) if f.path.startswith(after.version)}
+        before = after
+    assert {m: wrote[m, "pago"] for m in (5, 6, 7)} == {5: {"05"}, 6: {"06"}, 7: {"07"}}
+    assert {m: wrote[m, "gasto_ordinario"] for m in (5, 6, 7)} == {5: {"05"}, 6: {"06"}, 7: {"07"}}
+    assert {m: wrote[m, "expensa"] for m in (5, 6, 7)} == {5: {"05"}, 6: {"06"}, 7: {"07"}}
+    # payments of June settle lines of May, so June changes these and adds its own; likewise July with June
+    assert {m: wrote[m, "detalle_expensa"] for m in (5, 6, 7)} == {5: {"05"}, 6: {"05", "06"}, 7: {"06", "07"}}
+    assert {m: wrote[m, "pago_aplicado"] for m in (5, 6, 7)} == {5: set(), 6: {"05"}, 7: {"06"}}
+    assert not list((tmp_path / "root").glob("version-*/steps"))
+    assert {t: before.rows(t) for t in ("pago", "expensa", "detalle_expensa")} == {
+        t: before.read(t).count() for t in ("pago", "expensa", "detalle_expensa")} == {"pago": 5, "expensa": 6, "detalle_expensa": 12}
+
+
+def test_month_by_month_equals_one_run_over_all(spark, tmp_path, rows):
+    steps, whole = str(tmp_path / "steps"), str(tmp_path / "whole")
+    banks = spark.createDataFrame([("9" * 22, "Titular", 100000), ("8" * 22, "Titular", 200000)], schemas.TABLES["cuenta_bancaria"])
+    for m in (5, 6, 7):
+        run_month(spark, steps, drop(tmp_path / str(m), NAMES[m], PAYMENTS[m]), month(m), 2025, accounts=banks)
+    every = drop(tmp_path / "all", "", [p for m in (5, 6, 7) for p in PAYMENTS[m]],
+                 [document(n, NAMES[m], **COSTS) for m in (5, 6, 7) for n in ("Norte", "Sur")])
+    run_month(spark, whole, every, st.Range(dt.date(2025, 5, 1), dt.date(2025, 7, 1)), 2025, accounts=banks)
+    # a line in the middle of the range knows the payments toward it from the start, one issued last does not
+    later = {"pagado_cents", "primera_fecha", "mora_cents", "pagado_anterior_cents"}
+    for t in ("pago", "pago_aplicado", "expensa", "consorcio", "cuenta_bancaria", "unidad", "persona", "cochera", "baulera"):
+        assert rows(table(spark, steps, t)) == rows(table(spark, whole, t)), t
+    lines = [c for c in schemas.TABLES["detalle_expensa"].names if c not in later]
+    assert rows(table(spark, steps, "detalle_expensa").select(lines)) == rows(table(spark, whole, "detalle_expensa").select(lines))
+    assert rows(table(spark, steps, "detalle_expensa")) == rows(table(spark, whole, "detalle_expensa"))
+    costs = ["consorcio_id", "fecha", "tipo_servicio", "importe_cents", "periodo_expensa"]
+    assert rows(table(spark, steps, "gasto_ordinario").select(costs)) == rows(table(spark, whole, "gasto_ordinario").select(costs))
+
+
+def test_every_cost_is_charged_exactly_once(spark, tmp_path):
+    """Costs of a month may come before their month or after its statement; each document is a cost or has its reason."""
+    root = str(tmp_path / "root")
+    documents = {
+        5: [document("Norte", "mayo", BANCARIOS="10,00"), document("Norte", "julio", SEGUROS="70,00"), document("Oeste", "mayo", SEGUROS="1,00")],
+        6: [document("Norte", "junio", BANCARIOS="20,00"), document("Sur", "mayo", BANCARIOS="5,00"), document("Norte", "mayo", BANCARIOS="99,00"),
+            document("Sur", "abril", LIMPIEZA="3,00"), document("Sur", "nunca", LIMPIEZA="3,00")],
+        7: [document("Norte", "junio", BANCARIOS="20,00"), document("Sur", "agosto", BANCARIOS="8,00"), document("Sur", "julio", LIMPIEZA="x", SEGUROS="2,00")],
+        8: [document("Norte", "agosto", BANCARIOS="1,00")],
+    }
+    extra = [(1, "Obra", "0000000001", dt.date(2025, 4, 9), 400, "x", True, 1, 400)]
+    fields = [f for f in schemas.TABLES["gasto_extraordinario"] if f.name != "periodo_expensa"]
+    open_costs = {}
+    for m in (5, 6, 7, 8):
+        more = spark.createDataFrame(extra, type(schemas.TABLES["rechazo"])(fields)) if m == 6 else None
+        run_month(spark, root, drop(tmp_path / str(m), "", PAYMENTS[m], documents[m]), month(m), 2025, extraordinary=more)
+        open_costs[m] = Snapshot.open(spark, root).read("gasto_ordinario", {OPEN}).count()
+    assert open_costs == {5: 1, 6: 1, 7: 1, 8: 0}
+    charged = {(r.consorcio_id, r.fecha.month, r.tipo_servicio): (r.importe_cents, r.periodo_expensa.month) for r in table(spark, root, "gasto_ordinario").collect()}
+    assert charged == {
+        (1, 5, "BANCARIOS"): (1000, 5), (1, 7, "SEGUROS"): (7000, 7), (1, 6, "BANCARIOS"): (2000, 6), (2, 5, "BANCARIOS"): (500, 6),
+        (2, 4, "LIMPIEZA"): (300, 6), (2, 8, "BANCARIOS"): (800, 8), (2, 7, "SEGUROS"): (200, 7), (1, 8, "BANCARIOS"): (100, 8),
+    }
+    assert [r.periodo_expensa for r in table(spark, root, "gasto_extraordinario").collect()] == [dt.date(2025, 6, 1)]
+    spent = {(r.consorcio_id, r.periodo.month): r.egresos_cents for r in table(spark, root, "expensa").collect() if r.egresos_cents}
+    assert spent == {(1, 5): 1000, (1, 6): 2000 + 400, (2, 6): 800, (1, 7): 7000, (2, 7): 200, (1, 8): 100, (2, 8): 800}
+    lines = table(spark, root, "detalle_expensa").agg(F.sum(F.col("ord_cents") + F.col("ext_cents"))).first()[0]
+    assert lines == sum(c for c, _ in charged.values()) + 400  # halves of each amount, so nothing is lost by rounding
+    reasons = sorted(r.motivo for r in table(spark, root, "rechazo").filter("origen = 'costs'").collect())
+    assert reasons == sorted([ingest.REFUSED_BUILDING, ingest.REFUSED_REPEATED, ingest.REFUSED_MONTH, ingest.REFUSED_REPEATED, ingest.REFUSED_AMOUNT])
+
+
+def test_late_payments_find_their_line(spark, tmp_path):
+    """A payment of June that arrives in July settles the line of May and changes only the periods this touches."""
+    root = str(tmp_path / "root")
+    for m, payments in ((5, []), (6, []), (7, [(1, "20/06/2025", ACCOUNTS[1], "250.00")])):
+        run_month(spark, root, drop(tmp_path / str(m), NAMES[m], payments or [(90 + m, "01/01/2020", ACCOUNTS[0], "1.00")]), month(m), 2025)
+    now = Snapshot.open(spark, root)
+    lines = {(r.uf_id, r.periodo.month): r for r in now.read("detalle_expensa").collect()}
+    assert lines[2, 5].pagado_cents == 25000 and lines[2, 5].primera_fecha == dt.date(2025, 6, 20) and lines[2, 5].mora_cents == 3750
+    assert lines[2, 6].pagado_anterior_cents == 25000
+    assert {f.partition[-2:] for f in now.folders["detalle_expensa"] if f.path.startswith(now.version)} == {"05", "06", "07"}
+    assert {f.partition for f in now.folders["pago_aplicado"]} == {"2025-05"}

@@ -1,5 +1,6 @@
 """File reads with the dirt real drops have; all values are invented."""
 
+import datetime as dt
 import json
 
 import pytest
@@ -73,9 +74,64 @@ COSTS = [
 def test_cost_documents(spark, tmp_path, rows, as_array):
     text = json.dumps(COSTS, indent=1) if as_array else "\n".join(json.dumps(c) for c in COSTS)
     docs = files.read_costs(spark, put(tmp_path, "s.json", text), as_array)
-    assert rows(ingest.cost_rows(docs).select("consorcio", "mes", "tipo_servicio", "importe_cents")) == [
-        ("Norte", 5, "BANCARIOS", 123450), ("Norte", 5, "LIMPIEZA", 1200000), ("Norte", 5, "SEGUROS", 340025),
+    buildings = spark.createDataFrame([(1, "norte "), (2, "SUR")], "id long, nombre string")
+    entries = ingest.cost_entries(docs, buildings, 2025)
+    may = dt.date(2025, 5, 1)
+    assert rows(entries.filter("motivo is null").select("consorcio_id", "fecha", "tipo_servicio", "importe_cents")) == [
+        (1, may, "BANCARIOS", 123450), (1, may, "LIMPIEZA", 1200000), (1, may, "SEGUROS", 340025),
     ]
+    refused = {r.motivo: r.detalle for r in entries.filter("motivo is not null").collect()}
+    assert set(refused) == {ingest.REFUSED_NOT_POSITIVE, ingest.REFUSED_MONTH, ingest.REFUSED_NO_BUILDING}
+    assert json.loads(refused[ingest.REFUSED_MONTH]) == {"_id": {"$oid": "2"}, "Nombre del consorcio": "Sur", "Mes": "??", "BANCARIOS": "1,00"}
+
+
+def test_every_document_is_a_cost_or_has_a_reason(spark, rows):
+    texts = [("Norte", "mayo", "1,00"), ("Oeste", "mayo", "1,00"), (" ", "mayo", "1,00"), ("Norte", "mayonesa", "1,00"), ("Norte", "junio", "uno"),
+             ("Norte", "julio", "-1,00"), ("Norte", "agosto", " "), ("Norte", None, None), (None, None, None)]
+    docs = spark.createDataFrame([((str(i),), *t[:2], t[2]) for i, t in enumerate(texts)],
+                                 "_id struct<`$oid`: string>, `Nombre del consorcio` string, Mes string, BANCARIOS string")
+    broken = docs.withColumn(files.CORRUPT, F.when(F.col("_id.$oid") == "0", F.lit("{ no json")))
+    buildings = spark.createDataFrame([(1, "Norte")], "id long, nombre string")
+    reasons = [None, ingest.REFUSED_BUILDING, ingest.REFUSED_NO_BUILDING, ingest.REFUSED_MONTH, ingest.REFUSED_AMOUNT, ingest.REFUSED_NOT_POSITIVE,
+               ingest.REFUSED_EMPTY, ingest.REFUSED_MONTH, ingest.REFUSED_NO_BUILDING]
+    assert sorted(r.motivo or "" for r in ingest.cost_entries(docs, buildings, 2025).collect()) == sorted(r or "" for r in reasons)
+    unreadable = ingest.cost_entries(broken, buildings, 2025).filter(F.col("motivo") == ingest.REFUSED_UNREADABLE)
+    assert [r.detalle for r in unreadable.collect()] == ["{ no json"]
+
+
+@pytest.mark.parametrize("layout", [{"indent": 1}, {"separators": (",", ":")}, {"indent": 4, "separators": (" , ", " : ")}])
+def test_one_array_is_read_by_many_tasks(spark, tmp_path, rows, layout):
+    docs = [{"_id": {"$oid": str(i)}, "Nombre del consorcio": f'N "_{i}" }}, {{ [x] \\', "Mes": "mayo", "BANCARIOS": str(i)} for i in range(2000)]
+    docs[7] = {"_id": {"$oid": "7"}}
+    docs.insert(9, {"Nombre del consorcio": "sin clave", "Mes": "junio"})
+    docs.insert(0, {"Nombre del consorcio": "primero"})
+    path = put(tmp_path, "a.json", json.dumps(docs, ensure_ascii=False, **layout) + "\n")
+    whole = files.read_costs(spark, path)
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "20k")
+    spark.conf.set("spark.sql.files.openCostInBytes", "1k")
+    try:
+        cut = files.read_costs(spark, path, record_key=files.RECORD_KEY)
+        assert cut.rdd.getNumPartitions() > 4
+        assert rows(cut) == rows(whole) and cut.count() == len(docs)
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+        spark.conf.unset("spark.sql.files.openCostInBytes")
+
+
+def test_unbalanced_pieces_of_an_array_are_kept_as_such(spark, tmp_path):
+    path = put(tmp_path, "a.json", '[{"_id": {"$oid": "1"}, "Mes": "mayo"}, {"Mes": "junio", "_id": {"$oid": "2"}}, {"_id": {"$oid": "3"}, "Mes": "julio"}]')
+    got = files.read_costs(spark, path, record_key=files.RECORD_KEY).collect()
+    # the second document does not begin with its key: its text stays with the first one, which is refused whole
+    assert [(r._id["$oid"], r.Mes) for r in got if r[files.CORRUPT] is None] == [("2", None), ("3", "julio")]
+    assert ["mayo" in r[files.CORRUPT] and "junio" in r[files.CORRUPT] for r in got if r[files.CORRUPT] is not None] == [True]
+    assert files.read_array(spark, put(tmp_path, "b.json", "[ ]"), schemas.COST_DOCUMENT, "_id").isEmpty()
+
+
+def test_lines_with_the_control_character_are_refused(spark, tmp_path, rows):
+    path = put(tmp_path, "pagos.csv", "id,fecha,cvu,valor\n1,05/04/2025,7,$ 10.00\n2,05/04/2025,7,$ 1\u0001lost\n")
+    loaded = files.read_payments(spark, path)
+    assert [r.id_pago for r in loaded.good.collect()] == [1]
+    assert rows(loaded.rejected) == [("2,05/04/2025,7,$ 1\u0001lost",)]
 
 
 def test_lines_in_a_column_parse_like_files(spark, rows):
@@ -103,9 +159,64 @@ def test_a_version_counts_only_after_its_commit(spark, tmp_path, rows):
     first.commit()
     assert versions.read_table(spark, root, "tipo_rol").count() == 1
     abandoned = versions.NewVersion(spark, root)
-    abandoned.write("tipo_rol", seed.unionByName(seed))
+    abandoned.write("tipo_rol", seed)
     assert versions.read_table(spark, root, "tipo_rol").count() == 1
     second = versions.NewVersion(spark, root)
-    second.write("tipo_rol", seed.unionByName(seed))
+    second.write("tipo_rol", seed)
     second.commit()
     assert versions.read_table(spark, root, "tipo_rol").count() == 2
+    with pytest.raises(RuntimeError):  # it began before the second one was published
+        abandoned.commit()
+    assert versions.read_table(spark, root, "tipo_rol").count() == 2
+    third = versions.NewVersion(spark, root)
+    third.replace("tipo_rol", seed)
+    third.commit()
+    assert versions.read_table(spark, root, "tipo_rol").count() == 1
+
+
+def payments_of(spark, *months):
+    return spark.createDataFrame([(100 * m + i, 1, "7", dt.date(2025, m, 1 + i), 5) for m in months for i in range(3)], schemas.TABLES["pago"])
+
+
+def test_facts_are_written_by_month(spark, tmp_path):
+    root = str(tmp_path / "root")
+    first = versions.NewVersion(spark, root)
+    first.write("pago", payments_of(spark, 1, 2).unionByName(spark.createDataFrame([(9, 1, "7", None, 5)], schemas.TABLES["pago"])))
+    first.commit()
+    held = versions.Snapshot.open(spark, root)
+    assert held.partitions("pago") == {"2025-01", "2025-02", versions.OPEN} and held.rows("pago") == 7
+    second = versions.NewVersion(spark, root)
+    added = second.write("pago", payments_of(spark, 2, 3))
+    assert added.count() == 6 and {f.partition for f in second.written["pago"]} == {"2025-02", "2025-03"}
+    second.write("pago", payments_of(spark, 1).limit(1), replacing={"2025-01"})
+    second.commit()
+    now = versions.Snapshot.open(spark, root)
+    assert {p: now.read("pago", {p}).count() for p in now.partitions("pago")} == {"2025-01": 1, "2025-02": 6, "2025-03": 3, versions.OPEN: 1}
+    # folders of the first run are listed as they are, except the one replaced
+    kept = {f.path for f in held.folders["pago"]} & {f.path for f in now.folders["pago"]}
+    assert {p.rsplit("=")[-1] for p in kept} == {"2025-02", versions.OPEN}
+    assert all("2025-03" in f for f in now.read("pago", {"2025-03"}).inputFiles())
+    assert held.read("pago").count() == 7  # a reader of the first run is not disturbed
+
+
+def test_compaction_keeps_the_rows(spark, tmp_path, rows):
+    root = str(tmp_path / "root")
+    for _ in range(3):
+        version = versions.NewVersion(spark, root)
+        version.write("pago", payments_of(spark, 1))
+        version.write("rechazo", spark.createDataFrame([("a", "b", "c")], schemas.TABLES["rechazo"]))
+        version.commit()
+    before = rows(versions.read_table(spark, root, "pago"))
+    assert versions.compact(spark, root, many=4) == []
+    assert versions.compact(spark, root, many=3) == [("pago", "2025-01"), ("rechazo", versions.WHOLE)]
+    assert rows(versions.read_table(spark, root, "pago")) == before and len(versions.Snapshot.open(spark, root).folders["pago"]) == 1
+
+
+def test_a_damaged_pointer_is_no_first_run(spark, tmp_path):
+    root = str(tmp_path / "root")
+    version = versions.NewVersion(spark, root)
+    version.write("rechazo", spark.createDataFrame([("a", "b", "c")], schemas.TABLES["rechazo"]))
+    version.commit()
+    (tmp_path / "root" / "pointers" / "00000002").write_text("version-that-is-not-there")
+    with pytest.raises(Exception):
+        versions.NewVersion(spark, root)

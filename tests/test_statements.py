@@ -161,12 +161,18 @@ def test_received_matches_the_lines(world):
     assert received == {k: v[5] for k, v in expected_lines(world["raw"]).items() if v[5]}
 
 
-def test_costs_without_statement_stay_pending(world):
-    linked = st.assign_costs(world["costs"], st.statements_of(world["buildings"], RANGE)).collect()
+def test_costs_go_to_their_month_or_the_first_open_one(world):
+    linked = st.link_costs(world["costs"], RANGE).collect()
     assert len(linked) == len(world["raw"][2])
     for r in linked:
-        inside = RANGE.first <= r.fecha.replace(day=1) <= RANGE.last
-        assert r.expensa_id == (r.consorcio_id * 1000000 + r.fecha.year * 100 + r.fecha.month if inside else None)
+        month = r.fecha.replace(day=1)
+        assert r.periodo_expensa == (None if month > RANGE.last else max(month, RANGE.first))
+    # a link once made is kept by later runs
+    later = st.Range(RANGE.after(RANGE.months), RANGE.after(RANGE.months + 2))
+    again = st.link_costs(st.link_costs(world["costs"], RANGE), later).collect()
+    for r in again:
+        month = r.fecha.replace(day=1)
+        assert r.periodo_expensa == (max(month, RANGE.first) if month <= RANGE.last else month if month <= later.last else None)
 
 
 def test_weekly_flow_of_one_statement(world):
