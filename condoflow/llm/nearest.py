@@ -30,6 +30,7 @@ EXPLORE = 80  # candidates of a search while building
 BEAM = 160  # candidates of a search for an answer
 FIRST = 64  # vectors linked by comparing all of them
 BATCH = 256
+SPREAD = 4  # partitions for each shard, so that few share one
 
 
 def unit(v: np.ndarray) -> np.ndarray:
@@ -233,11 +234,15 @@ def build_graph(table: pa.Table) -> pa.Table:
 
 
 def graphs(distinct: DataFrame, shard: int = SHARD) -> DataFrame:
-    """One row for each shard: original vectors in doubles, ids, sizes of layers and neighbours."""
+    """One row for each shard: original vectors in doubles, ids, sizes of layers and neighbours.
+
+    Building takes much time for few bytes, so the shards are dealt to partitions of a stated number, which Spark does not merge.
+    """
     count = distinct.groupBy(F.size("v").alias("d")).agg(F.ceil(F.count("*") / shard).cast("int").alias("shards"))
+    tasks = SPREAD * (count.agg(F.sum("shards")).first()[0] or 1)
     h = F.xxhash64("v")
     dealt = distinct.withColumn("d", F.size("v")).join(count, "d").select("d", F.pmod(h, "shards").cast("int").alias("shard"), h.alias("h"), "v", "ids")
-    return dealt.groupBy("d", "shard").applyInArrow(build_graph, GRAPHS)
+    return dealt.repartition(tasks, "d", "shard").groupBy("d", "shard").applyInArrow(build_graph, GRAPHS)
 
 
 def answers(index: pa.Table, queries: pa.Table, k: int, beam: int) -> pa.Table:
