@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import DataFrame, functions as F
 
 from .. import schemas
-from ..functions import text
+from ..functions import dates, text
 from ..plans import annexes, ingest, notifications, statements as st
 from ..sources.files import parse_lines, split_rejects
 from ..sources.text_lines import parse_documents
@@ -39,6 +41,34 @@ def ingest_gastos(star: Star) -> DataFrame:
     )
 
 
+@query("refused_cost_documents", src.DOCUMENT_SQL + """,
+leido AS (
+  SELECT *, CASE WHEN mes = 3 THEN 'consorcio desconocido' WHEN mes = 4 THEN 'sin consorcio' WHEN mes = 6 THEN 'mes desconocido' END AS entero
+  FROM documento CROSS JOIN servicio LEFT JOIN texto_servicio USING (consorcio_id, consorcio, anio, mes, tipo_servicio))
+SELECT DISTINCT entero AS motivo, anio::BIGINT AS anio, consorcio, mes::BIGINT AS mes, NULL::VARCHAR AS tipo_servicio FROM leido WHERE entero IS NOT NULL
+UNION ALL SELECT CASE mes WHEN 1 THEN 'importe ilegible' ELSE 'importe no positivo' END, anio, consorcio, mes, tipo_servicio FROM leido
+  WHERE mes IN (1, 2) AND tipo_servicio = 'SEGUROS' AND importe_texto IS NOT NULL
+UNION ALL SELECT DISTINCT 'sin importes', anio, consorcio, mes, NULL FROM leido WHERE mes = 9
+""")
+def refused_cost_documents(star: Star) -> DataFrame:
+    """Documents with a fault each month, and the reasons they are refused for; what is not refused is a cost of ``ingest_gastos``."""
+    docs, month = parse_documents(src.cost_document_arrays(star)).drop("consorcio_id"), F.trim("Mes")
+    name, insured = F.col("`Nombre del consorcio`"), F.col("SEGUROS")
+    kept = docs.select("*", name.alias("_consorcio"), dates.spanish_month_number(month).alias("_mes"))
+    faulty = kept.withColumns({
+        "Nombre del consorcio": F.when(month == "marzo", F.concat(name, F.lit(" bis"))).when(month == "abril", F.lit(" ")).otherwise(name),
+        "Mes": F.when(month == "junio", F.lit("junip")).otherwise(F.col("Mes")),
+        "SEGUROS": F.when(insured.isNotNull() & (month == "enero"), F.lit("sin dato")).when(insured.isNotNull() & (month == "febrero"), F.lit("-5,00"))
+        .otherwise(insured),
+    })
+    bare = faulty.withColumns({s: F.when(month != "septiembre", F.col(f"`{s}`")) for s in text.SERVICES})
+    refused = ingest.cost_entries(bare, star.building_names(), "anio").filter("motivo is not null")
+    said = lambda key: F.get_json_object("detalle", f"$.{key}")
+    return refused.select(
+        "motivo", said("anio").cast("bigint").alias("anio"), said("_consorcio").alias("consorcio"), said("_mes").cast("bigint").alias("mes"), "tipo_servicio"
+    )
+
+
 @query("ingest_personas", src.PERSON_SQL + """
 SELECT nombre, apellido, dni, email, telefono, cvu, rol_id FROM persona_unica
 WHERE dni NOT IN (SELECT dni FROM persona WHERE c_acctbal < 0 AND apellido <> 'MACHINERY')
@@ -209,18 +239,28 @@ def statement_detail(star: Star) -> DataFrame:
     )
 
 
+ISSUED = st.Range(dt.date(1995, 1, 1), dt.date(1999, 12, 1))
+ISSUING = st.Range(dt.date(2000, 1, 1), dt.date(2000, 12, 1))
+
+
 @query("assign_costs_to_statement", """
-SELECT g.consorcio_id, fecha::VARCHAR AS fecha, importe_cents, 
-       (e.consorcio_id * 1000000 + year(fecha) * 100 + month(fecha))::VARCHAR AS expensa_id
-FROM gasto g LEFT JOIN (SELECT * FROM expensa WHERE periodo < DATE '2000-01-01') e
-  ON e.consorcio_id = g.consorcio_id AND e.periodo = date_trunc('month', fecha)::DATE
+SELECT consorcio_id, fecha::VARCHAR AS fecha, importe_cents, (consorcio_id * 1000000 + year(p) * 100 + month(p))::VARCHAR AS expensa_id
+FROM (SELECT *, CASE WHEN fecha >= DATE '2001-01-01' THEN NULL
+                     WHEN fecha < DATE '2000-01-01' AND l_linenumber = 7 THEN DATE '2000-01-01'
+                     ELSE date_trunc('month', fecha)::DATE END AS p FROM gasto)
 """)
 def assign_costs_to_statement(star: Star) -> DataFrame:
-    """Statements exist until 1999; later costs stay pending."""
-    issued = star.statements().filter(F.col("periodo") < "2000-01-01")
-    costs = star.cost_items().select("consorcio_id", "fecha", "importe_cents")
-    linked = st.assign_costs(costs, issued).select("consorcio_id", "fecha", "importe_cents", "expensa_id")
-    return numbers_as_text(linked, "expensa_id")
+    """Statements until 1999 are issued, those of 2000 are being issued, later costs stay open.
+
+    Lines numbered 7 of the issued months come in only now, after their statement, and go to the first open one.
+    """
+    costs = star.cost_items().select("consorcio_id", "fecha", "importe_cents", "l_linenumber")
+    known = costs.withColumn(
+        "periodo_expensa", F.when((F.col("l_linenumber") != 7) & ISSUED.has(F.col("fecha")), dates.period_of(F.col("fecha")))
+    )
+    linked = st.link_costs(known, ISSUING)
+    statement = dates.statement_key(F.col("consorcio_id"), F.col("periodo_expensa"))
+    return numbers_as_text(linked.select("consorcio_id", "fecha", "importe_cents", statement.alias("expensa_id")), "expensa_id")
 
 
 @query("late_interest", """

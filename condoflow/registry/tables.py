@@ -12,7 +12,7 @@ from ..operators import maintenance as m, numbering, quality, ranking
 from ..plans import annexes, ingest, reports, statements as st
 from . import inputs, lines as src
 from .base import numbers_as_text, query, rounded
-from .star import Star
+from .star import EXTRAORDINARY_FLAG, RANGE, Star
 
 LOADED_UNTIL = dt.date(1998, 1, 1)  # payments before it count as loaded already
 RECENT = dt.date(2001, 1, 1)
@@ -105,23 +105,25 @@ SELECT regla, COUNT(*) AS violaciones FROM (
 GROUP BY regla
 """)
 def dq_violations(star: Star) -> DataFrame:
-    balance = star.read("customer").select(F.col("c_custkey").alias("id"), "c_acctbal")
-    persons = star.persons().join(balance, "id").withColumn(
-        "email", F.when(F.col("c_acctbal") >= 0, F.col("email"))
+    """Customers are holders and units at once; payments are checked themselves and vouch for the units that paid lately."""
+    customers = star.read("customer").select(
+        F.when(F.col("c_acctbal") >= 0, F.col("c_name")).alias("email"), text.zero_pad(F.col("c_custkey"), 22).alias("cvu")
     )
-    invoices = star.cost_items().select(
-        text.invoice_number(F.col("consorcio_id"), F.col("fecha"), F.col("l_orderkey")).alias("nro_factura")
-    )
-    units, payments = star.bare_units(), star.payments()
-    recent = payments.filter(F.col("fecha") >= F.lit(RECENT))
-    return quality.summarize([
-        quality.not_null(persons, "persona: email obligatorio", "email", "id"),
-        quality.unique(persons, "persona: cvu unico", "cvu"),
-        quality.unique(invoices, "gasto: nro_factura unico", "nro_factura"),
-        quality.references(units, "unidad: cvu con pagos", "cvu", recent, "cvu"),
-        quality.references(payments, "pago: cvu con unidad", "cvu", units, "cvu"),
-        quality.check(star.read("supplier"), "proveedor: saldo no negativo", F.col("s_acctbal") >= 0, "s_suppkey"),
-        quality.check(invoices, "gasto: nro_factura valido", quality.valid_invoice(F.col("nro_factura")), "nro_factura"),
+    invoice = text.invoice_number(F.col("consorcio_id"), F.col("fecha"), F.col("l_orderkey"))
+    invoices = star.cost_items().select(F.inline(F.array(F.struct(invoice.alias("nro_factura")))))
+    cvu, number = F.col("cvu"), F.col("nro_factura")
+    paying, known = "unidad: cvu con pagos", "pago: cvu con unidad"
+    return quality.count_violations([
+        (customers, [
+            quality.must_hold("persona: email obligatorio", F.col("email").isNotNull()),
+            quality.must_be_unique("persona: cvu unico", cvu), quality.must_exist(paying, cvu), quality.gives(known, cvu),
+        ]),
+        (star.payments(), [quality.gives(paying, cvu, F.col("fecha") >= F.lit(RECENT)), quality.must_exist(known, cvu)]),
+        (invoices, [
+            quality.must_be_unique("gasto: nro_factura unico", number),
+            quality.must_hold("gasto: nro_factura valido", quality.valid_invoice(number)),
+        ]),
+        (star.read("supplier"), [quality.must_hold("proveedor: saldo no negativo", F.col("s_acctbal") >= 0)]),
     ])
 
 
@@ -142,23 +144,31 @@ UNION ALL SELECT 'Pago', COUNT(*) FROM pago
 UNION ALL SELECT 'PagoAplicado', COUNT(*) FROM aplicado
 """)
 def audit_counts(star: Star) -> DataFrame:
+    """Lines, costs and applied payments are counted by key and multiplied, without making them."""
     units = star.bare_units()
-    return quality.audit_counts({
-        "TipoRol": star.persons().select("rol_id").distinct(),
-        "Persona": star.persons(),
-        "CuentaBancaria": star.read("supplier"),
-        "Consorcio": star.building_names(),
-        "UnidadFuncional": units,
-        "Cochera": units,
-        "Baulera": units,
-        "FormaDePago": star.read("orders").select("o_orderpriority").distinct(),
-        "Expensa": star.statements(),
-        "DetalleExpensa": units.join(star.statements(), "consorcio_id"),
-        "GastoOrdinario": star.ordinary_costs(),
-        "GastoExtraordinario": star.extraordinary_costs(),
-        "Pago": star.payments(),
-        "PagoAplicado": star.applied(),
-    })
+    suppliers, items = star.read("supplier").select(F.col("s_suppkey").alias("l_suppkey")), star.read("lineitem")
+    extraordinary = F.col("l_returnflag") == EXTRAORDINARY_FLAG
+    payers = star.payments().filter(RANGE.has(F.col("fecha"), 1)).select("cvu")  # each settles a month of the range
+    return quality.audit_counts(
+        {
+            "TipoRol": star.persons().select("rol_id").distinct(),
+            "Persona": star.persons(),
+            "CuentaBancaria": star.read("supplier"),
+            "Consorcio": star.building_names(),
+            "UnidadFuncional": units,
+            "Cochera": units,
+            "Baulera": units,
+            "FormaDePago": star.read("orders").select("o_orderpriority").distinct(),
+            "Expensa": star.statements(),
+            "Pago": star.payments(),
+        },
+        {
+            "DetalleExpensa": quality.joined_count([units.select("consorcio_id"), star.statements()], "consorcio_id"),
+            "GastoOrdinario": quality.joined_count([items.filter(~extraordinary), suppliers], "l_suppkey"),
+            "GastoExtraordinario": quality.joined_count([items.filter(extraordinary), suppliers], "l_suppkey"),
+            "PagoAplicado": quality.joined_count([payers, units.select("cvu")], "cvu"),
+        },
+    )
 
 
 @query("drop_all_duplicates", """,

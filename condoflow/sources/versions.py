@@ -88,6 +88,10 @@ class Snapshot:
     def rows(self, table: str) -> int:
         return sum(f.rows for f in self.folders.get(table, ()))
 
+    def audit(self) -> DataFrame:
+        """(tabla, registros) of every declared table, from the manifest."""
+        return self.spark.createDataFrame([(t, self.rows(t)) for t in schemas.TABLES], "tabla string, registros bigint")
+
     def read(self, table: str, partitions: Iterable[str] | None = None) -> DataFrame:
         """A table, or its given partitions only; no other folder is looked at."""
         wanted = None if partitions is None else set(partitions)

@@ -35,6 +35,27 @@ def test_dense_numbers_of_equal_rows_are_distinct(spark):
     assert sorted(r.numero for r in numbering.dense_numbers(df, ["k"]).collect()) == list(range(1, 51))
 
 
+def test_numbering_is_lazy_and_spreads_a_hot_group(spark, tmp_path):
+    """No job and no file before an action; equal in every run, also where one group and one key own most rows."""
+    hot = spark.range(20_000).select(F.when(F.col("id") % 10 < 9, 0).otherwise(F.col("id")).alias("g"), F.lit(1).alias("k"), "id").repartition(7)
+    jobs = lambda: len(spark.sparkContext.statusTracker().getJobIdsForGroup(None))
+    before = jobs()
+    numbered = numbering.continue_ids(numbering.dense_numbers(hot, ["k"], ["g"], name="n"), spark.range(5).toDF("nr"), "nr", ["g", "k"])
+    assert jobs() == before
+    got, again = ({r.id: (r.n, r.nr) for r in df.collect()} for df in (numbered, numbered))
+    assert got == again and sorted(nr for _, nr in got.values()) == list(range(5, 20_005))
+    assert sorted(n for i, (n, _) in got.items() if i % 10 < 9) == list(range(1, 18_001))
+    keyed = hot.withColumn("_key", F.struct("g", "k", F.xxhash64("id")))
+    slices = [r["count"] for r in numbering._with_slice(keyed, 16).groupBy("_slice").count().collect()]
+    assert len(slices) == 16 and max(slices) < 2 * 20_000 / 16
+
+
+def test_dense_numbers_of_nothing_and_by_several_columns(spark):
+    df = spark.createDataFrame([(2, None, "b"), (1, 5.0, "a"), (2, 1.0, "c"), (None, 3.0, "d")], "x int, y double, z string")
+    assert {r.z: r.numero for r in numbering.dense_numbers(df, ["x", "y"]).collect()} == {"d": 1, "a": 2, "b": 3, "c": 4}
+    assert numbering.dense_numbers(df.limit(0), ["x"], ["z"]).collect() == []
+
+
 def test_continue_ids(spark):
     new = spark.createDataFrame([("b", None), ("a", None)], "nombre string, id long")
     old = spark.createDataFrame([(41,)], "id long")
@@ -154,3 +175,30 @@ def test_spread_join_equals_a_plain_join(spark, rows):
     for how in ("inner", "left"):
         got = spread_join(big, per_key, ["k"], ["id"], how).select("id", "k", "v")
         assert rows(got) == rows(big.join(per_key, "k", how).select("id", "k", "v"))
+
+
+def test_rules_counted_in_one_pass(spark, rows):
+    units = spark.createDataFrame([(1, "a"), (2, "a"), (3, None), (4, "x"), (5, "x")] + [(6, "hot")] * 1, "id int, cvu string")
+    payments = spark.createDataFrame([("a", 1), ("a", None), ("z", -1), (None, 2), ("z", -5)], "cvu string, v int")
+    cvu = F.col("cvu")
+    checked = [
+        (units, [quality.must_be_unique("unica", cvu), quality.must_exist("paga", cvu), quality.gives("conocida", cvu),
+                 quality.must_hold("con id", F.col("id").isNotNull())]),
+        (payments, [quality.gives("paga", cvu, F.col("v") > 0), quality.must_exist("conocida", cvu), quality.must_hold("positivo", F.col("v") > 0)]),
+    ]
+    want = quality.summarize([
+        quality.unique(units, "unica", "cvu"), quality.references(units, "paga", "cvu", payments.filter("v > 0"), "cvu"),
+        quality.references(payments, "conocida", "cvu", units, "cvu"), quality.check(payments, "positivo", F.col("v") > 0, "cvu"),
+    ])
+    got = quality.count_violations(checked)
+    assert rows(got) == rows(want) == [("conocida", 1), ("paga", 2), ("positivo", 2), ("unica", 2)]
+    assert quality.count_violations([(df.limit(0), r) for df, r in checked]).isEmpty()
+
+
+def test_counts_of_a_join_without_the_join(spark):
+    left = spark.createDataFrame([(1,)] * 300 + [(2,), (3,), (None,)], "k int")
+    right = spark.createDataFrame([(1,)] * 1000 + [(3,), (3,), (None,)], "k int")
+    assert quality.joined_count([left, right], "k").first()[0] == left.join(right, "k").count() == 300_002
+    assert quality.joined_count([left, right.limit(0)], "k").first()[0] == 0
+    counts = quality.audit_counts({"a": left}, {"b": quality.joined_count([left, right], "k")})
+    assert {r.tabla: r.registros for r in counts.collect()} == {"a": 303, "b": 300_002}
