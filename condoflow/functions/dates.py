@@ -75,8 +75,8 @@ def in_year(date: Column, year: int) -> Column:
     return (date >= F.lit(dt.date(year, 1, 1))) & (date < F.lit(dt.date(year + 1, 1, 1)))
 
 
-def in_range(date: Column, since: dt.date | None, until: dt.date | None) -> Column:
-    """Inclusive date range; an open end defaults to today, an open start to everything."""
-    upper = F.lit(until) if until is not None else F.current_date()
+def in_range(date: Column, since: dt.date | None, until: dt.date | None, as_of: dt.date | None = None) -> Column:
+    """Inclusive date range; an open start is everything, an open end ``as_of``, which is today unless given."""
+    upper = F.lit(until or as_of) if until or as_of else F.current_date()
     condition = date <= upper
     return condition if since is None else condition & (date >= F.lit(since))

@@ -35,11 +35,7 @@ def fill_nulls_from(current: DataFrame, source: DataFrame, keys: list[str], valu
     """
     given = source.groupBy(*keys).agg(*[F.max(v).alias(f"_{v}") for v in values])
     filled = {v: F.coalesce(F.col(v), F.col(f"_{v}")) for v in values}
-    return (
-        current.join(given, keys, "left")
-        .withColumns(filled)
-        .select(*current.columns)
-    )
+    return spread_join(current, given, keys, current.columns, "left").withColumns(filled).select(*current.columns)
 
 
 def absent_rows(rows: DataFrame, existing: DataFrame, on: list[str] | Column) -> DataFrame:

@@ -37,12 +37,12 @@ def share_of_total(units: DataFrame, weight: int = 100) -> DataFrame:
 
 
 def new_annexes(units: DataFrame, annexes: DataFrame, weight: int) -> DataFrame:
-    """(uf_id, consorcio_id, numero, pct_bp) of one new place per unit that has none.
+    """(uf_id, consorcio_id, numero, pct_bp, share_num, share_den) of one new place per unit that has none.
 
     ``annexes`` are the existing places with uf_id and numero.  Shares are taken
     over all units, numbers go on after the building's largest.
     """
-    shares = share_of_total(units, weight).select("uf_id", "consorcio_id", "pct_bp")
+    shares = share_of_total(units, weight).select("uf_id", "consorcio_id", "pct_bp", "share_num", "share_den")
     lacking = shares.join(annexes.select("uf_id"), "uf_id", "left_anti")
     taken = annexes.join(units.select("uf_id", "consorcio_id"), "uf_id").select("consorcio_id", "numero")
     return number_after(lacking, taken, "consorcio_id", "numero", ["uf_id"])

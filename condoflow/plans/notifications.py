@@ -11,24 +11,23 @@ SUBJECT = "Expensa Mensual"
 SENDER_NAME = "Sistema de Expensas"
 
 
-def recipients(lines: DataFrame, units: DataFrame, buildings: DataFrame, persons: DataFrame) -> DataFrame:
-    """Statement lines with holder, unit and building.
-
-    Lines meet their unit first, so the holder is looked up once per unit.
-    """
-    contacts = (
-        units.select("uf_id", "cvu", "departamento")
-        .join(persons.select("cvu", "email", "nombre", "apellido"), "cvu")
-        .drop("cvu")
-    )
+CONTACT = ("email", "nombre", "apellido", "departamento", "consorcio")
+
+
+def with_contacts(units: DataFrame, buildings: DataFrame, persons: DataFrame) -> DataFrame:
+    """Units with holder and building, as ``CONTACT`` names them: joined once per unit, for ``statement_detail`` to carry to its lines."""
     names = buildings.select(F.col("id").alias("consorcio_id"), F.col("nombre").alias("consorcio"))
-    return (
-        lines.join(contacts, "uf_id")
-        .join(names, "consorcio_id")
-        .select(
-            "uf_id", "periodo", "email", "nombre", "apellido", "departamento", "consorcio",
-            "vencimiento_1", "vencimiento_2", "total_cents", "mora_cents", "pagado_anterior_cents", "pagado_cents",
-        )
+    return units.join(persons.select("cvu", "email", "nombre", "apellido"), "cvu").join(names, "consorcio_id")
+
+
+def recipients(lines: DataFrame, units: DataFrame | None = None, buildings: DataFrame | None = None, persons: DataFrame | None = None) -> DataFrame:
+    """Statement lines with holder, unit and building: lines that carry them, or lines to be joined with them by unit."""
+    if units is not None:
+        contacts = with_contacts(units.select("uf_id", "cvu", "consorcio_id", "departamento"), buildings, persons)
+        lines = lines.join(contacts.select("uf_id", *CONTACT), "uf_id")
+    return lines.select(
+        "uf_id", "periodo", *CONTACT,
+        "vencimiento_1", "vencimiento_2", "total_cents", "mora_cents", "pagado_anterior_cents", "pagado_cents",
     )
 
 

@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, Window, functions as F
 from ..functions import dates, money
 from ..operators.gaps import payment_gaps
 from ..operators.ranking import largest
+from . import statements as st
 
 # Month columns of the cross table.
 MONTH_COLUMNS = ("Ene", "Feb", "Mar", "Abr", "May", "Jun", "Jul", "Ago", "Sep", "Oct", "Nov", "Dic")
@@ -162,35 +163,44 @@ def income_by_source(
     building_id: int | None = None,
     since: dt.date | None = None,
     until: dt.date | None = None,
+    as_of: dt.date | None = None,
 ) -> DataFrame:
-    """Report 3: payments split by the weight of ordinary, extraordinary and interest parts of their line.
+    """Report 3: payments split by the weight of ordinary, extraordinary and interest parts of their line, by month of payment.
 
-    Every payment is split in millionths, so the sums do not depend on their order.
+    Payments are summed per line before they meet it.  ``paid_by_source`` does without the join where whole lines are asked for.
     """
-    applied = applied.filter(dates.in_range(F.col("fecha"), since, until))
+    applied = applied.filter(dates.in_range(F.col("fecha"), since, until, as_of))
     if building_id is not None:
         applied = applied.filter(F.col("consorcio_id") == building_id)
         lines = lines.filter(F.col("consorcio_id") == building_id)
-    weights = lines.select(
-        "uf_id", "periodo",
-        *[F.coalesce(c, F.lit(0)).alias(c) for c in ("ord_cents", "ext_cents", "mora_cents")],
-    )
-    paid, all_weights = F.col("importe_cents"), F.col("ord_cents") + F.col("ext_cents") + F.col("mora_cents")
-    parts = applied.select("uf_id", "periodo", "fecha", "importe_cents").join(weights, ["uf_id", "periodo"]).select(
-        dates.period_of(F.col("fecha")).alias("_mes"),
-        *[
-            money.weighted_part(paid, F.col(c), all_weights).alias(name)
-            for c, name in (("ord_cents", "_ord"), ("ext_cents", "_ext"), ("mora_cents", "_mora"))
-        ],
-    )
-    sums = {"Ordinario": F.col("_ord"), "Extraordinario": F.col("_ext"), "Mora": F.col("_mora")}
-    sums["Total"] = F.col("_ord") + F.col("_ext") + F.col("_mora")
+    paid = applied.groupBy("uf_id", "periodo", dates.period_of(F.col("fecha")).alias("_mes")).agg(F.sum("importe_cents").alias("_paid"))
+    return _by_source(paid.join(lines.select("uf_id", "periodo", "ord_cents", "ext_cents", "mora_cents"), ["uf_id", "periodo"]))
+
+
+def paid_by_source(lines: DataFrame, building_id: int | None = None) -> DataFrame:
+    """Report 3 over all payments, from what the lines have received: all of it in the month after their period."""
+    if building_id is not None:
+        lines = lines.filter(F.col("consorcio_id") == building_id)
+    month = dates.shift_period(F.col("periodo"), 1)
+    return _by_source(lines.filter("primera_fecha is not null").withColumns({"_paid": F.col("pagado_cents"), "_mes": month}))
+
+
+def _by_source(paid: DataFrame) -> DataFrame:
+    """What was paid toward each line (``_paid`` in ``_mes``), split in millionths, so that sums do not depend on their order.
+
+    The sums are DECIMAL: millionths of many amounts leave the range of BIGINT.
+    """
+    weights = {c: F.coalesce(c, F.lit(0)) for c in ("ord_cents", "ext_cents", "mora_cents")}
+    whole = weights["ord_cents"] + weights["ext_cents"] + weights["mora_cents"]
+    names = dict(zip(("Ordinario", "Extraordinario", "Mora"), weights.values()))
+    parts = paid.select("_mes", *[money.weighted_part(F.col("_paid"), w, whole).cast("decimal(20,0)").alias(n) for n, w in names.items()])
+    sums = {n: F.sum(n) for n in names} | {"Total": F.sum(F.col("Ordinario") + F.col("Extraordinario") + F.col("Mora"))}
     return (
         parts.groupBy("_mes")
-        .agg(*[F.sum(part).alias(name) for name, part in sums.items()])
+        .agg(*[total.alias(name) for name, total in sums.items()])
         .select(
             F.date_format("_mes", "yyyy-MM").alias("Periodo"),
-            *[(F.col(n).cast("decimal(20,0)") / 1000000).cast("decimal(24,6)").alias(n) for n in sums],
+            *[(F.col(n).cast("decimal(31,0)") * F.lit("0.000001").cast("decimal(7,6)")).cast("decimal(37,6)").alias(n) for n in sums],
         )
     )
 
@@ -257,16 +267,36 @@ def debtors(
     building_id: int | None = None,
     since: dt.date | None = None,
     until: dt.date | None = None,
+    as_of: dt.date | None = None,
 ) -> DataFrame:
     """Persons with what their units owe on lines due in the range, if more than a cent."""
-    lines = lines.filter(dates.in_range(F.col("vencimiento_1"), since, until))
+    lines = lines.filter(dates.in_range(F.col("vencimiento_1"), since, until, as_of))
     if building_id is not None:
         lines = lines.filter(F.col("consorcio_id") == building_id)
     owed = F.greatest(F.col("total_cents") - F.coalesce("pagado_cents", F.lit(0)), F.lit(0))
     per_unit = lines.groupBy("uf_id").agg(F.sum(owed).alias("morosidad_cents"))
+    return _owing_persons(per_unit.join(units.select("uf_id", "cvu"), "uf_id"), persons)
+
+
+def ledger_debtors(
+    ledgers: DataFrame,
+    period_range: st.Range,
+    persons: DataFrame,
+    building_id: int | None = None,
+    since: dt.date | None = None,
+    until: dt.date | None = None,
+    as_of: dt.date | None = None,
+) -> DataFrame:
+    """``debtors`` of the lines of these ledgers, summed per unit without making the lines."""
+    if building_id is not None:
+        ledgers = ledgers.filter(F.col("consorcio_id") == building_id)
+    return _owing_persons(st.unpaid_sum(ledgers, period_range, since, until or as_of or dt.date.today()), persons)
+
+
+def _owing_persons(per_unit: DataFrame, persons: DataFrame) -> DataFrame:
     identity = ["dni", "nombre", "apellido", "email", "telefono"]
     return (
-        per_unit.join(units.select("uf_id", "cvu"), "uf_id")
+        per_unit.filter("morosidad_cents > 0")
         .join(persons.select("cvu", *identity), "cvu")
         .groupBy(*identity)
         .agg(F.sum("morosidad_cents").alias("morosidad_cents"))
@@ -288,12 +318,13 @@ def ordinary_payment_gaps(
     unit_id: int | None = None,
     since: dt.date | None = None,
     until: dt.date | None = None,
+    as_of: dt.date | None = None,
 ) -> DataFrame:
     """Report 6: payments toward lines with an ordinary part and the days since the unit's previous one.
 
     ``paid_lines`` are applied payments with ``ord_cents`` of their line.
     """
-    wanted = paid_lines.filter(dates.in_range(F.col("fecha"), since, until)).filter("ord_cents > 0")
+    wanted = paid_lines.filter(dates.in_range(F.col("fecha"), since, until, as_of)).filter("ord_cents > 0")
     for column, value in (("consorcio_id", building_id), ("uf_id", unit_id)):
         if value is not None:
             wanted = wanted.filter(F.col(column) == value)

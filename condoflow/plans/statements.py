@@ -283,28 +283,25 @@ def with_shares(applied: DataFrame, costs: DataFrame) -> DataFrame:
     )
 
 
-def statement_detail(
+def unit_ledgers(
     units: DataFrame,
     costs: DataFrame,
     payments: DataFrame,
     period_range: Range,
     opening_debt: DataFrame | None = None,
+    carry: tuple[str, ...] = (),
 ) -> DataFrame:
-    """Statement lines of all units and periods of the range.
+    """One row per unit with the months of the range as arrays: what is charged and paid, and the debt carried into each.
 
-    A line's debt is the previous line's total less what was paid toward it.
-    The interest on positive debt makes that a true recurrence, so it is folded
-    over the unit's months: arrays of fixed length, built from monthly sums.
-    ``opening_debt`` (uf_id, deuda_cents) carries on from an earlier run.
-
-    Besides the amounts at issue the lines hold the later refresh:
-    ``pagado_cents`` (0 if none), ``pagado_anterior_cents`` and ``mora_cents``,
-    the interest by date of the first payment.
+    A month's debt is the previous line's total less what was paid toward it.  The interest on positive debt makes that
+    a true recurrence, so it is folded over the unit's months: arrays of fixed length, built from monthly sums.  ``_debts`` has
+    one element more than there are months, what the last line leaves unpaid.  ``opening_debt`` (uf_id, deuda_cents) carries on from
+    an earlier run.  ``carry`` names unit columns to keep, to be joined once per unit instead of once per line.
     """
     zero = F.lit(0).cast("bigint")
     months = F.sequence(F.lit(0), F.lit(period_range.months - 1))
     num, den = share_of_units(units)
-    accounts = units.select("uf_id", "consorcio_id", "cvu", num.alias("_num"), den.alias("_den"))
+    accounts = units.select("uf_id", "consorcio_id", "cvu", num.alias("_num"), den.alias("_den"), *carry)
     if opening_debt is not None:
         opening = opening_debt.select("uf_id", F.col("deuda_cents").alias("_opening"))
         accounts = accounts.join(opening, "uf_id", "left")
@@ -348,15 +345,19 @@ def statement_detail(
     start = F.struct(
         F.array().cast("array<bigint>").alias("debts"), F.coalesce("_opening", zero).alias("debt")
     )
-    debts = F.aggregate("_months", start, step).debts
-    lines = inputs.select(
-        "uf_id", "consorcio_id", "_num", "_den", F.posexplode(F.arrays_zip("_months", debts.alias("_debts"))).alias("_i", "_x")
-    ).select(
-        "uf_id", "consorcio_id", "_num", "_den", "_i", "_x._months.*", F.col("_x._debts").alias("deuda_cents")
-    )
+    debts = F.aggregate("_months", start, step, lambda state: F.concat(state.debts, F.array(state.debt)))
+    return inputs.select("uf_id", "consorcio_id", "cvu", *carry, "_num", "_den", "_months", debts.alias("_debts"))
+
+
+def ledger_lines(ledgers: DataFrame, period_range: Range, carry: tuple[str, ...] = ()) -> DataFrame:
+    """Statement lines of the ledgers of a range."""
+    kept, zero = ("uf_id", "consorcio_id", *carry, "_num", "_den"), F.lit(0).cast("bigint")
+    lines = ledgers.select(
+        *kept, F.posexplode(F.arrays_zip("_months", F.slice("_debts", 1, period_range.months).alias("_debts"))).alias("_i", "_x")
+    ).select(*kept, "_i", "_x._months.*", F.col("_x._debts").alias("deuda_cents"))
     debt, num, den = F.col("deuda_cents"), F.col("_num"), F.col("_den")
     issued = lines.select(
-        "uf_id", "consorcio_id",
+        "uf_id", "consorcio_id", *carry,
         F.add_months(F.lit(period_range.first), F.col("_i")).alias("periodo"),
         money.fraction_of(F.col("ord"), num, den).alias("ord_cents"),
         money.fraction_of(F.col("ext"), num, den).alias("ext_cents"),
@@ -374,6 +375,49 @@ def statement_detail(
     return late_interest(dated)
 
 
+def statement_detail(
+    units: DataFrame,
+    costs: DataFrame,
+    payments: DataFrame,
+    period_range: Range,
+    opening_debt: DataFrame | None = None,
+    carry: tuple[str, ...] = (),
+) -> DataFrame:
+    """Statement lines of all units and periods of the range, see ``unit_ledgers``.
+
+    Besides the amounts at issue the lines hold the later refresh:
+    ``pagado_cents`` (0 if none), ``pagado_anterior_cents`` and ``mora_cents``,
+    the interest by date of the first payment.
+    """
+    ledgers = unit_ledgers(units, costs, payments, period_range, opening_debt, carry)
+    return ledger_lines(ledgers, period_range, carry)
+
+
+def unpaid_sum(ledgers: DataFrame, period_range: Range, since: dt.date | None = None, until: dt.date | None = None) -> DataFrame:
+    """(uf_id, consorcio_id, cvu, morosidad_cents): what the lines first due in the range of dates leave unpaid, credits not set off.
+
+    What a line leaves unpaid is the debt carried into the month after, so the sum is taken inside the array.  It comes out of
+    a generator, so that filters on it stay above: pushed below, each would fold the months again.
+    """
+    due = [period_range.after(i).replace(day=dates.FIRST_DUE_DAY) for i in range(period_range.months)]
+    wanted = [i for i, d in enumerate(due) if (since is None or d >= since) and (until is None or d <= until)]
+    zero = F.lit(0).cast("bigint")
+    owed = zero
+    if wanted:
+        left = F.slice("_debts", wanted[0] + 2, len(wanted))
+        owed = F.aggregate(left, zero, lambda total, debt: total + F.greatest(debt, zero))
+    return ledgers.select(F.inline(F.array(F.struct("uf_id", "consorcio_id", "cvu", owed.alias("morosidad_cents")))))
+
+
+def ledger_debts(ledgers: DataFrame, period_range: Range) -> DataFrame:
+    """(uf_id, periodo, saldo_deudor_cents) as ``previous_debt`` of the ledgers' lines: the first one has none before it."""
+    debts = F.slice("_debts", 1, period_range.months)
+    return ledgers.select("uf_id", F.posexplode(debts).alias("_i", "_debt")).select(
+        "uf_id", F.add_months(F.lit(period_range.first), F.col("_i")).alias("periodo"),
+        F.when(F.col("_i") > 0, F.col("_debt")).otherwise(F.lit(0)).alias("saldo_deudor_cents"),
+    )
+
+
 PER_RATE = 10000 // money.DETAIL_RATE_BP  # interest is one part in so many of the debt
 
 

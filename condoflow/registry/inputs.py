@@ -356,16 +356,23 @@ def hash_choose(star: Star) -> DataFrame:
 PII_COLUMNS = ("dni", "email", "cvu")
 
 
-@query("encrypt_pii")
-def encrypt_pii(star: Star) -> DataFrame:
+def _encrypted(star: Star) -> DataFrame:
     """Persons with dni, e-mail and account encrypted; the bytes differ on every run."""
     return pii.encrypt_columns(star.persons(), PII_COLUMNS, "id", TEST_KEY)
 
 
+@query("encrypt_pii", f"""
+SELECT id, {", ".join(f"strlen({c}) + 28 AS {c}_bytes, 'true' AS {c}_oculto, 'true' AS {c}_vuelve" for c in PII_COLUMNS)} FROM persona
+""")
+def encrypt_pii(star: Star) -> DataFrame:
+    """What does not vary of the encrypted columns: length, that they hide the clear text, and that they decrypt to it."""
+    return pii.encryption_facts(star.persons(), PII_COLUMNS, "id", TEST_KEY)
+
+
 @query("decrypt_pii_view", """
 SELECT id, nombre, apellido, dni, email, cvu FROM persona
 """)
 def decrypt_pii_view(star: Star) -> DataFrame:
-    return pii.decrypt_columns(encrypt_pii(star), PII_COLUMNS, "id", TEST_KEY).select(
+    return pii.decrypt_columns(_encrypted(star), PII_COLUMNS, "id", TEST_KEY).select(
         "id", "nombre", "apellido", *PII_COLUMNS
     )

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+from math import gcd
 
 from pyspark.sql import DataFrame, functions as F
 
@@ -13,7 +14,7 @@ from ..sources.files import parse_lines, split_rejects
 from ..sources.text_lines import parse_documents
 from . import inputs, lines as src, tables
 from .base import numbers_as_text, query, rounded
-from .star import Star
+from .star import RANGE, Star
 
 SENDER = "administracion@example.org"
 
@@ -188,9 +189,9 @@ def _annexes(star: Star, weight: int) -> DataFrame:
 
 
 def _annex_sql(weight: int) -> str:
-    share = rounded(f"m2 * 100 * {100 * weight}", "total_m2")
+    share, common = rounded(f"m2 * 100 * {100 * weight}", "total_m2"), gcd(weight, 100)
     return f"""
-SELECT uf_id, consorcio_id, {share} AS pct_bp,
+SELECT uf_id, consorcio_id, {share} AS pct_bp, m2 * 100 * {weight // common} AS share_num, total_m2 * {100 // common} AS share_den,
        ROW_NUMBER() OVER (PARTITION BY consorcio_id ORDER BY uf_id) + COALESCE(ultimo, 0) AS numero
 FROM unidad_base JOIN superficie USING (consorcio_id)
 LEFT JOIN (SELECT consorcio_id, MAX(m2) AS ultimo FROM unidad_base WHERE m2 >= 80 GROUP BY 1) USING (consorcio_id)
@@ -302,5 +303,6 @@ SELECT uf_id, periodo::VARCHAR AS periodo, email,
 FROM detalle d JOIN unidad_base u USING (uf_id) JOIN persona p USING (cvu) JOIN consorcio c ON c.id = u.consorcio_id
 """)
 def notification_payload(star: Star) -> DataFrame:
-    rows = notifications.recipients(star.lines(), star.bare_units(), star.building_names(), star.persons())
-    return notifications.payloads(rows, SENDER)
+    units = notifications.with_contacts(star.units(), star.building_names(), star.persons())
+    lines = st.statement_detail(units, star.costs(), star.payments(), RANGE, carry=notifications.CONTACT)
+    return notifications.payloads(notifications.recipients(lines), SENDER)

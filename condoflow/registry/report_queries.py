@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame
 from ..plans import reports
 from ..sources import xml
 from .base import numbers_as_text, query, rounded, text_of
-from .star import Star
+from .star import AS_OF, RANGE, Star
 
 WEEKLY_SQL = f""",
 semana AS (
@@ -50,7 +50,7 @@ def r2_dept_month_pivot(star: Star) -> DataFrame:
 
 
 def _part(weight: str) -> str:
-    """SQL of a payment's part in millionths; only the weight of late interest can be negative."""
+    """SQL of the part of what a line received, in millionths; only the weight of late interest can be negative."""
     return (
         f"(CASE WHEN w > 0 THEN sign({weight}) * ((2 * importe_cents::HUGEINT * abs({weight}) * 10000 + w) // (2 * w)) "
         "ELSE 0 END)"
@@ -70,13 +70,14 @@ _SUMS = ", ".join(
 
 @query("r3_income_by_source", f""",
 peso AS (
-  SELECT strftime(fecha, '%Y-%m') AS periodo, importe_cents, ord_cents, ext_cents, mora_cents,
+  SELECT strftime(MIN(fecha), '%Y-%m') AS periodo, SUM(importe_cents) AS importe_cents, ord_cents, ext_cents, mora_cents,
          (ord_cents + ext_cents + mora_cents)::HUGEINT AS w
-  FROM aplicado a JOIN detalle d ON d.uf_id = a.uf_id AND d.periodo = a.periodo)
+  FROM aplicado a JOIN detalle d ON d.uf_id = a.uf_id AND d.periodo = a.periodo
+  GROUP BY a.uf_id, a.periodo, ord_cents, ext_cents, mora_cents)
 SELECT periodo AS "Periodo", {_SUMS} FROM peso GROUP BY periodo
 """)
 def r3_income_by_source(star: Star) -> DataFrame:
-    return reports.income_by_source(star.applied(), star.paid_lines())
+    return reports.paid_by_source(star.lines())
 
 
 @query("r4_top_months", """,
@@ -96,7 +97,7 @@ def r4_top_months(star: Star) -> DataFrame:
 
 
 def _debtors(star: Star) -> DataFrame:
-    return reports.debtors(star.lines(), star.bare_units(), star.persons())
+    return reports.ledger_debtors(star.ledgers(), RANGE, star.persons(), as_of=AS_OF)
 
 
 DEBTORS_SQL = """,
@@ -138,7 +139,7 @@ intervalo AS (
 
 
 def _gaps(star: Star) -> DataFrame:
-    return reports.ordinary_payment_gaps(star.applied_with_shares())
+    return reports.ordinary_payment_gaps(star.applied_with_shares(), as_of=AS_OF)
 
 
 @query("r6_payment_gaps", GAPS_SQL + """

@@ -16,6 +16,7 @@ from ..plans import statements as st
 from ..plans.annexes import share_of_total
 from ..session import configure
 
+AS_OF = dt.date(2002, 12, 31)  # the day of the reports, so that they do not change with the calendar
 RANGE = st.Range(dt.date(1995, 1, 1), dt.date(2001, 12, 1))
 EXTRAORDINARY_FLAG = "R"
 
@@ -129,12 +130,11 @@ class Star:
         applied = st.apply_payments(self.payments(), self.units(), self.statements(), carry=st.SHARE)
         return st.with_shares(applied, self.costs())
 
-    def lines(self) -> DataFrame:
-        return st.statement_detail(self.units(), self.costs(), self.payments(), RANGE)
+    def ledgers(self) -> DataFrame:
+        return st.unit_ledgers(self.units(), self.costs(), self.payments(), RANGE)
 
-    def paid_lines(self) -> DataFrame:
-        """The lines a payment can meet; dropping the others first keeps them out of the shuffle."""
-        return self.lines().filter("primera_fecha is not null")
+    def lines(self) -> DataFrame:
+        return st.ledger_lines(self.ledgers(), RANGE)
 
     def headers(self) -> DataFrame:
         return st.statement_header(self.buildings(), self.bare_units(), self.costs(), self.payments(), RANGE)

@@ -12,7 +12,7 @@ from ..operators import maintenance as m, numbering, quality, ranking
 from ..plans import annexes, ingest, reports, statements as st
 from . import inputs, lines as src
 from .base import numbers_as_text, query, rounded
-from .star import EXTRAORDINARY_FLAG, RANGE, Star
+from .star import AS_OF, EXTRAORDINARY_FLAG, RANGE, Star
 
 LOADED_UNTIL = dt.date(1998, 1, 1)  # payments before it count as loaded already
 RECENT = dt.date(2001, 1, 1)
@@ -344,7 +344,7 @@ def join_by_position(star: Star) -> DataFrame:
 SELECT uf_id, periodo::VARCHAR AS periodo, deuda_cents AS saldo_deudor_cents FROM detalle
 """)
 def prev_period_debt(star: Star) -> DataFrame:
-    return st.previous_debt(star.lines())
+    return st.ledger_debts(star.ledgers(), RANGE)
 
 
 @query("dept_month_grid", """
@@ -404,7 +404,7 @@ FROM detalle JOIN unidad_base USING (uf_id) JOIN persona USING (cvu) GROUP BY AL
 HAVING SUM(GREATEST(total_cents - pagado_cents, 0)) > 1
 """)
 def agg_having(star: Star) -> DataFrame:
-    return reports.debtors(star.lines(), star.bare_units(), star.persons())
+    return reports.ledger_debtors(star.ledgers(), RANGE, star.persons(), as_of=AS_OF)
 
 
 @query("first_payment", """

@@ -65,8 +65,8 @@ TABLES = {
         ("consorcio_id", L), ("periodo", D), ("saldo_anterior_cents", L), ("ingresos_cents", L),
         ("adeudados_cents", L), ("adelantados_cents", L), ("egresos_cents", L), ("saldo_cierre_cents", L),
     ),
-    "cochera": _struct(("uf_id", L), ("numero", L), ("pct_bp", L)),
-    "baulera": _struct(("uf_id", L), ("numero", L), ("pct_bp", L)),
+    "cochera": _struct(("uf_id", L), ("numero", L), ("pct_bp", L), ("share_num", L), ("share_den", L)),
+    "baulera": _struct(("uf_id", L), ("numero", L), ("pct_bp", L), ("share_num", L), ("share_den", L)),
     "gasto_ordinario": _struct(
         ("consorcio_id", L), ("empresa", S), ("nro_factura", S), ("fecha", D), ("importe_cents", L),
         ("detalle", S), ("tipo_servicio", S), ("periodo_expensa", D),

@@ -148,6 +148,22 @@ def test_encryption_round_trip_and_row_binding(spark):
         pii.decrypt_columns(moved, ("dni",), "id", key).collect()
 
 
+def test_plans_do_not_show_the_key(spark):
+    key = "secret-key-16-by"
+    df = spark.createDataFrame([(1, "11111111")], "id long, dni string")
+    secret = pii.encrypt_columns(df, ("dni",), "id", key)
+    for frame in (secret, pii.decrypt_columns(secret, ("dni",), "id", key), pii.encryption_facts(df, ("dni",), "id", key)):
+        frame.collect()
+        shown = frame._jdf.queryExecution().toString()
+        for text_of_key in (key, key.encode().hex(), key.encode().hex().upper(), ", ".join(str(b) for b in key.encode())):
+            assert text_of_key not in shown
+
+
+def test_facts_of_encrypted_columns(spark, rows):
+    df = spark.createDataFrame([(1, "11111111"), (2, None), (3, "ñandú")], "id long, dni string")
+    assert rows(pii.encryption_facts(df, ("dni",), "id", "k" * 16)) == [(1, 36, True, True), (2, None, None, None), (3, 35, True, True)]
+
+
 def test_session_key_is_required(spark):
     with pytest.raises(ValueError):
         pii.session_key(spark)

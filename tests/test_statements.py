@@ -100,6 +100,36 @@ def test_previous_debt_is_the_carried_one(world):
     assert carried == {k: v[2] for k, v in expected_lines(world["raw"]).items()}
 
 
+def test_ledgers_give_what_the_lines_give(world, rows):
+    """Debts and unpaid sums taken inside the arrays, against the lines made of them."""
+    ledgers = st.unit_ledgers(world["units"], world["costs"], world["payments"], RANGE)
+    assert ledgers.count() == len(world["raw"][1])
+    assert rows(st.ledger_debts(ledgers, RANGE)) == rows(st.previous_debt(detail(world)).select("uf_id", "periodo", "saldo_deudor_cents"))
+    for since, until in ((None, None), (dt.date(2024, 12, 10), None), (dt.date(2024, 12, 11), dt.date(2025, 2, 10)), (dt.date(2030, 1, 1), None)):
+        lines = detail(world).filter(F.col("vencimiento_1").between(since or dt.date(1900, 1, 1), until or dt.date(2100, 1, 1)))
+        owed = F.greatest(F.col("total_cents") - F.col("pagado_cents"), F.lit(0))
+        want = {r.uf_id: r.x for r in lines.groupBy("uf_id").agg(F.sum(owed).alias("x")).collect()}
+        got = {r.uf_id: r.morosidad_cents for r in st.unpaid_sum(ledgers, RANGE, since, until).collect()}
+        assert got == {u[0]: want.get(u[0], 0) for u in world["raw"][1]}
+        by_lines = reports.debtors(detail(world), world["units"], world["persons"], since=since, until=until, as_of=dt.date(2026, 1, 1))
+        assert rows(reports.ledger_debtors(ledgers, RANGE, world["persons"], since=since, until=until, as_of=dt.date(2026, 1, 1))) == rows(by_lines)
+
+
+def test_carried_columns_reach_the_lines(world, rows):
+    carried = st.statement_detail(notifications.with_contacts(world["units"], world["buildings"], world["persons"]),
+                                  world["costs"], world["payments"], RANGE, carry=notifications.CONTACT)
+    joined = notifications.recipients(detail(world), world["units"], world["buildings"], world["persons"])
+    assert rows(notifications.recipients(carried)) == rows(joined)
+
+
+def test_reports_are_as_of_a_day(world):
+    """An open end is the day of the report, not today."""
+    day = dt.date(2025, 1, 31)
+    months_of = lambda df: {r.Periodo for r in df.collect()}
+    assert months_of(reports.income_by_source(applied(world), detail(world), as_of=day)) == {"2024-12", "2025-01"}
+    assert reports.ordinary_payment_gaps(with_lines(world), as_of=day).filter(F.col("fecha") > day).isEmpty()
+
+
 def test_previous_debt_resets_at_a_gap(spark):
     lines = spark.createDataFrame(
         [(1, dt.date(2025, 1, 1), 10, None), (1, dt.date(2025, 3, 1), 20, 5), (1, dt.date(2025, 4, 1), 30, 1)],
@@ -214,6 +244,20 @@ def test_income_by_source_adds_up(world):
     assert {r.Periodo for r in rows} == {"2025-01", "2025-02", "2025-03"}
     for r in rows:
         assert r.Total == r.Ordinario + r.Extraordinario + r.Mora
+    whole = reports.income_by_source(applied(world), detail(world), as_of=dt.date(2030, 1, 1)).collect()
+    assert sorted(whole) == sorted(reports.paid_by_source(detail(world)).collect())
+    received = sum(v[5] for v in expected_lines(world["raw"]).values() if v[0] + v[1] + v[7] > 0)
+    assert abs(sum(r.Total for r in whole) * 100 - received) < 1
+
+
+def test_very_large_sums_of_millionths(spark):
+    """Millionths of this many amounts do not fit in BIGINT."""
+    n, amount = 40_000, 4 * 10**14
+    lines = spark.range(n).select(
+        "id", F.lit(dt.date(2025, 1, 1)).alias("periodo"), F.lit(amount).alias("pagado_cents"), F.lit(dt.date(2025, 2, 3)).alias("primera_fecha"),
+        F.lit(3).alias("ord_cents"), F.lit(1).alias("ext_cents"), F.lit(0).alias("mora_cents"))
+    (r,) = reports.paid_by_source(lines).collect()
+    assert (r.Periodo, int(r.Total), int(r.Ordinario)) == ("2025-02", n * amount // 100, n * amount * 3 // 400)
 
 
 def test_top_months(world):
