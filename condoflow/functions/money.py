@@ -57,14 +57,19 @@ def share_of(total: Column, basis_points: Column) -> Column:
     return div_round(total.cast("bigint") * basis_points, F.lit(10000))
 
 
-def exact_part(total: Column, num: Column, den: Column) -> tuple[Column, Column]:
+def exact_part(total: Column, num: Column, den: Column, product: Column | None = None) -> tuple[Column, Column]:
     """``total * num / den`` as (whole, rest): whole part rounded down and what is left over ``den``, 0 <= rest < den.
 
-    Whole and rest of ``total / den`` are scaled apart, so that only ``den * num`` has to fit in BIGINT.
+    Whole and rest of ``total / den`` are scaled apart, so that only ``den * num`` has to fit in BIGINT.  Where
+    ``product`` is at hand, ``try_multiply(total, num)``, it does if it fits and is not negative.
     """
     left = F.pmod(total, den)
-    whole = int_div(total - left, den) * num
-    return whole + int_div(left * num, den), (left * num) % den
+    whole = int_div(total - left, den) * num + int_div(left * num, den)
+    rest = (left * num) % den
+    if product is None:
+        return whole, rest
+    plain = product >= 0
+    return F.when(plain, int_div(product, den)).otherwise(whole), F.when(plain, product % den).otherwise(rest)
 
 
 def rounded_sum(whole: Column, rest: Column, den: Column) -> Column:
@@ -80,22 +85,13 @@ def fraction_of(total: Column, num: Column, den: Column) -> Column:
 
 
 def weighted_part(value: Column, weight: Column, weight_sum: Column) -> Column:
-    """``value`` cents times ``weight / weight_sum`` in millionths of the currency unit.
+    """``value`` cents times ``weight / weight_sum`` in millionths of the currency unit, as BIGINT.
 
-    Quotient and remainder are scaled apart.  BIGINT does for amounts of usual
-    size; where a product would not fit, DECIMAL(38) takes over.  0 when the
-    weights do not add up to more than 0.
+    Quotient and remainder are scaled apart; the product is DECIMAL(38), which any two amounts fit in.  0 when the weights
+    do not add up to more than 0.
     """
-    narrow = [c.cast("bigint") for c in (value, weight, weight_sum)]
-    wide = [c.cast("decimal(19,0)") for c in (value, weight, weight_sum)]
-
-    def millionths(product: Column, total: Column) -> Column:
-        return int_div(product, total) * 10000 + int_div((product % total) * 20000 + total, total * 2)
-
-    product = F.abs(F.try_multiply(narrow[0], narrow[1]))
-    fits = product.isNotNull() & (narrow[2] < 10**14)
-    size = F.when(fits, millionths(product, narrow[2])).otherwise(
-        millionths(F.abs(wide[0] * wide[1]), wide[2])
-    )
+    amount_, part, whole = (c.cast("decimal(19,0)") for c in (value, weight, weight_sum))
+    product = F.abs(amount_ * part)
+    size = int_div(product, whole) * 10000 + int_div((product % whole) * 20000 + whole, whole * 2)
     signed = F.when((value < 0) != (weight < 0), -size).otherwise(size)
     return F.when(weight_sum > 0, signed).otherwise(F.lit(0))

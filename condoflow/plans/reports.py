@@ -190,11 +190,12 @@ def _by_source(paid: DataFrame) -> DataFrame:
 
     The sums are DECIMAL: millionths of many amounts leave the range of BIGINT.
     """
-    weights = {c: F.coalesce(c, F.lit(0)) for c in ("ord_cents", "ext_cents", "mora_cents")}
-    whole = weights["ord_cents"] + weights["ext_cents"] + weights["mora_cents"]
-    names = dict(zip(("Ordinario", "Extraordinario", "Mora"), weights.values()))
-    parts = paid.select("_mes", *[money.weighted_part(F.col("_paid"), w, whole).cast("decimal(20,0)").alias(n) for n, w in names.items()])
-    sums = {n: F.sum(n) for n in names} | {"Total": F.sum(F.col("Ordinario") + F.col("Extraordinario") + F.col("Mora"))}
+    weight = {"Ordinario": "ord_cents", "Extraordinario": "ext_cents", "Mora": "mora_cents"}
+    given = paid.select("_mes", "_paid", *[F.coalesce(c, F.lit(0)).alias(c) for c in weight.values()])
+    whole = F.col("ord_cents") + F.col("ext_cents") + F.col("mora_cents")
+    split = [money.weighted_part(F.col("_paid"), F.col(c), F.col("_whole")).cast("decimal(20,0)").alias(n) for n, c in weight.items()]
+    parts = given.withColumn("_whole", whole).select("_mes", *split)
+    sums = {n: F.sum(n) for n in weight} | {"Total": F.sum(F.col("Ordinario") + F.col("Extraordinario") + F.col("Mora"))}
     return (
         parts.groupBy("_mes")
         .agg(*[total.alias(name) for name, total in sums.items()])

@@ -10,6 +10,7 @@ period, a statement line by its unit and period.
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
@@ -210,10 +211,9 @@ def _costs_per_building(costs: DataFrame, period_range: Range) -> DataFrame:
         "consorcio_id", period_range.index(F.col("periodo")).alias("_i"), "ord_cents", "ext_cents"
     )
     zero = F.lit(0).cast("bigint")
-    by_index = F.map_from_entries(
-        F.collect_list(F.struct("_i", F.struct("ord_cents", "ext_cents").alias("v")))
-    )
-    empty = F.struct(zero.alias("ord_cents"), zero.alias("ext_cents"))
+    value = F.struct("ord_cents", "ext_cents", (F.col("ord_cents") + F.col("ext_cents")).alias("all_cents"))
+    by_index = F.map_from_entries(F.collect_list(F.struct("_i", value.alias("v"))))
+    empty = F.struct(zero.alias("ord_cents"), zero.alias("ext_cents"), zero.alias("all_cents"))
     months = F.sequence(F.lit(0), F.lit(period_range.months - 1))
     return (
         monthly.groupBy("consorcio_id")
@@ -226,7 +226,12 @@ def _costs_per_building(costs: DataFrame, period_range: Range) -> DataFrame:
 
 
 def _payments_per_account(payments: DataFrame, period_range: Range) -> DataFrame:
-    """One row per account: what it paid toward each period, i.e. in the month after it."""
+    """One row per account: what it paid toward each period, i.e. in the month after it.
+
+    Dealt to a stated number of partitions: where the join with the units keeps this side's, these are not coalesced by
+    their small size, though every row grows into one line per month.
+    """
+    partitions = int(payments.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     settled = dates.shift_period(F.col("mes"), -1)
     by_index = F.map_from_entries(
         F.collect_list(F.struct("_i", F.struct("total_cents", "primera_fecha").alias("v")))
@@ -234,6 +239,7 @@ def _payments_per_account(payments: DataFrame, period_range: Range) -> DataFrame
     return (
         payments_by_month(payments.filter(period_range.has(F.col("fecha"), 1)))
         .withColumn("_i", period_range.index(settled))
+        .repartition(partitions, "cvu")
         .groupBy("cvu")
         .agg(by_index.alias("paid"))
     )
@@ -314,47 +320,68 @@ def unit_ledgers(
         _payments_per_account(payments, period_range), "cvu", "left"
     )
 
-    def cost_part(i: Column) -> tuple[Column, Column]:
-        month = F.get("costs", i)
-        return money.exact_part(F.coalesce(month.ord_cents + month.ext_cents, zero), F.col("_num"), F.col("_den"))
-
-    inputs = (
-        spread_join(paying, _costs_per_building(costs, period_range), ["consorcio_id"], ["uf_id"], "left")
-        .withColumn(
-            "_months",
-            F.transform(
-                months,
-                lambda i: F.struct(
-                    *(c.alias(n) for c, n in zip(cost_part(i), ("part", "rest"))),
-                    F.coalesce(F.get("costs", i).ord_cents, zero).alias("ord"),
-                    F.coalesce(F.get("costs", i).ext_cents, zero).alias("ext"),
-                    F.coalesce(F.try_element_at("paid", i).total_cents, zero).alias("paid"),
-                    F.coalesce(F.try_element_at("paid", i - 1).total_cents, zero).alias("paid_before"),
-                    F.try_element_at("paid", i).primera_fecha.alias("first"),
-                ),
-            ),
-        )
-    )
+    inputs = spread_join(paying, _costs_per_building(costs, period_range), ["consorcio_id"], ["uf_id"], "left")
 
-    def step(state: Column, month: Column) -> Column:
-        total = _total(month.part, month.rest, F.col("_den"), state.debt)
+    num, den = F.col("_num"), F.col("_den")
+
+    def step(state: Column, i: Column) -> Column:
+        def line(v: Column) -> Column:
+            part, rest = money.exact_part(v["all"], num, den, v["product"])
+            return F.struct(part.alias("part"), rest.alias("rest"), v["debt"].alias("debt"), v["owed"].alias("owed"), v["paid"].alias("paid"))
+
+        def exact(v: Column) -> Column:
+            whole, over = _exact_total(v["part"], v["rest"], den, v["debt"], v["owed"])
+            return F.struct(whole.alias("whole"), over.alias("over"), v["paid"].alias("paid"))
+
+        def left(v: Column) -> Column:
+            return money.rounded_sum(v["whole"], v["over"], den * PER_RATE) - v["paid"]
+
+        charged = F.coalesce(F.get("costs", i).all_cents, zero)
+        given = F.struct(
+            charged.alias("all"), F.try_multiply(charged, num).alias("product"), state.debt.alias("debt"),
+            F.greatest(state.debt, zero).alias("owed"), F.coalesce(F.try_element_at("paid", i).total_cents, zero).alias("paid"),
+        )
+        # Functions over arrays are not compiled: what is used more than once is bound to a name instead of computed again.
         return F.struct(
-            F.concat(state.debts, F.array(state.debt)).alias("debts"), (total - month.paid).alias("debt")
+            F.concat(state.debts, F.array(state.debt)).alias("debts"), _bound(_bound(_bound(given, line), exact), left).alias("debt")
         )
 
     start = F.struct(
         F.array().cast("array<bigint>").alias("debts"), F.coalesce("_opening", zero).alias("debt")
     )
-    debts = F.aggregate("_months", start, step, lambda state: F.concat(state.debts, F.array(state.debt)))
-    return inputs.select("uf_id", "consorcio_id", "cvu", *carry, "_num", "_den", "_months", debts.alias("_debts"))
+    debts = F.aggregate(months, start, step, lambda state: F.concat(state.debts, F.array(state.debt)))
+    return inputs.select("uf_id", "consorcio_id", "cvu", *carry, "_num", "_den", "costs", "paid", debts.alias("_debts"))
+
 
+def _bound(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use(value)`` with ``value`` computed once."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
 
-def ledger_lines(ledgers: DataFrame, period_range: Range, carry: tuple[str, ...] = ()) -> DataFrame:
-    """Statement lines of the ledgers of a range."""
-    kept, zero = ("uf_id", "consorcio_id", *carry, "_num", "_den"), F.lit(0).cast("bigint")
-    lines = ledgers.select(
-        *kept, F.posexplode(F.arrays_zip("_months", F.slice("_debts", 1, period_range.months).alias("_debts"))).alias("_i", "_x")
-    ).select(*kept, "_i", "_x._months.*", F.col("_x._debts").alias("deuda_cents"))
+
+def _charged(i: Column) -> tuple[Column, Column]:
+    """A unit's exact part of its building's costs of month ``i``, see ``money.exact_part``."""
+    return money.exact_part(F.coalesce(F.get("costs", i).all_cents, F.lit(0).cast("bigint")), F.col("_num"), F.col("_den"))
+
+
+def ledger_lines(ledgers: DataFrame, period_range: Range, carry: tuple[str, ...] = (), paid_only: bool = False) -> DataFrame:
+    """Statement lines of the ledgers of a range; with ``paid_only`` those that received a payment, and no row is made of the others.
+
+    Only the debts, which need the fold, are computed in the arrays; the rest is taken out of them line by line, in compiled code.
+    """
+    kept, zero = ("uf_id", "consorcio_id", *carry, "_num", "_den", "costs", "paid"), F.lit(0).cast("bigint")
+    if paid_only:
+        received = ledgers.select(*kept, "_debts", F.explode(F.map_keys("paid")).alias("_i"))
+        months = received.select(*kept, "_i", F.get("_debts", F.col("_i")).alias("deuda_cents"))
+    else:
+        months = ledgers.select(*kept, F.posexplode(F.slice("_debts", 1, period_range.months)).alias("_i", "deuda_cents"))
+    i, cost, paid = F.col("_i"), F.get("costs", F.col("_i")), F.try_element_at("paid", F.col("_i"))
+    lines = months.select(
+        "uf_id", "consorcio_id", *carry, "_num", "_den", "_i", "deuda_cents",
+        F.coalesce(cost.ord_cents, zero).alias("ord"), F.coalesce(cost.ext_cents, zero).alias("ext"),
+        *(c.alias(n) for c, n in zip(_charged(i), ("part", "rest"))),
+        F.coalesce(paid.total_cents, zero).alias("paid"), paid.primera_fecha.alias("first"),
+        F.coalesce(F.try_element_at("paid", i - 1).total_cents, zero).alias("paid_before"),
+    )
     debt, num, den = F.col("deuda_cents"), F.col("_num"), F.col("_den")
     issued = lines.select(
         "uf_id", "consorcio_id", *carry,
@@ -421,11 +448,16 @@ def ledger_debts(ledgers: DataFrame, period_range: Range) -> DataFrame:
 PER_RATE = 10000 // money.DETAIL_RATE_BP  # interest is one part in so many of the debt
 
 
+def _exact_total(part: Column, rest: Column, den: Column, debt: Column, owed: Column) -> tuple[Column, Column]:
+    """Total to pay as whole part and what is over, in parts of ``den * PER_RATE``; ``owed`` is the debt if positive."""
+    whole = debt + part + money.int_div(owed, F.lit(PER_RATE))
+    return whole, rest * PER_RATE + owed % PER_RATE * den
+
+
 def _total(part: Column, rest: Column, den: Column, debt: Column) -> Column:
     """Total to pay: cost share (``part + rest / den``), debt and interest on it, rounded once from the exact value."""
     owed = F.greatest(debt, F.lit(0).cast("bigint"))
-    whole = debt + part + money.int_div(owed, F.lit(PER_RATE))
-    return money.rounded_sum(whole, rest * PER_RATE + owed % PER_RATE * den, den * PER_RATE)
+    return money.rounded_sum(*_exact_total(part, rest, den, debt, owed), den * PER_RATE)
 
 
 def late_interest(lines: DataFrame) -> DataFrame:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 
-from ..plans import reports
+from ..plans import reports, statements as st
 from ..sources import xml
 from .base import numbers_as_text, query, rounded, text_of
 from .star import AS_OF, RANGE, Star
@@ -77,7 +77,7 @@ peso AS (
 SELECT periodo AS "Periodo", {_SUMS} FROM peso GROUP BY periodo
 """)
 def r3_income_by_source(star: Star) -> DataFrame:
-    return reports.paid_by_source(star.lines())
+    return reports.paid_by_source(st.ledger_lines(star.ledgers(), RANGE, paid_only=True))
 
 
 @query("r4_top_months", """,

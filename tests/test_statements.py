@@ -115,6 +115,12 @@ def test_ledgers_give_what_the_lines_give(world, rows):
         assert rows(reports.ledger_debtors(ledgers, RANGE, world["persons"], since=since, until=until, as_of=dt.date(2026, 1, 1))) == rows(by_lines)
 
 
+def test_lines_with_payments_alone(world, rows):
+    ledgers = st.unit_ledgers(world["units"], world["costs"], world["payments"], RANGE)
+    paid = detail(world).filter("primera_fecha is not null")
+    assert rows(st.ledger_lines(ledgers, RANGE, paid_only=True)) == rows(paid) and not paid.isEmpty()
+
+
 def test_carried_columns_reach_the_lines(world, rows):
     carried = st.statement_detail(notifications.with_contacts(world["units"], world["buildings"], world["persons"]),
                                   world["costs"], world["payments"], RANGE, carry=notifications.CONTACT)
