@@ -136,5 +136,9 @@ class Star:
     def lines(self) -> DataFrame:
         return st.ledger_lines(self.ledgers(), RANGE)
 
+    def paid_lines(self) -> DataFrame:
+        """The lines a payment can meet; no row is made of the others."""
+        return st.ledger_lines(self.ledgers(), RANGE, paid_only=True)
+
     def headers(self) -> DataFrame:
         return st.statement_header(self.buildings(), self.bare_units(), self.costs(), self.payments(), RANGE)
