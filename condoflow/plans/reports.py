@@ -78,7 +78,7 @@ def weekly_flow(
         money.amount_text(F.col("total_cents")).alias("Egreso_Semanal_Total"),
         money.amount_text(F.sum("total_cents").over(so_far)).alias("Acumulado_Progresivo"),
         money.amount_text(average).alias("Promedio_Periodo"),
-    )
+    ).orderBy("ID_Consorcio", "Anio", "Mes", "Semana")
 
 
 def collected_by_department(applied: DataFrame, units: DataFrame) -> DataFrame:
@@ -154,6 +154,7 @@ def department_month_table(
             "consorcio_id", "anio", "departamento",
             *[money.amount(F.col(c)).alias(c) for c in (*MONTH_COLUMNS, "Total")],
         )
+        .orderBy("consorcio_id", "anio", "departamento")
     )
 
 
@@ -203,6 +204,7 @@ def _by_source(paid: DataFrame) -> DataFrame:
             F.date_format("_mes", "yyyy-MM").alias("Periodo"),
             *[(F.col(n).cast("decimal(31,0)") * F.lit("0.000001").cast("decimal(7,6)")).cast("decimal(37,6)").alias(n) for n in sums],
         )
+        .orderBy("Periodo")
     )
 
 

@@ -256,6 +256,18 @@ def test_income_by_source_adds_up(world):
     assert abs(sum(r.Total for r in whole) * 100 - received) < 1
 
 
+def test_reports_come_in_order(world):
+    """Reports 1 to 3 as they are read: by building and date, by department, by month."""
+    statements = st.statements_of(world["buildings"], RANGE)
+    weeks = [(r.ID_Consorcio, r.Anio, r.Mes, r.Semana) for r in reports.weekly_flow(world["costs"], statements, world["buildings"]).collect()]
+    assert weeks == sorted(weeks) and len({w[0] for w in weeks}) > 1
+    units = world["units"].withColumn("departamento", F.chr((F.col("uf_id") % 3 + 65).cast("int")))
+    table = [(r.consorcio_id, r.anio, r.departamento) for r in reports.department_month_table(applied(world), units).collect()]
+    assert table == sorted(table) and len(table) > 2
+    months_ = [r.Periodo for r in reports.paid_by_source(detail(world)).collect()]
+    assert months_ == sorted(months_) and len(months_) > 2
+
+
 def test_very_large_sums_of_millionths(spark):
     """Millionths of this many amounts do not fit in BIGINT."""
     n, amount = 40_000, 4 * 10**14
