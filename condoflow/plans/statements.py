@@ -134,15 +134,21 @@ def apply_payments(
     Every unit has a line in each statement of its building, so the building's
     statement decides whether the line exists.  Payments in ``applied`` are left out.
     ``carry`` names unit columns to keep, which saves a second join with the units.
+
+    Units bring the periods of their building's statements along, a list the calendar bounds, so the payments are
+    joined once, by account, and not dealt again to meet the statements; if payments and units are stored in buckets by account,
+    see ``sources.buckets``, not at all.
     """
     target = dates.shift_period(dates.period_of(F.col("fecha")), -1)
     fresh = payments
     if applied is not None:
         fresh = payments.join(applied.select("id_pago"), "id_pago", "left_anti")
+    periods = statements.groupBy("consorcio_id").agg(F.collect_set("periodo").alias("_periods"))
+    holders = spread_join(units.select("cvu", "uf_id", "consorcio_id", *carry), periods, ["consorcio_id"], ["uf_id"])
     return (
         fresh.select("id_pago", "cvu", "fecha", "importe_cents", target.alias("periodo"))
-        .join(units.select("cvu", "uf_id", "consorcio_id", *carry), "cvu")
-        .join(statements.select("consorcio_id", "periodo"), ["consorcio_id", "periodo"], "left_semi")
+        .join(holders, "cvu")
+        .filter(F.array_contains("_periods", F.col("periodo")))
         .select("id_pago", "uf_id", "consorcio_id", "periodo", "fecha", "importe_cents", *carry)
     )
 

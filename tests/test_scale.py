@@ -9,6 +9,7 @@ from condoflow import registry
 from condoflow.plans import ingest, statements as st
 from condoflow.plans.annexes import share_of_total
 from condoflow.registry.star import RANGE
+from condoflow.sources.buckets import add_to_buckets, write_buckets
 
 SF_DIR = "/root/testdata/sf0.001"
 
@@ -54,6 +55,39 @@ def test_a_hot_account_is_split_when_payments_are_applied(small_limits):
     assert applied.count() == n
 
 
+@pytest.fixture
+def buckets(small_limits):
+    """Payments and units in buckets by account; the tables go after the test."""
+    spark = small_limits
+    payments = spark.range(0, 20_000, 1, 8).select(
+        F.col("id").alias("id_pago"), F.lpad((F.col("id") % 500).cast("string"), 22, "0").alias("cvu"),
+        F.date_add(F.lit(dt.date(2000, 1, 1)), (F.col("id") % 400).cast("int")).alias("fecha"), F.lit(100).cast("bigint").alias("importe_cents"),
+    )
+    units = spark.range(500).select(
+        F.col("id").alias("uf_id"), F.lpad(F.col("id").cast("string"), 22, "0").alias("cvu"), (F.col("id") % 3).alias("consorcio_id"))
+    yield payments, units, write_buckets(payments, "pago_por_cuenta", "cvu", 4), write_buckets(units, "unidad_por_cuenta", "cvu", 4)
+    for table in ("pago_por_cuenta", "unidad_por_cuenta"):
+        spark.sql(f"DROP TABLE {table}")
+
+
+def test_bucketed_payments_are_not_shuffled_when_applied(buckets, rows):
+    payments, units, stored, stored_units = buckets
+    statements = st.statements_of(payments.sparkSession.range(3), st.Range(dt.date(2000, 1, 1), dt.date(2000, 6, 1)))
+    applied = st.apply_payments(stored, stored_units, statements)
+    plan = final_plan(applied)
+    plan = plan[:plan.index("== Initial Plan ==")] if "== Initial Plan ==" in plan else plan
+    scan = next(i for i, line in enumerate(plan.splitlines()) if "pago_por_cuenta" in line)
+    above, depth = [], 10**9
+    for line in reversed(plan.splitlines()[: scan + 1]):  # the operators between the scan and the root
+        at = len(line) - len(line.lstrip(" :+-"))
+        if at < depth:
+            above, depth = [*above, line], at
+    assert any("SortMergeJoin" in line for line in above) and not any("Exchange" in line for line in above)
+    assert rows(applied) == rows(st.apply_payments(payments, units, statements)) and applied.count() > 5000
+    more = add_to_buckets(payments.limit(10).withColumn("id_pago", F.col("id_pago") + 10**6), "pago_por_cuenta", "cvu", 4)
+    assert more.count() == 20_010
+
+
 def hot_building_units(spark, n):
     """Units of which two thirds belong to one building."""
     building = F.when(F.col("id") % 3 > 0, 1).otherwise(F.col("id") % 997 + 2)
