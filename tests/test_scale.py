@@ -1,6 +1,7 @@
 """Plans that have to hold when one key owns a third of the rows or the data grows a thousandfold."""
 
 import datetime as dt
+import uuid
 
 import pytest
 from pyspark.sql import functions as F
@@ -65,18 +66,19 @@ def buckets(small_limits):
     )
     units = spark.range(500).select(
         F.col("id").alias("uf_id"), F.lpad(F.col("id").cast("string"), 22, "0").alias("cvu"), (F.col("id") % 3).alias("consorcio_id"))
-    yield payments, units, write_buckets(payments, "pago_por_cuenta", "cvu", 4), write_buckets(units, "unidad_por_cuenta", "cvu", 4)
-    for table in ("pago_por_cuenta", "unidad_por_cuenta"):
+    tables = [f"{name}_{uuid.uuid4().hex}" for name in ("pago", "unidad")]
+    yield payments, units, *(write_buckets(df, table, "cvu", 4) for df, table in zip((payments, units), tables)), tables[0]
+    for table in tables:
         spark.sql(f"DROP TABLE {table}")
 
 
 def test_bucketed_payments_are_not_shuffled_when_applied(buckets, rows):
-    payments, units, stored, stored_units = buckets
+    payments, units, stored, stored_units, table = buckets
     statements = st.statements_of(payments.sparkSession.range(3), st.Range(dt.date(2000, 1, 1), dt.date(2000, 6, 1)))
     applied = st.apply_payments(stored, stored_units, statements)
     plan = final_plan(applied)
     plan = plan[:plan.index("== Initial Plan ==")] if "== Initial Plan ==" in plan else plan
-    scan = next(i for i, line in enumerate(plan.splitlines()) if "pago_por_cuenta" in line)
+    scan = next(i for i, line in enumerate(plan.splitlines()) if table in line)
     above, depth = [], 10**9
     for line in reversed(plan.splitlines()[: scan + 1]):  # the operators between the scan and the root
         at = len(line) - len(line.lstrip(" :+-"))
@@ -84,7 +86,7 @@ def test_bucketed_payments_are_not_shuffled_when_applied(buckets, rows):
             above, depth = [*above, line], at
     assert any("SortMergeJoin" in line for line in above) and not any("Exchange" in line for line in above)
     assert rows(applied) == rows(st.apply_payments(payments, units, statements)) and applied.count() > 5000
-    more = add_to_buckets(payments.limit(10).withColumn("id_pago", F.col("id_pago") + 10**6), "pago_por_cuenta", "cvu", 4)
+    more = add_to_buckets(payments.limit(10).withColumn("id_pago", F.col("id_pago") + 10**6), table, "cvu", 4)
     assert more.count() == 20_010
 
 
