@@ -1,17 +1,19 @@
 """Toxicity scores from class-conditional Kneser-Ney bigram models.
 
 A text is read as the beginning of each word followed by the word.  One model is fitted to the toxic and one to the ordinary
-labelled rows.  Both smooth through the same continuation counts (in
-how many different contexts a word occurs, over both classes), so an expression rare in either class is judged by what the
-classes share.  A text's score is the difference of its length-normalised log-likelihoods, put on a 0 to 1 scale by a logistic
-curve fitted to labelled rows that the models have not seen.
+labelled rows.  Both smooth through the same continuation counts (in how many different contexts a word occurs in all
+documents, labelled or not), so an expression rare in either class is judged by what the classes share.  A text's score is the difference of its length-normalised log-likelihoods, put on a 0 to 1 scale by a logistic
+curve fitted to a quarter of the sample by models of the other three; the models that score are of all four.
 
-Labels are read from a bounded sample (``rows`` labelled rows, those with the least hash of their id); every text is scored in full.
-Within the sample nothing is cut by frequency: every word and every bigram is tested for what it tells, in Spark, and those that pass
-are kept.  A word met under RARE times that does not tell the classes apart on its own counts as the unknown word.
+Labels are read from a bounded sample (``rows`` labelled rows, those with the least hash of their id); every text is scored in full,
+and every text of the corpus counts for the contexts.  Nothing is cut by frequency: every word and every bigram of the sample is
+tested for what it tells, in Spark, and those that pass are kept; all others have the same probability in both models.  A bigram
+counts once for each text that has it: a passage that one text repeats is one observation, not many.
 
 Defined results: null and empty texts and texts without letters get the score of an undecided text; labels that are null and ids
-without a row are ignored; a null id counts as empty text for the fold; extra columns are ignored.
+without a row are ignored; a null id counts as empty text for the fold; extra columns are ignored; an empty table gives none.
+Copies of a text are one observation of each class they are labelled with, and the text alone says whether it fits the models or
+the curve, so the order of rows changes nothing.  Without rows of both classes all texts of equal length score the same.
 """
 
 from __future__ import annotations
@@ -27,9 +29,10 @@ from condoflow.llm.common import BYTE_CODES, LOWER, U, RangeHash, blocks, staged
 
 SAMPLE_ROWS = 40_000  # labelled rows the models are fitted to
 STEM = 5  # bytes of the beginning of a word, which a rare or inflected word backs off to
-RARE = 5  # words met less often count as one unknown word, unless their own counts tell the classes apart
 DISCOUNT = 0.75
 EVIDENCE = 15.1  # likelihood-ratio statistic (chance 0.0001) below which the classes share an expression's probability
+SIDES = ("f0", "f1", "n0", "n1")
+CONTEXT_BYTES = 1 << 22  # text whose equal bigrams are put together at once
 KNOWN_CONTEXT = 20  # a word is a context of its own if both classes met it this often
 IS_LETTER = np.array([97 <= b <= 122 or b >= 128 for b in range(256)])
 
@@ -67,36 +70,52 @@ def bigrams_of(vocabulary: np.ndarray, data: np.ndarray, offs: np.ndarray):
     return before, word, row
 
 
-def count_words():
+def see_words():
+    """Task: the different words of each batch of texts."""
+
     def run(batches):
         for b in batches:
             data, offs = text_bytes(b.column("text"))
-            toxic = b.column("toxic").to_numpy(zero_copy_only=False)
-            for i, j in blocks(offs):
-                code, row = letters(data[offs[i] : offs[j]], offs[i : j + 1] - offs[i])
-                word, at = np.unique(code, return_inverse=True)
-                one = np.bincount(at, weights=toxic[i + row], minlength=len(word)).astype(np.int64)
-                n = np.bincount(at, minlength=len(word))
-                yield pa.record_batch([pa.array(word.view(np.int64)), pa.array(n - one), pa.array(one)], names=["word", "n0", "n1"])
+            for i, j in blocks(offs, CONTEXT_BYTES):
+                code, _ = letters(data[offs[i] : offs[j]], offs[i : j + 1] - offs[i])
+                yield pa.record_batch([pa.array(np.unique(code).view(np.int64))], names=["word"])
 
     return run
 
 
 def count_bigrams(vocabulary):
+    """Task: number of texts with each bigram by class, ``f0`` and ``f1`` without the texts set apart, ``n0`` and ``n1`` with them."""
+
     def run(batches):
         width = len(vocabulary.value) + 2
         for b in batches:
             data, offs = text_bytes(b.column("text"))
-            toxic = b.column("toxic").to_numpy(zero_copy_only=False)
-            found = []
-            for i, j in blocks(offs):
+            toxic, apart = (b.column(c).to_numpy(zero_copy_only=False).astype(np.int64) for c in ("toxic", "apart"))
+            for i, j in blocks(offs, CONTEXT_BYTES):
                 before, word, row = bigrams_of(vocabulary.value, data[offs[i] : offs[j]], offs[i : j + 1] - offs[i])
-                found.append((before * width + word) * 2 + toxic[i + row])
-            if found:
-                pair, n = np.unique(np.concatenate(found), return_counts=True)
-                one = (pair & 1) == 1
+                code = before * width + word
+                order = np.lexsort((row, code))
+                code, row = code[order], row[order]
+                new = np.concatenate([[True], (code[1:] != code[:-1]) | (row[1:] != row[:-1])])[: len(code)]
+                pair, at = np.unique(code[new], return_inverse=True)
+                row = row[new]
+                of = np.bincount(at * 4 + 2 * apart[i + row] + toxic[i + row], minlength=4 * len(pair)).reshape(-1, 4)
                 yield pa.record_batch(
-                    [pa.array(pair >> 1), pa.array(np.where(one, 0, n)), pa.array(np.where(one, n, 0))], names=["pair", "n0", "n1"])
+                    [pa.array(x) for x in (pair, of[:, 0], of[:, 1], of[:, 0] + of[:, 2], of[:, 1] + of[:, 3])], names=["pair", *SIDES])
+
+    return run
+
+
+def see_contexts(vocabulary):
+    """Task: the different bigrams of each batch of texts."""
+
+    def run(batches):
+        width = len(vocabulary.value) + 2
+        for b in batches:
+            data, offs = text_bytes(b.column("text"))
+            for i, j in blocks(offs, CONTEXT_BYTES):
+                before, word, _ = bigrams_of(vocabulary.value, data[offs[i] : offs[j]], offs[i : j + 1] - offs[i])
+                yield pa.record_batch([pa.array(np.unique(before * width + word))], names=["pair"])
 
     return run
 
@@ -114,11 +133,11 @@ def evidence(n0: np.ndarray, n1: np.ndarray, share: np.ndarray) -> np.ndarray:
 def of_words(of_word: np.ndarray, context: np.ndarray) -> dict:
     """Probability of each word by class, and what the bigrams of a context leave to it.
 
-    ``of_word`` has the counts of each word by class and its different contexts, ``context`` the counts of each context by class
+    ``of_word`` has the counts of each word by class and its different contexts in the corpus, ``context`` the counts of each context by class
     and its different words by class.  An expression whose counts do not tell the classes apart falls back on the shared counts
     in both, so it adds nothing.
     """
-    shared = of_word[2] + 0.5  # continuation counts over both classes
+    shared = of_word[2] + 0.5
     shared = shared / shared.sum()
     of_word, context, kinds = of_word[:2], context[:2], context[2:]
     total = [max(1.0, x.sum()) for x in of_word]
@@ -145,11 +164,11 @@ def telling(m: dict, pair: np.ndarray, counts: np.ndarray):
 
 
 def tell_bigrams(shared):
-    """Task: of counted bigrams those that tell, with their difference."""
+    """Task: of bigrams and their counts in both classes those that tell, with their difference."""
 
     def run(batches):
         for b in batches:
-            counts = np.stack([b.column(c).to_numpy(zero_copy_only=False) for c in ("n0", "n1")], axis=1)
+            counts = np.stack([b.column(c).to_numpy(zero_copy_only=False) for c in (1, 2)], axis=1)
             pair, ratio = telling(shared.value, b.column("pair").to_numpy(zero_copy_only=False), counts)
             yield pa.record_batch([pa.array(pair), pa.array(ratio)], names=["pair", "ratio"])
 
@@ -157,14 +176,15 @@ def tell_bigrams(shared):
 
 
 def model_of(vocabulary: np.ndarray, words: dict, pair: np.ndarray, ratio: np.ndarray) -> dict:
+    """Differences of the two models' log-probabilities, for the words and bigrams that have one; other words are as good as unknown."""
+    each = np.log(words["alone"][1]) - np.log(words["alone"][0])
+    before, word = pair // len(each), pair % len(each)
+    used = each != 0
+    used[[0, -1]] = used[before] = used[word] = True
+    place = np.cumsum(used) - 1
+    pair = place[before] * used.sum() + place[word]
     order = np.argsort(pair)
-    return {"vocabulary": vocabulary, "word": np.log(words["alone"][1]) - np.log(words["alone"][0]), "pair": pair[order], "ratio": ratio[order]}
-
-
-def log_ratios(vocabulary: np.ndarray, of_word: np.ndarray, context: np.ndarray, pair: np.ndarray, counts: np.ndarray) -> dict:
-    """Differences of the two models' log-probabilities for each word and for the bigrams that deviate from their word."""
-    words = of_words(of_word, context)
-    return model_of(vocabulary, words, *telling(words, pair, counts))
+    return {"vocabulary": vocabulary[used[1:-1]], "word": each[used], "pair": pair[order], "ratio": ratio[order]}
 
 
 def per_text(m: SimpleNamespace, data: np.ndarray, offs: np.ndarray):
@@ -220,48 +240,49 @@ def crc_of_id(id_col: str) -> Column:
 
 def fit(documents: DataFrame, labels: DataFrame, learn: Column, rows: int = SAMPLE_ROWS, id_col: str = "doc_id",
         text_col: str = "text", label_col: str = "toxic"):
-    """Models and curve from the labelled rows where ``learn`` holds; None without a row of either class."""
+    """Models and curve from the labelled rows where ``learn`` holds, and from the contexts of words in all documents."""
     spark = documents.sparkSession
     sample = (
         labels.select(F.col(f"`{id_col}`").alias("doc_id"), F.col(f"`{label_col}`").cast("int").alias("toxic"))
         .where(F.col("toxic").isin(0, 1) & F.col("doc_id").isNotNull()).where(learn).distinct()
         .orderBy(F.xxhash64("doc_id"), "doc_id", "toxic").limit(rows)
     )
-    # at most ``rows`` rows of two numbers go to the tasks
-    texts = documents.select(F.col(f"`{id_col}`").alias("doc_id"), F.col(f"`{text_col}`").alias("text")).join(F.broadcast(sample), "doc_id")
-    texts = texts.dropDuplicates(["toxic", "text"])  # copies are one observation
-    texts = texts.withColumn("apart", F.pmod(F.xxhash64("doc_id", F.lit("apart")), F.lit(4)) == 0)  # for the curve
-    to_models = texts.where("not apart").select("text", "toxic")
-    n0, n1 = F.col("n0"), F.col("n1")
-    words = staged(
-        to_models.select("text", "toxic").mapInArrow(count_words(), "word long, n0 long, n1 long")
-        .groupBy("word").agg(F.sum("n0").alias("n0"), F.sum("n1").alias("n1")))
-    all0, all1 = words.agg(F.coalesce(F.sum("n0"), F.lit(0)), F.coalesce(F.sum("n1"), F.lit(0))).first()
-    share = all1 / max(1, all0 + all1)
-    of_class = [F.when(n > 0, 2 * n * F.log(n / ((n0 + n1) * F.lit(max(q, 1e-12))))).otherwise(0.0) for n, q in ((n0, 1 - share), (n1, share))]
-    words = words.where((n0 + n1 >= RARE) | (of_class[0] + of_class[1] >= EVIDENCE)).select("word").toArrow()
+    corpus = documents.select(F.col(f"`{id_col}`").alias("doc_id"), F.col(f"`{text_col}`").alias("text"))
+    # at most ``rows`` rows of two numbers go to the tasks; copies are one observation
+    texts = corpus.join(F.broadcast(sample), "doc_id").select("toxic", "text").distinct()
+    texts = staged(texts.withColumn("apart", F.pmod(F.xxhash64("text", F.lit("apart")), F.lit(4)) == 0))  # for the curve
+    words = texts.select("text").mapInArrow(see_words(), "word long").distinct().toArrow()
     vocabulary = np.sort(words.column("word").to_numpy().astype(np.int64).view(np.uint64))
-    counted = staged(
-        to_models.mapInArrow(count_bigrams(spark.sparkContext.broadcast(vocabulary)), "pair long, n0 long, n1 long")
-        .groupBy("pair").agg(F.sum("n0").alias("n0"), F.sum("n1").alias("n1")))
-    width = len(vocabulary) + 2
+    width, known = len(vocabulary) + 2, spark.sparkContext.broadcast(vocabulary)
+    word, before = f"pair % {width}", f"pair div {width}"
+    kind = "pair long, " + ", ".join(f"{n} long" for n in SIDES)
+    counted = staged(texts.mapInArrow(count_bigrams(known), kind).groupBy("pair").agg(*(F.sum(n).alias(n) for n in SIDES)))
 
-    def margins(by: Column, **sums: Column) -> np.ndarray:
+    def margins(rows: DataFrame, by: str, **sums: Column) -> np.ndarray:
         """Sums over the bigrams of each word or context, as one row per sum; at most the vocabulary."""
-        found = counted.groupBy(by.alias("at")).agg(*(F.sum(c).alias(k) for k, c in sums.items())).toArrow()
+        found = rows.groupBy(F.expr(by).alias("at")).agg(*(F.sum(c).alias(k) for k, c in sums.items())).toArrow()
         out = np.zeros((len(sums), width))
         out[:, found.column("at").to_numpy()] = [found.column(k).to_numpy() for k in sums]
         return out
 
-    of_word = margins(F.col("pair") % width, a=n0, b=n1, c=F.lit(1))
-    context = margins(F.expr(f"pair div {width}"), a=n0, b=n1, c=(n0 > 0).cast("int"), d=(n1 > 0).cast("int"))
-    tested = of_words(of_word, context)
-    told = counted.mapInArrow(tell_bigrams(spark.sparkContext.broadcast(tested)), "pair long, ratio double").toArrow()
-    model = model_of(vocabulary, tested, told.column("pair").to_numpy().astype(np.int64), told.column("ratio").to_numpy())
-    shared = spark.sparkContext.broadcast(model)
-    seen = texts.where("apart").select("toxic", "text").mapInArrow(score_texts(shared), "toxic int, n_tokens long, ratio double").toArrow()
-    x = features(seen.column("n_tokens").to_numpy(), seen.column("ratio").to_numpy())
-    return shared, logistic(x, seen.column("toxic").to_numpy().astype(float))
+    contexts = margins(corpus.select("text").mapInArrow(see_contexts(known), "pair long").distinct(), word, c=F.lit(1))
+
+    def model(*sides: str):
+        """Model from two columns of counts, one for each class."""
+        rows = counted.select("pair", *sides).where(F.greatest(*sides) > 0)
+        n = [F.col(c) for c in sides]
+        of_word = margins(rows, word, a=n[0], b=n[1])
+        of_context = margins(rows, before, a=n[0], b=n[1], c=(n[0] > 0).cast("int"), d=(n[1] > 0).cast("int"))
+        tested = of_words(np.concatenate([of_word, contexts]), of_context)
+        told = rows.mapInArrow(tell_bigrams(spark.sparkContext.broadcast(tested)), "pair long, ratio double").toArrow()
+        found = model_of(vocabulary, tested, told.column("pair").to_numpy().astype(np.int64), told.column("ratio").to_numpy())
+        return spark.sparkContext.broadcast(found)
+
+    # the curve is fitted to texts its model has not seen; the model that scores has seen all of the sample
+    seen = texts.where("apart").select("toxic", "text").mapInArrow(score_texts(model("f0", "f1")), "toxic int, n_tokens long, ratio double").toArrow()
+    x, y = features(seen.column("n_tokens").to_numpy(), seen.column("ratio").to_numpy()), seen.column("toxic").to_numpy().astype(float)
+    order = np.lexsort((*x.T, y))  # sums must not depend on the order of arrival
+    return model("n0", "n1"), logistic(x[order], y[order])
 
 
 def score_toxicity(documents: DataFrame, model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
