@@ -1,8 +1,9 @@
 """Toxicity scores from class-conditional Kneser-Ney bigram models.
 
 A text is read as the beginning of each word followed by the word.  One model is fitted to the toxic and one to the ordinary
-labelled rows.  Both smooth through the same continuation counts (in how many different contexts a word occurs in all
-documents, labelled or not), so an expression rare in either class is judged by what the classes share.  A text's score is the difference of its length-normalised log-likelihoods, put on a 0 to 1 scale by a logistic
+labelled rows.  Both smooth through the same continuation counts (after how many different beginnings a word's beginning occurs in
+all documents, labelled or not; a whole word follows its own beginning alone), so an expression rare in either class is judged by
+what the classes share.  A text's score is the difference of its length-normalised log-likelihoods, put on a 0 to 1 scale by a logistic
 curve fitted to a quarter of the sample by models of the other three; the models that score are of all four.
 
 Labels are read from a bounded sample (``rows`` labelled rows, those with the least hash of their id); every text is scored in full,
@@ -52,6 +53,15 @@ def letters(data: np.ndarray, offs: np.ndarray):
     return code[there], np.repeat(row, 2)[there]
 
 
+def beginnings(data: np.ndarray, offs: np.ndarray):
+    """Hash and row of the beginning of every run of letters."""
+    data = LOWER[data]
+    starts, ends, row = words_in(data, offs, IS_LETTER)
+    if not len(starts):
+        return np.zeros(0, np.uint64), row
+    return RangeHash(BYTE_CODES[data])(starts, np.minimum(ends, starts + STEM)) ^ U(STEM), row
+
+
 def numbers(vocabulary: np.ndarray, code: np.ndarray) -> np.ndarray:
     """Place of each word in the ordered vocabulary, counted from 1; 0 for the others."""
     if not len(vocabulary):
@@ -61,9 +71,9 @@ def numbers(vocabulary: np.ndarray, code: np.ndarray) -> np.ndarray:
     return np.where(vocabulary[place] == code, place + 1, 0)
 
 
-def bigrams_of(vocabulary: np.ndarray, data: np.ndarray, offs: np.ndarray):
+def bigrams_of(vocabulary: np.ndarray, data: np.ndarray, offs: np.ndarray, tokens=letters):
     """Previous word (len(vocabulary) + 1 at the start), word and row."""
-    code, row = letters(data, offs)
+    code, row = tokens(data, offs)
     word = numbers(vocabulary, code)
     before = np.concatenate([[0], word[:-1]])[: len(word)]
     before[np.concatenate([[True], row[1:] != row[:-1]])[: len(word)]] = len(vocabulary) + 1
@@ -107,14 +117,14 @@ def count_bigrams(vocabulary):
 
 
 def see_contexts(vocabulary):
-    """Task: the different bigrams of each batch of texts."""
+    """Task: the different pairs of neighbouring beginnings of each batch of texts."""
 
     def run(batches):
         width = len(vocabulary.value) + 2
         for b in batches:
             data, offs = text_bytes(b.column("text"))
             for i, j in blocks(offs, CONTEXT_BYTES):
-                before, word, _ = bigrams_of(vocabulary.value, data[offs[i] : offs[j]], offs[i : j + 1] - offs[i])
+                before, word, _ = bigrams_of(vocabulary.value, data[offs[i] : offs[j]], offs[i : j + 1] - offs[i], beginnings)
                 yield pa.record_batch([pa.array(np.unique(before * width + word))], names=["pair"])
 
     return run
@@ -266,6 +276,7 @@ def fit(documents: DataFrame, labels: DataFrame, learn: Column, rows: int = SAMP
         return out
 
     contexts = margins(corpus.select("text").mapInArrow(see_contexts(known), "pair long").distinct(), word, c=F.lit(1))
+    contexts[:, 1:-1] = np.maximum(contexts[:, 1:-1], 1)  # words longer than a beginning
 
     def model(*sides: str):
         """Model from two columns of counts, one for each class."""
