@@ -199,7 +199,9 @@ def fit(documents: DataFrame, learn: Column, rows: int = LANGUAGE_ROWS, id_col:
         .withColumn("pieces", F.ceil(F.lit(PIECES_PER_ROW * rows) / F.count("*").over(of_language)).cast("int")).select("id", "lang", "th", "pieces")
     )
     # at most ``rows`` rows of four values for each language go to the tasks
-    known = text.join(F.broadcast(sample), ["id", "lang", "th"]).dropDuplicates(["id", "lang", "th"])
+    chosen = F.broadcast(sample.select(F.col("id").alias("i"), F.col("lang").alias("l"), F.col("th").alias("t"), "pieces"))
+    same = F.col("id").eqNullSafe(F.col("i")) & (F.col("lang") == F.col("l")) & (F.col("th") == F.col("t"))
+    known = text.join(chosen, same).dropDuplicates(["id", "lang", "th"])
     found = known.select("lang", "pieces", "text").mapInArrow(cut_pieces(), "lang string, piece binary").toArrow()
     if not found.num_rows:
         return None

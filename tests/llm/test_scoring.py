@@ -120,6 +120,12 @@ def test_language_of_awkward_rows(spark):
     assert op8_language_id(docs.limit(0)).collect() == []
 
 
+def test_rows_without_id_are_learned_from(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").limit(120).withColumn("doc_id", F.lit(None).cast("long"))
+    model = language_id.fit(docs, F.lit(True), rows=20)
+    assert model and len(model[1]) == docs.select("lang").where("lang is not null").distinct().count()
+
+
 def test_rare_language_is_learned(spark):
     words = {"en": "the of and house water which their would people".split(), "fi": "ja yksi talo vesi hyvää päivää kiitos että".split()}
     docs = [(k, lang, " ".join(words[lang][(k * 7 + j * (k % 5 + 1) + j // 3) % len(words[lang])] for j in range(600 if lang == "fi" else 60)))
