@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 import uuid
 
 import numpy as np
@@ -11,6 +12,7 @@ from pyspark.sql import functions as F
 
 U = np.uint64
 NO_ID = 2**63 - 1  # stands for a null id: such rows come last in any order
+LONG_WORD = 256  # bytes of a word that is hashed on its own
 BLOCK_BYTES = 1 << 18  # text handled at once by the numpy code, so that its arrays stay in the cache
 
 
@@ -55,6 +57,28 @@ class RangeHash:
         return mix((self.sums[end] - self.sums[start]) * self.down[start] + (end - start).astype(np.uint64))
 
 
+def word_codes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """Hash of each word: eight bytes after the other are mixed into it, so no arrangement of equal parts cancels out.
+
+    Words of more than LONG_WORD bytes are hashed one by one.
+    """
+    length = ends - starts
+    code = mix(length.astype(U))
+    padded = np.concatenate([data, np.zeros(8, np.uint8)])
+    eight = np.ndarray(len(data) + 1, "<u8", padded.data, strides=(1,))  # the eight bytes from each place on
+    left = np.nonzero((length > 0) & (length <= LONG_WORD))[0]
+    done = 0
+    while len(left):
+        inside = np.minimum(length[left] - done, 8)
+        value = eight[starts[left] + done] & (U(2**64 - 1) >> (U(64) - U(8) * inside.astype(U)))
+        code[left] = mix(code[left] ^ value)
+        done += 8
+        left = left[length[left] > done]
+    for k in np.nonzero(length > LONG_WORD)[0]:
+        code[k] = int.from_bytes(hashlib.blake2b(data[starts[k] : ends[k]].tobytes(), digest_size=8).digest(), "little")
+    return code
+
+
 def text_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """UTF-8 bytes of a text or binary column without copying, and the offsets of its rows; null is empty."""
     column = column.combine_chunks() if isinstance(column, pa.ChunkedArray) else column

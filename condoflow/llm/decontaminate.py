@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from condoflow.llm.common import BYTE_CODES, LOWER, RangeHash, blocks, staged, text_bytes, words_in
+from condoflow.llm.common import LOWER, blocks, staged, text_bytes, word_codes, words_in
 
 BLOCK = 16 << 20  # bytes of benchmark text that one pass over the documents looks for
 CANDIDATES = 1 << 20  # places compared at a time in a task
@@ -31,7 +31,7 @@ def coded(data: np.ndarray, offs: np.ndarray):
     """Hash and row of every lower-case word."""
     data = LOWER[data]
     starts, ends, row = words_in(data, offs, IS_ALNUM)
-    return (RangeHash(BYTE_CODES[data])(starts, ends) if len(starts) else np.zeros(0, np.uint64)), row
+    return word_codes(data, starts, ends), row
 
 
 class Windows:
@@ -169,7 +169,7 @@ def find_benchmark(
     spark = documents.sparkSession
     asked = benchmark.select(
         F.coalesce(F.col(f"`{item_col}`").cast("string"), F.lit("")).alias("item"), F.col(f"`{item_text_col}`").alias("text")
-    ).where("text is not null")
+    ).where("text is not null").distinct()
     size = asked.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     n_blocks = max(1, -(-2 * size // block_bytes)) if size > block_bytes else 1
     text = F.col(f"`{text_col}`")

@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from condoflow.llm.common import (
-    BYTE_CODES, LOWER, NO_ID, U, RangeHash, blocks, mix, rows_of, staged, text_bytes, words_in,
+    LOWER, NO_ID, U, RangeHash, blocks, mix, rows_of, staged, text_bytes, word_codes, words_in,
 )
 
 ROWS, BANDS = 5, 40  # a pair of similarity 0.75 shares no band with probability 0.00002
@@ -36,7 +36,7 @@ def shingle_sets(data: np.ndarray, offs: np.ndarray, words: int):
     starts, ends, row = words_in(data, offs)
     if not len(starts):
         return np.zeros(0, np.int64), np.zeros(0, np.uint64)
-    spell = RangeHash(RangeHash(BYTE_CODES[data])(starts, ends))
+    spell = RangeHash(word_codes(data, starts, ends))
     n = np.bincount(row, minlength=len(offs) - 1)
     first = np.cumsum(n) - n
     at = np.arange(len(row) - words + 1) if len(row) >= words else np.zeros(0, np.int64)

@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from condoflow.llm.common import (
-    BYTE_CODES, U, RangeHash, blocks, mix, rows_of, staged, text_bytes, union_runs, window_min, words_in,
+    U, RangeHash, blocks, mix, rows_of, staged, text_bytes, union_runs, window_min, word_codes, words_in,
 )
 
 ROUNDS = (1, 2)  # words a symbol may have to take part in the round
@@ -33,10 +33,6 @@ LOW32 = U(0xFFFFFFFF)
 SEGMENT = "key long, seg long, done boolean, d long, th long, pos long, n int"
 
 
-def word_codes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    return RangeHash(BYTE_CODES[data])(starts, ends) if len(starts) else np.zeros(0, np.uint64)
-
-
 def recompress(spell: RangeHash, row: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """First word, word count and name of every symbol after the rounds; ``row`` has the document of each word."""
     n = len(row)

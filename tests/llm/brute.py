@@ -117,3 +117,9 @@ def op10(rows, items, width=10):
         sha = hashlib.sha256(",".join(sorted(found)).encode()).hexdigest()
         out.append((i, len(w), sum(hit), len(found), sha, any(hit)))
     return out
+
+
+def thue_morse(n, letters="ab"):
+    """Two different words of n letters that a polynomial modulo a power of two takes for one."""
+    bits = [bin(k).count("1") % 2 for k in range(n)]
+    return "".join(letters[b] for b in bits), "".join(letters[1 - b] for b in bits)

@@ -43,3 +43,12 @@ def test_table_against_brute_force(spark, rows):
     out = rows(op10_decontaminate(docs, items))
     assert out == sorted(brute.op10(given, [tuple(r) for r in items.collect()]), key=repr)
     assert any(r[-1] for r in out)
+
+
+def test_different_long_words_are_no_hit(spark, rows):
+    one, other = brute.thue_morse(2048)
+    rest = " ".join(f"w{k}" for k in range(9))
+    docs = [(1, f"{one} {rest}"), (2, f"{other} {rest}")]
+    items = [(7, f"{one} {rest}")] * 3
+    out = op10_decontaminate(spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string"))
+    assert {r.doc_id: (r.n_hit, r.n_items) for r in out.collect()} == {1: (10, 1), 2: (0, 0)}

@@ -32,3 +32,11 @@ def test_chains_of_edits(spark, rows):
                 words[random.randrange(len(words))] = f"q{random.randrange(10**6)}"
     out = op5_minhash_dedup(spark.createDataFrame(data, "doc_id long, text string").repartition(4))
     assert rows(out) == sorted(brute.op5(data), key=repr)
+
+
+def test_different_long_words_link_nothing(spark):
+    one, other = brute.thue_morse(2048)
+    rest = " ".join(f"w{k}" for k in range(4))
+    docs = [(1, f"{one} {rest}"), (2, f"{other} {rest}"), (3, f"{one} {rest}")]
+    out = op5_minhash_dedup(spark.createDataFrame(docs, "doc_id long, text string")).collect()
+    assert {r.doc_id: r.component_id for r in out} == {1: 1, 2: 2, 3: 1}

@@ -1,6 +1,6 @@
 import numpy as np
 
-from condoflow.llm.common import RangeHash
+from condoflow.llm.common import RangeHash, word_codes
 from condoflow.llm.recompression import op4_substring_dedup, recompress
 from tests.llm import brute
 
@@ -38,3 +38,22 @@ def test_runs_and_periods(spark, rows):
     data = [(1, "a " * 90), (2, "b a b a " * 30), (3, "x " + "a " * 25), (4, "a b " * 12 + "z"), (5, "a a b " * 20), (6, "c a a b " * 14)]
     out = op4_substring_dedup(spark.createDataFrame(data, "doc_id long, text string").repartition(4))
     assert rows(out) == sorted(brute.op4(data), key=repr)
+
+
+def test_different_long_words_are_no_repeat(spark):
+    one, other = brute.thue_morse(1024)
+    rest = " ".join(f"w{k}" for k in range(19))
+    docs = [(1, f"{one} {rest}"), (2, f"{other} {rest}"), (3, f"{one} {rest}")]
+    out = op4_substring_dedup(spark.createDataFrame(docs, "doc_id long, text string")).collect()
+    assert {r.doc_id: r.n_removed for r in out} == {1: 0, 2: 0, 3: 20}
+
+
+def test_word_codes_tell_words_by_their_bytes():
+    words = [b"a" * n for n in (1, 7, 8, 9, 16, 17, 255, 256, 257, 5000)] + [b"a\x00", b"a\x00\x00", b"\x00", b"b" * 8, b"a" * 8 + b"b", b"a" * 7 + b"b"]
+    words += [w.encode() for n in (1024, 2048) for w in brute.thue_morse(n)]
+    data = np.frombuffer(b"xyz".join(words + words), np.uint8)
+    size = np.array([len(w) for w in words + words])
+    starts = np.cumsum(size + 3) - size - 3
+    code = word_codes(data, starts, starts + size)
+    assert (code[: len(words)] == code[len(words) :]).all() and len(set(code.tolist())) == len(words)
+    assert len(word_codes(data[:0], starts[:0], starts[:0])) == 0
