@@ -168,16 +168,36 @@ def income_by_source(
 ) -> DataFrame:
     """Report 3: payments split by the weight of ordinary, extraordinary and interest parts of their line, by month of payment.
 
-    Payments are summed per line before they meet it.  ``paid_by_source`` does without the join where whole lines are asked for.
+    Payments are summed per line before they meet it, so that each line is rounded once; ``payments_by_source`` splits every
+    payment, and ``paid_by_source`` does without the join where whole lines are asked for.
     """
-    applied = applied.filter(dates.in_range(F.col("fecha"), since, until, as_of))
-    if building_id is not None:
-        applied = applied.filter(F.col("consorcio_id") == building_id)
-        lines = lines.filter(F.col("consorcio_id") == building_id)
+    applied, lines = _wanted(applied, lines, building_id, since, until, as_of)
     paid = applied.groupBy("uf_id", "periodo", dates.period_of(F.col("fecha")).alias("_mes")).agg(F.sum("importe_cents").alias("_paid"))
     return _by_source(paid.join(lines.select("uf_id", "periodo", "ord_cents", "ext_cents", "mora_cents"), ["uf_id", "periodo"]))
 
 
+def payments_by_source(
+    applied: DataFrame,
+    lines: DataFrame,
+    building_id: int | None = None,
+    since: dt.date | None = None,
+    until: dt.date | None = None,
+    as_of: dt.date | None = None,
+) -> DataFrame:
+    """Report 3 as the reference has it: every single payment is split by the weights of its line, by month of payment."""
+    applied, lines = _wanted(applied, lines, building_id, since, until, as_of)
+    paid = applied.select("uf_id", "periodo", dates.period_of(F.col("fecha")).alias("_mes"), F.col("importe_cents").alias("_paid"))
+    return _by_source(paid.join(lines.select("uf_id", "periodo", "ord_cents", "ext_cents", "mora_cents"), ["uf_id", "periodo"]))
+
+
+def _wanted(applied: DataFrame, lines: DataFrame, building_id: int | None, since: dt.date | None, until: dt.date | None, as_of: dt.date | None):
+    """Payments of the range of dates and lines, of one building if it is given."""
+    applied = applied.filter(dates.in_range(F.col("fecha"), since, until, as_of))
+    if building_id is not None:
+        applied, lines = (rows.filter(F.col("consorcio_id") == building_id) for rows in (applied, lines))
+    return applied, lines
+
+
 def paid_by_source(lines: DataFrame, building_id: int | None = None) -> DataFrame:
     """Report 3 over all payments, from what the lines have received: all of it in the month after their period."""
     if building_id is not None:
@@ -187,7 +207,7 @@ def paid_by_source(lines: DataFrame, building_id: int | None = None) -> DataFram
 
 
 def _by_source(paid: DataFrame) -> DataFrame:
-    """What was paid toward each line (``_paid`` in ``_mes``), split in millionths, so that sums do not depend on their order.
+    """What was paid toward each line (``_paid`` in ``_mes``), by line or by payment, split in millionths, so that sums do not depend on their order.
 
     The sums are DECIMAL: millionths of many amounts leave the range of BIGINT.
     """

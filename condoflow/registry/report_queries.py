@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 
-from ..plans import reports, statements as st
+from ..plans import reports
 from ..sources import xml
 from .base import numbers_as_text, query, rounded, text_of
 from .star import AS_OF, RANGE, Star
@@ -50,7 +50,7 @@ def r2_dept_month_pivot(star: Star) -> DataFrame:
 
 
 def _part(weight: str) -> str:
-    """SQL of the part of what a line received, in millionths; only the weight of late interest can be negative."""
+    """SQL of a payment's part in millionths; only the weight of late interest can be negative."""
     return (
         f"(CASE WHEN w > 0 THEN sign({weight}) * ((2 * importe_cents::HUGEINT * abs({weight}) * 10000 + w) // (2 * w)) "
         "ELSE 0 END)"
@@ -70,14 +70,13 @@ _SUMS = ", ".join(
 
 @query("r3_income_by_source", f""",
 peso AS (
-  SELECT strftime(MIN(fecha), '%Y-%m') AS periodo, SUM(importe_cents) AS importe_cents, ord_cents, ext_cents, mora_cents,
+  SELECT strftime(fecha, '%Y-%m') AS periodo, importe_cents, ord_cents, ext_cents, mora_cents,
          (ord_cents + ext_cents + mora_cents)::HUGEINT AS w
-  FROM aplicado a JOIN detalle d ON d.uf_id = a.uf_id AND d.periodo = a.periodo
-  GROUP BY a.uf_id, a.periodo, ord_cents, ext_cents, mora_cents)
+  FROM aplicado a JOIN detalle d ON d.uf_id = a.uf_id AND d.periodo = a.periodo)
 SELECT periodo AS "Periodo", {_SUMS} FROM peso GROUP BY periodo
 """)
 def r3_income_by_source(star: Star) -> DataFrame:
-    return reports.paid_by_source(st.ledger_lines(star.ledgers(), RANGE, paid_only=True))
+    return reports.payments_by_source(star.applied(), star.paid_lines(), as_of=AS_OF)
 
 
 @query("r4_top_months", """,
