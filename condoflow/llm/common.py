@@ -158,11 +158,28 @@ def shared_dir(spark: SparkSession) -> str:
     return (folder or spark.conf.get("spark.sql.warehouse.dir")).rstrip("/")
 
 
-def staged(df: DataFrame) -> DataFrame:
-    """The frame written once to the shared folder and read again: its lineage ends there, so a lost executor costs a read."""
-    path = f"{shared_dir(df.sparkSession)}/llm-{uuid.uuid4().hex}"
-    df.write.option("compression", "zstd").parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+FREED = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+def staged(df: DataFrame, free: bool = False) -> DataFrame:
+    """The frame written once to the shared folder and read again: its lineage ends there, so a lost executor costs a read.
+
+    With ``free`` the shuffle files behind it are deleted as soon as it is written, instead of some time after the driver has
+    dropped them, so that they do not lie beside those of the steps that follow.
+    """
+    spark = df.sparkSession
+    path = f"{shared_dir(spark)}/llm-{uuid.uuid4().hex}"
+    was = spark.conf.get(FREED, None)
+    try:
+        if free:
+            spark.conf.set(FREED, "true")
+        df.write.option("compression", "zstd").parquet(path)
+    finally:
+        if free and was is None:
+            spark.conf.unset(FREED)
+        elif free:
+            spark.conf.set(FREED, was)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

@@ -219,7 +219,7 @@ def remove_later_copies(documents: DataFrame, window: int = 20, id_col: str = "d
         F.collect_set(F.struct("pos", "n", "covered")).alias("marks"))
     mine = (F.col("d") == F.col("md")) & F.col("th").eqNullSafe(F.col("mth"))
     joined = rows.join(marks, mine, "left").select("doc", "d", "th", F.col("text").cast("binary").alias("text"), "marks")
-    work = staged(joined.mapInArrow(first_pass(window), WORK))
+    work = staged(joined.mapInArrow(first_pass(window), WORK), free=True)
     pending = work.where("text is not null")
     hits = (
         pending.select("d", "th", F.explode("wins").alias("w")).select("d", "th", "w.a", "w.b", "w.pos")

@@ -1,7 +1,11 @@
+import glob
+import os
+import tempfile
+
 import numpy as np
 
-from condoflow.llm.common import RangeHash, word_codes
-from condoflow.llm.recompression import op4_substring_dedup, recompress
+from condoflow.llm.common import FREED, RangeHash, word_codes
+from condoflow.llm.recompression import op4_substring_dedup, recompress, remove_later_copies
 from tests.llm import brute
 
 
@@ -57,3 +61,17 @@ def test_word_codes_tell_words_by_their_bytes():
     code = word_codes(data, starts, starts + size)
     assert (code[: len(words)] == code[len(words) :]).all() and len(set(code.tolist())) == len(words)
     assert len(word_codes(data[:0], starts[:0], starts[:0])) == 0
+
+
+def test_shuffle_files_of_the_first_pass_are_gone_when_it_is_staged(spark):
+    """They used to lie on disk beside those of the second pass."""
+    root = spark.sparkContext.getConf().get("spark.local.dir", tempfile.gettempdir())
+
+    def files():
+        return {f for f in glob.glob(f"{root}/blockmgr-*/*/shuffle_*.data") if os.path.getsize(f)}
+
+    before, was = files(), spark.conf.get(FREED, None)
+    frame = spark.createDataFrame([(k, " ".join(f"w{(k * 7 + j) % 90}" for j in range(60))) for k in range(40)], "doc_id long, text string")
+    out = remove_later_copies(frame.repartition(3))
+    assert files() <= before and spark.conf.get(FREED, None) == was
+    assert out.count() == 40
