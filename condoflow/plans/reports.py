@@ -177,24 +177,29 @@ def income_by_source(
 
 
 def payments_by_source(
-    applied: DataFrame,
+    payments: DataFrame,
     lines: DataFrame,
     building_id: int | None = None,
     since: dt.date | None = None,
     until: dt.date | None = None,
     as_of: dt.date | None = None,
+    unit: str = "uf_id",
 ) -> DataFrame:
-    """Report 3 as the reference has it: every single payment is split by the weights of its line, by month of payment."""
-    applied, lines = _wanted(applied, lines, building_id, since, until, as_of)
-    paid = applied.select("uf_id", "periodo", dates.period_of(F.col("fecha")).alias("_mes"), F.col("importe_cents").alias("_paid"))
-    return _by_source(paid.join(lines.select("uf_id", "periodo", "ord_cents", "ext_cents", "mora_cents"), ["uf_id", "periodo"]))
+    """Report 3 as the reference has it: every single payment is split by the weights of its line, by month of payment.
+
+    ``payments`` have ``unit`` and the ``periodo`` they settle: applied payments, or with ``cvu`` as ``unit`` payments that meet the
+    lines carrying it by account, once for each line.
+    """
+    payments, lines = _wanted(payments, lines, building_id, since, until, as_of)
+    paid = payments.select(unit, "periodo", dates.period_of(F.col("fecha")).alias("_mes"), F.col("importe_cents").alias("_paid"))
+    return _by_source(paid.join(lines.select(unit, "periodo", "ord_cents", "ext_cents", "mora_cents"), [unit, "periodo"]))
 
 
 def _wanted(applied: DataFrame, lines: DataFrame, building_id: int | None, since: dt.date | None, until: dt.date | None, as_of: dt.date | None):
     """Payments of the range of dates and lines, of one building if it is given."""
     applied = applied.filter(dates.in_range(F.col("fecha"), since, until, as_of))
     if building_id is not None:
-        applied, lines = (rows.filter(F.col("consorcio_id") == building_id) for rows in (applied, lines))
+        lines = lines.filter(F.col("consorcio_id") == building_id)
     return applied, lines
 
 

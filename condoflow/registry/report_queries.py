@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, functions as F
 
-from ..plans import reports
+from ..functions import dates
+from ..plans import reports, statements as st
 from ..sources import xml
 from .base import numbers_as_text, query, rounded, text_of
 from .star import AS_OF, RANGE, Star
@@ -76,7 +77,9 @@ peso AS (
 SELECT periodo AS "Periodo", {_SUMS} FROM peso GROUP BY periodo
 """)
 def r3_income_by_source(star: Star) -> DataFrame:
-    return reports.payments_by_source(star.applied(), star.paid_lines(), as_of=AS_OF)
+    settled = dates.shift_period(dates.period_of(F.col("fecha")), -1)
+    lines = st.ledger_lines(star.ledgers(), RANGE, carry=("cvu",), paid_only=True)
+    return reports.payments_by_source(star.payments().withColumn("periodo", settled), lines, as_of=AS_OF, unit="cvu")
 
 
 @query("r4_top_months", """,

@@ -39,3 +39,10 @@ def test_rounding_is_that_of_the_payments(spark):
     assert (r.Ordinario, r.Extraordinario, r.Total) == (Decimal("0.013332"), Decimal("0.026668"), Decimal("0.040000"))
     assert reports.payments_by_source(applied, lines, since=dt.date(2025, 2, 2), until=dt.date(2025, 2, 3)).first().Total == Decimal("0.020000")
     assert reports.payments_by_source(applied, lines, building_id=2, as_of=dt.date(2030, 1, 1)).count() == 0
+
+
+def test_a_repeated_unit_row_has_its_lines_twice_but_no_payment_more_often(spark):
+    payments = spark.createDataFrame([(k, "7", dt.date(2025, 1, 1), dt.date(2025, 2, 1), 100) for k in range(2)], "id_pago long, cvu string, periodo date, fecha date, importe_cents long")
+    lines = spark.createDataFrame([("7", 1, dt.date(2025, 1, 1), 1, 3, 0)] * 2, "cvu string, consorcio_id long, periodo date, ord_cents long, ext_cents long, mora_cents long")
+    (r,) = reports.payments_by_source(payments, lines, building_id=1, as_of=dt.date(2030, 1, 1), unit="cvu").collect()
+    assert (r.Ordinario, r.Total) == (Decimal("1"), Decimal("4"))
