@@ -10,8 +10,10 @@ period, a statement line by its unit and period.
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Callable
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..functions import dates, money
@@ -306,12 +308,11 @@ def unit_ledgers(
     """One row per unit with the months of the range as arrays: what is charged and paid, and the debt carried into each.
 
     A month's debt is the previous line's total less what was paid toward it.  The interest on positive debt makes that
-    a true recurrence, so it is folded over the unit's months: arrays of fixed length, built from monthly sums.  ``_debts`` has
+    a true recurrence, so it is folded over the unit's months, see ``carried_debts``.  ``_debts`` has
     one element more than there are months, what the last line leaves unpaid.  ``opening_debt`` (uf_id, deuda_cents) carries on from
     an earlier run.  ``carry`` names unit columns to keep, to be joined once per unit instead of once per line.
     """
     zero = F.lit(0).cast("bigint")
-    months = F.sequence(F.lit(0), F.lit(period_range.months - 1))
     num, den = share_of_units(units)
     accounts = units.select("uf_id", "consorcio_id", "cvu", num.alias("_num"), den.alias("_den"), *carry)
     if opening_debt is not None:
@@ -328,40 +329,65 @@ def unit_ledgers(
 
     inputs = spread_join(paying, _costs_per_building(costs, period_range), ["consorcio_id"], ["uf_id"], "left")
 
-    num, den = F.col("_num"), F.col("_den")
-
-    def step(state: Column, i: Column) -> Column:
-        def line(v: Column) -> Column:
-            part, rest = money.exact_part(v["all"], num, den, v["product"])
-            return F.struct(part.alias("part"), rest.alias("rest"), v["debt"].alias("debt"), v["owed"].alias("owed"), v["paid"].alias("paid"))
-
-        def exact(v: Column) -> Column:
-            whole, over = _exact_total(v["part"], v["rest"], den, v["debt"], v["owed"])
-            return F.struct(whole.alias("whole"), over.alias("over"), v["paid"].alias("paid"))
-
-        def left(v: Column) -> Column:
-            return money.rounded_sum(v["whole"], v["over"], den * PER_RATE) - v["paid"]
-
-        charged = F.coalesce(F.get("costs", i).all_cents, zero)
-        given = F.struct(
-            charged.alias("all"), F.try_multiply(charged, num).alias("product"), state.debt.alias("debt"),
-            F.greatest(state.debt, zero).alias("owed"), F.coalesce(F.try_element_at("paid", i).total_cents, zero).alias("paid"),
-        )
-        # Functions over arrays are not compiled: what is used more than once is bound to a name instead of computed again.
-        return F.struct(
-            F.concat(state.debts, F.array(state.debt)).alias("debts"), _bound(_bound(_bound(given, line), exact), left).alias("debt")
-        )
-
-    start = F.struct(
-        F.array().cast("array<bigint>").alias("debts"), F.coalesce("_opening", zero).alias("debt")
+    debts = carried_debts(period_range.months)(
+        F.col("costs.all_cents"), F.map_keys("paid"), F.map_values("paid").getField("total_cents"),
+        F.col("_num"), F.col("_den"), F.coalesce("_opening", zero),
     )
-    debts = F.aggregate(months, start, step, lambda state: F.concat(state.debts, F.array(state.debt)))
     return inputs.select("uf_id", "consorcio_id", "cvu", *carry, "_num", "_den", "costs", "paid", debts.alias("_debts"))
 
 
-def _bound(value: Column, use: Callable[[Column], Column]) -> Column:
-    """``use(value)`` with ``value`` computed once."""
-    return F.get(F.transform(F.array(value), use), F.lit(0))
+def carried_debts(months: int):
+    """Function of a unit's charges by month, the months it paid in, what it paid in them, its share (numerator, denominator) and its
+    opening debt: the debt carried into each month and, last, what the last one leaves unpaid.
+
+    A month leaves the debt, the exact share of the charge and one part in PER_RATE of a positive debt, rounded once, halves away
+    from zero, less what was paid.  Units of an Arrow batch go through a month together.  What leaves the range of BIGINT fails.
+    """
+    per_rate, limit = PER_RATE, 9.2e18
+
+    @F.arrow_udf("array<bigint>")
+    def fold(charged: pa.Array, paid_in: pa.Array, paid: pa.Array, num: pa.Array, den: pa.Array, opening: pa.Array) -> pa.Array:
+        n = len(den)
+
+        def by_month(lists, at=None):
+            """Months by units: elements of the lists at their place, or at the month that ``at`` has in that place; else 0."""
+            count = pc.fill_null(pc.list_value_length(lists), 0).to_numpy(zero_copy_only=False).astype(np.int64)
+            row = np.repeat(np.arange(n), count)
+            place = np.arange(len(row)) - np.repeat(np.cumsum(count) - count, count) if at is None else pc.list_flatten(at).to_numpy(zero_copy_only=False).astype(np.int64)
+            table = np.zeros((months, n), np.int64)
+            inside = (place >= 0) & (place < months)
+            table[place[inside], row[inside]] = pc.fill_null(pc.list_flatten(lists), 0).to_numpy(zero_copy_only=False)[inside]
+            return table
+
+        def held(*terms):
+            """Fails where the sum of the terms, products given as pairs, may leave the range of BIGINT."""
+            size = sum(np.abs(t[0].astype(float)) * np.abs(np.asarray(t[1], float)) if isinstance(t, tuple) else np.abs(t.astype(float)) for t in terms)
+            if size.size and size.max() >= limit:
+                raise ArithmeticError("ARITHMETIC_OVERFLOW: a debt leaves the range of BIGINT")
+
+        charge, received = by_month(charged), by_month(paid, paid_in)
+        num, den, debt = (x.to_numpy(zero_copy_only=False).astype(np.int64) for x in (num, den, opening))
+        if (den <= 0).any():
+            raise ArithmeticError("DIVIDE_BY_ZERO: a share's denominator is not positive")
+        left, times = charge % den, charge // den
+        held((left, num))
+        held((times, num), (left, num))
+        part, rest = times * num + left * num // den, left * num % den
+        held((den, 2 * 2 * per_rate))
+        whole_den = den * per_rate
+        debts = np.empty((n, months + 1), np.int64)
+        for i in range(months):
+            debts[:, i] = debt
+            owed = np.maximum(debt, 0)
+            held(debt, part[i], owed, received[i])
+            over = rest[i] * per_rate + owed % per_rate * den
+            floor = debt + part[i] + owed // per_rate + over // whole_den
+            twice = over % whole_den * 2
+            debt = floor + np.where(floor >= 0, twice >= whole_den, twice > whole_den) - received[i]
+        debts[:, months] = debt
+        return pa.ListArray.from_arrays(np.arange(n + 1, dtype=np.int32) * np.int32(months + 1), debts.reshape(-1))
+
+    return fold
 
 
 def _charged(i: Column) -> tuple[Column, Column]:

@@ -304,5 +304,5 @@ FROM detalle d JOIN unidad_base u USING (uf_id) JOIN persona p USING (cvu) JOIN
 """)
 def notification_payload(star: Star) -> DataFrame:
     units = notifications.with_contacts(star.units(), star.building_names(), star.persons())
-    lines = st.statement_detail(units, star.costs(), star.payments(), RANGE, carry=notifications.CONTACT)
-    return notifications.payloads(notifications.recipients(lines), SENDER)
+    units = notifications.letters(units, SENDER)
+    return notifications.payloads(st.statement_detail(units, star.costs(), star.payments(), RANGE, carry=notifications.LETTER), SENDER)
