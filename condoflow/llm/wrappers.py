@@ -3,7 +3,10 @@
 A page becomes a stream of block tags and text slots.  Repeats inside a page fold into ``+`` groups, which leaves few different
 streams per host.  These are counted by Spark and then aligned one after the other: equal parts stay, a part that only one side
 has becomes an optional group, and a part that differs only in how often it repeats becomes a repeated group.  The result is the
-host's wrapper.  Whether it has text slots in an article decides where the main text of the host's pages stands.  Outside articles
+host's wrapper.  Its slots say which blocks of the host's pages are main text, and nothing outside them is taken: whether there are
+slots in articles decides where the text stands, and its groups tell the replies to an article from its parts.  An article inside
+another that stands in a repeated group is a reply, a reader's comment or a teaser, if the outer one has text of its own; also on
+pages that have a single one, or whose others differ.  Outside articles
 Spark counts for each slot on how many different pages the same text stands in it: text that stays the same on most of them is
 part of the host's wrapper, not of the page, and falls.  Elements and class names that tell menus, notices and the like apart say
 the rest.
@@ -12,7 +15,7 @@ Defined results: null html is empty and has no text; a url without a host, or a
 end with their parent; a tag that never ends is text; pages without an article element use their body; where repeated text is more
 than half of a page, the page is a copy of others and keeps it; equal rows count once for repeated text and give equal rows; extra
 columns are ignored; an empty table gives none.  The work on a page grows with its length alone, up to the alignment of its
-folded stream.
+folded stream; articles are told apart by where the outermost one inside another stands.
 """
 
 from __future__ import annotations
@@ -42,6 +45,7 @@ INLINE = set(
     "strong sub sup time tt u var wbr".split())
 ASIDE = set("nav header footer aside form head menu button".split()) | RAW
 ARTICLE = set("article main".split())
+HEADINGS = set("h1 h2 h3 h4 h5 h6 hgroup".split())
 UNNAMED = ARTICLE | {"html", "body"}  # elements whose class does not tell what they are
 ENDS_AT = {"p": {"p"}, "li": {"li", "p"}, "dt": {"dt", "dd", "p"}, "dd": {"dt", "dd", "p"}, "tr": {"tr", "td", "th", "p"},
            "td": {"td", "th", "p"}, "th": {"td", "th", "p"}, "option": {"option"}}
@@ -100,16 +104,25 @@ def tokens(page: str):
             at = stop.start() if stop else len(page)
 
 
+SLOT = "#"  # token of a text slot; those not aside also say in what they stand
+
+
 class Place:
-    """An open element: its label, a key of all labels down to it, and whether it lies in an article or in something aside."""
+    """An open element: its label, a key of all labels down to it, whether it lies in an article or in something aside, and the
+    token of its text slots: ``#`` aside, ``#:p`` outside articles, ``#a:p`` in one, ``#<key>:p`` in an article inside another."""
 
-    __slots__ = ("label", "key", "article", "aside", "inner")
+    __slots__ = ("label", "key", "article", "aside", "inner", "nested", "slot")
 
     def __init__(self, label: str = "", above: Place | None = None):
         self.label, self.inner = label, {}
         self.key = digest(f"{above.key}<{label}") if above else 0
         self.article = bool(above) and (above.article or label in ARTICLE)
         self.aside = bool(above) and (above.aside or label.endswith("!") or label in ASIDE)
+        # the outermost article inside an article, if any: its key, and -1 below a single article
+        self.nested = above.nested if above else 0
+        if label == "article":
+            self.nested = {0: -1, -1: self.key}.get(self.nested, self.nested)
+        self.slot = SLOT if self.aside else f"{SLOT}{f'{self.nested}' if self.nested not in (0, -1) else 'a' if self.article else ''}:{label}"
 
     def below(self, label: str) -> Place:
         if label not in self.inner:
@@ -160,10 +173,10 @@ def walk(stream):
 def skeleton(page: str) -> list:
     """Block tags and text slots of a page, repeats folded."""
     out: list = []
-    for event, _, value in walk(tokens(page)):
+    for event, where, value in walk(tokens(page)):
         if event == "slot":
-            if value.strip() and (not out or out[-1] != "#"):
-                out.append("#")
+            if value.strip() and (not out or out[-1] != where.slot):
+                out.append(where.slot)
         elif event == "open":
             out.append(f"<{value}>")
         elif event == "close":
@@ -245,20 +258,37 @@ def merge_wrappers(column: str, branch: int):
     return run
 
 
-def has_article(wrapper: list) -> bool:
-    """Whether some text slot of a wrapper lies in an article and in nothing aside."""
-    path = [Place()]
-    for item in bare(wrapper):
-        if item == "#":
-            if path[-1].article and not path[-1].aside:
-                return True
-        elif item.startswith("</"):
-            labels = [p.label for p in path]
-            if item[2:-1] in labels:
-                del path[len(labels) - 1 - labels[::-1].index(item[2:-1]) :]
-        else:
-            path.append(path[-1].below(item[1:-1]))
-    return False
+def has_article(slots) -> bool:
+    """Whether some of the slots lies in an article and in nothing aside."""
+    return any(not slot.startswith(f"{SLOT}:") for slot in slots)
+
+
+def replies(wrapper: list) -> set[str]:
+    """Keys of the articles inside others that a repeated group holds whole."""
+    found: set[str] = set()
+
+    def search(items: list) -> None:
+        for item in items:
+            if is_group(item, "+"):
+                depth = 0
+                for token in bare(item[1]):
+                    depth = depth + 1 if token == "<article>" else max(0, depth - 1) if token == "</article>" else depth
+                    if depth and token[0] == SLOT and token[1:2] not in ("", ":", "a"):
+                        found.add(token.split(":")[0][1:])
+            if isinstance(item, list):
+                search(item[1])
+
+    search(wrapper)
+    return found
+
+
+def main_slots(wrapper: list) -> frozenset[str]:
+    """The slots of a host's wrapper whose text is not aside: all but those of replies, where the article has text beside them."""
+    slots = {token for token in bare(wrapper) if token[0] == SLOT and token != SLOT}
+    if any(slot.startswith(f"{SLOT}a:") and slot[3:] not in HEADINGS for slot in slots):
+        dropped = replies(wrapper)
+        slots = {slot for slot in slots if slot.split(":")[0][1:] not in dropped}
+    return frozenset(slots)
 
 
 def text_blocks(page: str) -> tuple[list, bool]:
@@ -284,9 +314,14 @@ def text_blocks(page: str) -> tuple[list, bool]:
     return found, article
 
 
-def main_text(page: str, in_articles: bool, fixed) -> str:
-    """Blocks of a page's articles if the wrapper has slots in articles, else all but those whose text is ``fixed`` for their slot."""
+def main_text(page: str, in_articles: bool, fixed, slots=None) -> str:
+    """Blocks of a page's articles if the wrapper has slots in articles, else all but those whose text is ``fixed`` for their slot.
+
+    With ``slots`` only blocks in these slots of the wrapper count.
+    """
     found, article = text_blocks(page)
+    if slots is not None:
+        found = [(place, text) for place, text in found if place.slot in slots]
     if in_articles and article:
         return "\n".join(text for place, text in found if place.article)
     own = [text for place, text in found if place.article or digest(f"{place.key}#{text}") not in fixed]
@@ -328,7 +363,8 @@ def extract():
                 if host not in plans:
                     if len(plans) > 1000:
                         plans.clear()
-                    plans[host] = has_article(json.loads(b.column("wrapper")[k].as_py())), frozenset(b.column("fixed")[k].as_py() or ())
+                    slots = main_slots(json.loads(b.column("wrapper")[k].as_py()))
+                    plans[host] = has_article(slots), frozenset(b.column("fixed")[k].as_py() or ()), slots
                 out.append(main_text(page or "", *plans[host]))
             rest = [c for c in b.schema.names if c not in ("html", "wrapper", "host", "fixed")]
             yield pa.record_batch([*(b.column(c) for c in rest), pa.array(out, pa.string())], names=[*rest, "text"])

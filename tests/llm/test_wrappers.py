@@ -90,3 +90,31 @@ def test_work_grows_with_the_length_of_a_page():
         start = time.perf_counter()
         main_text(unit * (2_000_000 // len(unit)), False, frozenset())
         assert time.perf_counter() - start < 20, unit
+
+
+def test_the_wrapper_decides_which_slots_are_main_text(spark):
+    """Articles inside an article are replies where the host's wrapper repeats them, also on a page with one of them."""
+    def page(replies, part=""):
+        return f"<body><article><h1>T</h1><p>Own text.</p>{part}<section>{''.join(f'<article><p>{r}</p></article>' for r in replies)}</section></article>"
+
+    rows = [(1, "http://a.example/1", page(["one reply"])), (2, "http://a.example/2", page(["first", "second"], "<div><article><p>Box</p></article></div>")),
+            (3, "http://b.example/1", page(["a part"])), (4, "http://b.example/2", page([])),
+            (5, "http://c.example/1", "<main><article><p>one</p></article><article><p>two</p></article></main>"),
+            (6, "http://d.example/1", "<article><h1>Parts</h1><article><p>one</p></article><article><p>two</p></article></article>"),
+            (7, "http://e.example/1", "<body><article></article><p>x</p>"), (8, "http://e.example/2", "<body><article><p>y</p></article><p>x</p>")]
+    frame = spark.createDataFrame(rows, "page_id long, url string, html string").repartition(3)
+    out = {r.page_id: r.text for r in op3_html_extraction(frame).collect()}
+    assert out == {1: "T\nOwn text.", 2: "T\nOwn text.\nBox", 3: "T\nOwn text.\na part", 4: "T\nOwn text.", 5: "one\ntwo", 6: "Parts\none\ntwo", 7: "", 8: "y"}
+
+
+def test_every_block_has_its_slot_in_the_wrapper_and_without_wrapper_there_is_no_text(spark):
+    pages = [(r.html, wrappers.skeleton(r.html)) for r in spark.read.parquet("/root/testdata/sf0.001/pages.parquet").limit(20).collect()]
+    pages += [(p, wrappers.skeleton(p)) for p in ("<body><div>a<p>b</div>c<br>d", "<section>e<b>f</b></section>", "<p> &nbsp; <i>g</i><table><tr><td>h")]
+    wrapper = []
+    for _, other in pages:
+        wrapper = align(wrapper, other)
+    slots = wrappers.main_slots(wrapper)
+    for page, _ in pages:
+        assert {place.slot for place, _ in wrappers.text_blocks(page)[0]} <= slots
+        assert main_text(page, "<article" in page, frozenset(), slots) == main_text(page, "<article" in page, frozenset())
+        assert main_text(page, "<article" in page, frozenset(), wrappers.main_slots([])) == ""
