@@ -38,27 +38,42 @@ def start_weights(n_languages: int) -> dict[str, np.ndarray]:
     return w
 
 
-def sigmoid(x: np.ndarray) -> np.ndarray:
-    return np.tanh(x * np.float32(0.5)) * np.float32(0.5) + np.float32(0.5)
-
-
 def read(x: np.ndarray, u: np.ndarray, steps: np.ndarray, keep: list | None = None) -> np.ndarray:
     """States after each step of one direction; ``steps`` holds the bytes, one row per step.
 
-    Gates: update z, reset r, and candidate n = tanh(x + r * (u h)).
+    Gates: update z, reset r, and candidate n = tanh(x + r * (u h)).  Each gate lies in one stretch of memory, which numpy needs to be fast,
+    and the sigmoids of z and r are made of tanh(x / 2), whose half is taken from the weights beforehand, without rounding.
     """
-    h = HIDDEN
-    state = np.zeros((steps.shape[1], h), np.float32)
-    states = np.empty((*steps.shape, h), np.float32)
+    h, n_pieces = HIDDEN, steps.shape[1]
+    half = np.repeat(np.array([0.5, 0.5, 1], x.dtype), h)
+    x = np.ascontiguousarray((x * half).reshape(-1, 3, h).swapaxes(0, 1))
+    u = u * half
+    by_gate = np.arange(3 * n_pieces).reshape(n_pieces, 3).T
+    product = np.empty((n_pieces, 3 * h), x.dtype)
+    rows = product.reshape(-1, h)
+    given, own = np.empty((2, 3, n_pieces, h), x.dtype)
+    state = np.zeros((n_pieces, h), x.dtype)
+    states = np.empty((*steps.shape, h), x.dtype)
     for t, byte in enumerate(steps):
-        given, own = x[byte], state @ u
-        gates = sigmoid(given[:, : 2 * h] + own[:, : 2 * h])
-        z, r = gates[:, :h], gates[:, h:]
-        n = np.tanh(given[:, 2 * h :] + r * own[:, 2 * h :])
         if keep is not None:
-            keep.append((state, z, r, n, own[:, 2 * h :]))
-        state = n + z * (state - n)
-        states[t] = state
+            given, own = np.empty((2, 3, n_pieces, h), x.dtype)
+        np.matmul(state, u, out=product)
+        # no index is out of range; in any other mode numpy makes a copy first
+        x.take(byte, axis=1, out=given, mode="clip")
+        rows.take(by_gate, axis=0, out=own, mode="clip")
+        gates, n = given[:2], given[2]
+        gates += own[:2]
+        np.tanh(gates, out=gates)
+        gates *= 0.5
+        gates += 0.5
+        z, r = gates
+        n += r * own[2]
+        np.tanh(n, out=n)
+        if keep is not None:
+            keep.append((state, z, r, n, own[2]))
+        state = np.subtract(state, n, out=states[t])
+        state *= z
+        state += n
     return states
 
 
@@ -80,12 +95,18 @@ def read_back(x, u, steps, keep, grad, gx, gu):
 
 
 def probabilities(w: dict, steps: np.ndarray) -> np.ndarray:
-    """Probability of each language at every position; ``steps`` is (position, piece)."""
+    """Probability of each language at every position; ``steps`` is (position, piece).
+
+    In memory the languages come first: sums over a few neighbouring numbers are slow in numpy.
+    """
     there = read(w["xf"], w["uf"], steps)
     back = read(w["xb"], w["ub"], steps[::-1])[::-1]
-    score = there @ w["o"][:HIDDEN] + back @ w["o"][HIDDEN:] + w["c"]
-    score = np.exp(score - score.max(axis=-1, keepdims=True))
-    return score / score.sum(axis=-1, keepdims=True)
+    score = np.ascontiguousarray(np.moveaxis(there @ w["o"][:HIDDEN] + back @ w["o"][HIDDEN:], -1, 0))
+    score += w["c"][:, None, None]
+    score -= score.max(axis=0)
+    np.exp(score, out=score)
+    score /= score.sum(axis=0)
+    return np.moveaxis(score, 0, -1)
 
 
 def train(pieces: np.ndarray, language: np.ndarray, n_languages: int) -> dict[str, np.ndarray]:
@@ -170,7 +191,7 @@ def label_texts(shared):
                         place = np.arange(width)[:, None]
                         inside = place < length[some]
                         # a short piece is repeated up to the width; the repetition is not counted
-                        steps = data[start[some] + place % length[some]]
+                        steps = data[start[some] + (place if full else place % length[some])]
                         p = probabilities(w, steps)
                         if not full:
                             p = p * inside[:, :, None]

@@ -104,6 +104,31 @@ def test_gradients_of_the_network():
     assert loss(language_id.start_weights(2)) > 0
 
 
+def test_gates_lie_apart_and_give_the_plain_network():
+    rng = np.random.default_rng(5)
+    h, w, steps = language_id.HIDDEN, language_id.start_weights(3), rng.integers(0, 256, (9, 31)).astype(np.uint8)
+    keep = []
+    language_id.read(w["xf"], w["uf"], steps, keep)
+    # gates cut out of wider rows made every numpy call of a step walk over pieces of 12 numbers
+    assert all(gate.flags.c_contiguous for step in keep for gate in step)
+    assert np.moveaxis(language_id.probabilities(w, steps), -1, 0).flags.c_contiguous
+
+    def plain(x, u, steps):
+        state, states = np.zeros((steps.shape[1], h)), []
+        for byte in steps:
+            given, own = np.split(x[byte].astype(float), 3, axis=1), np.split(state @ u, 3, axis=1)
+            z, r = (1 / (1 + np.exp(-a - b)) for a, b in zip(given[:2], own[:2], strict=True))
+            n = np.tanh(given[2] + r * own[2])
+            state = z * state + (1 - z) * n
+            states.append(state)
+        return np.array(states)
+
+    both = np.concatenate([plain(w["xf"], w["uf"], steps), plain(w["xb"], w["ub"], steps[::-1])[::-1]], axis=2)
+    likely = np.exp(both @ w["o"] + w["c"])
+    assert np.abs(language_id.probabilities(w, steps) - likely / likely.sum(axis=-1, keepdims=True)).max() < 1e-5
+    assert np.abs(language_id.read(w["xf"], w["uf"], steps) - both[:, :, :h]).max() < 1e-5
+
+
 def test_language_of_held_out_rows(spark):
     docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
     out = op8_language_id(docs).join(docs, "doc_id").where("held_out").collect()
